@@ -64,7 +64,7 @@ def in_tolerance(tolerance: float):
 
 
 def share_of_100(total: str):
-    return store(double("percent") / double(total) * 100, 15, 8)
+    return store(F.col("percent") / F.col(total) * 100, 15, 8)
 
 
 def renormalise(rows: DataFrame, totals: Totals, tolerance: float) -> DataFrame:
@@ -76,16 +76,17 @@ def renormalise(rows: DataFrame, totals: Totals, tolerance: float) -> DataFrame:
 
 def weight_moles(rows: DataFrame, totals: Totals) -> DataFrame:
     """Moles per gram of profile, and each species' share of them."""
-    moles = rows.withColumn("moles", store(double("percent") / 100 / double("volatile_mw"), 15, 8))
+    moles = rows.withColumn("moles", store(F.col("percent") / 100 / F.col("volatile_mw"), 15, 8))
     summed = totals(moles, ["profile_id"], total=F.sum("moles"))
-    share = double("moles") / double(store("total", 12, 8))
+    share = F.col("moles") / store("total", 12, 8)
     return summed.withColumn("moles_pct", store(share, 15, 8)).drop("total")
 
 
 def moles_by_species(rows: DataFrame, mapping: DataFrame) -> DataFrame:
     """Moles of each model species that each chemical species contributes."""
-    per_gram = double("percent") / 100 * double("moles_per_mole") / double("weight_mw")
-    per_mole = double("moles_pct") * double("moles_per_mole")
+    mass = store(F.col("percent") / 100 * F.col("moles_per_mole"), 24, 18)
+    per_gram = mass / F.col("weight_mw")
+    per_mole = F.col("moles_pct") * F.col("moles_per_mole")
     weights = rows.select(
         "profile_id", "specie_id", "percent", F.col("volatile_mw").alias("weight_mw"), "moles_pct"
     )
@@ -110,8 +111,8 @@ def model_species(by_species: DataFrame, totals: Totals) -> DataFrame:
         grams_total=F.sum("moles_per_gram"),
         moles_total=F.sum("moles_per_mole_em"),
     ).where("grams_total > 0")
-    fraction = store(double("moles_per_mole_em") / double(store("moles_total", 15, 8)), 15, 8)
-    part = store(F.col("gram_per_mole") * double(fraction), 15, 8)
+    fraction = store(F.col("moles_per_mole_em") / store("moles_total", 15, 8), 15, 8)
+    part = store(F.col("gram_per_mole") * fraction, 15, 8)
     return (
         summed.select(*MODEL_KEYS, "grams_total", part.alias("part_mw"))
         .groupBy(*MODEL_KEYS, "grams_total")
@@ -155,7 +156,8 @@ def conversion_factors(rows: DataFrame, source: str, target: str, *, zero_guard:
     undefined = F.col("voc").isNull()
     if zero_guard:
         undefined = undefined | (F.col("voc") == 0)
-    factor = F.when(undefined, F.lit(0.0)).otherwise(double("tog") / double("voc"))
+    ratio = store("tog", 15, 8) / store("voc", 15, 8)
+    factor = F.when(undefined, F.lit(0)).otherwise(store(ratio, 15, 10))
     return sums.select(
         F.lit(source).alias("from_specie"),
         F.lit(target).alias("to_specie"),

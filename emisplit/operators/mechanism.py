@@ -7,10 +7,10 @@ the batch, written by the caller; it is the only side that is broadcast by hint.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emisplit.functions import double, null_as, store
+from emisplit.functions import null_as, store
 
 UNKNOWN = "UNK"
 
@@ -124,13 +124,18 @@ def aqm_carbons(
     return known.unionByName(unknown.join(defined, keys, "left_anti").select(columns))
 
 
+def grams_per_mole(mass: str, model_carbons: str, specie_carbons: str) -> Column:
+    """Molar mass of a model species as part of a species, by carbons."""
+    return store(F.col(mass) * F.col(model_carbons) / F.col(specie_carbons), 24, 14)
+
+
 def species_map(run_mech: DataFrame, species_runs: DataFrame, model_carbons: DataFrame) -> DataFrame:
     """Mapping rows with the molar mass each species gives its model species."""
     known = species_runs.select(
         "scenario_id", "specie_id", "volatile_mw", F.col("num_carbons").alias("specie_carbons")
     )
     model = model_carbons.select("scenario_id", "aqm_poll", F.col("num_carbons").alias("model_carbons"))
-    grams = double("volatile_mw") * double("model_carbons") / double("specie_carbons")
+    grams = grams_per_mole("volatile_mw", "model_carbons", "specie_carbons")
     return (
         run_mech.join(known, ["scenario_id", "specie_id"])
         .join(model, ["scenario_id", "aqm_poll"], "left")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emisplit.functions import double, store
+from emisplit.functions import store
 from emisplit.functions.grouping import Totals
 
 # Species ids (fixed values).
@@ -35,8 +35,8 @@ ELEMENTS = (
     ("2302", "669", None, None),
     ("785", "696", None, None),
     ("337", "795", None, None),
-    ("2303", "329", "2847", 40.0 / 56.0),
-    ("2772", "525", "2852", 24.0 / 40.0),
+    ("2303", "329", "2847", (40, 56)),
+    ("2772", "525", "2852", (24, 40)),
 )
 
 #: Atoms and oxides that the ions replace.
@@ -176,16 +176,18 @@ def _fill_species(rows: DataFrame, totals: Totals, o2m: DataFrame) -> DataFrame:
     new_water = F.when(plain & has_source & ~dry & F.col("water").isNull() & (humid != 0), humid)
     facts = facts.withColumn("new_water", new_water)
 
-    none = F.lit(0.0)
-    unadjusted = (
-        F.coalesce(double("bound_oxygen"), none)
-        + F.coalesce(double("new_sulfate") * double("ratio_of_sulfate"), none)
-        + F.coalesce(double("new_water") * double("ratio_of_water"), none)
+    none = F.lit(0)
+    unadjusted = store(
+        F.coalesce("bound_oxygen", none)
+        + F.coalesce(F.col("new_sulfate") * F.col("ratio_of_sulfate"), none)
+        + F.coalesce(F.col("new_water") * F.col("ratio_of_water"), none),
+        26,
+        14,
     )
-    neutralised = F.coalesce(double("ammonium") * (0.5 * 96 / 18), none)
-    free_sulfate = F.coalesce(double(all_sulfate) - neutralised, none)
-    adjusted = F.when(free_sulfate <= 0, unadjusted).otherwise(unadjusted - free_sulfate * 16 / 96.0)
-    new_oxygen = F.when(plain, store(F.greatest(adjusted, none), 15, 8))
+    # Ammonium takes 96 / 2 per 18 of sulfate; a sixth of the rest is oxygen.
+    free_sulfate = F.coalesce(all_sulfate * 18 - F.coalesce("ammonium", none) * 48, none)
+    adjusted = F.when(free_sulfate <= 0, unadjusted).otherwise((unadjusted * 108 - store(free_sulfate, 20, 8)) / 108)
+    new_oxygen = F.when(plain, store(F.greatest(adjusted, F.lit(0).cast("decimal(26,14)")), 15, 8))
     new_organic = F.when(plain, store(F.col("carbon") * pncom_factor().cast("decimal(10,6)"), 15, 8))
 
     added = [
@@ -197,7 +199,7 @@ def _fill_species(rows: DataFrame, totals: Totals, o2m: DataFrame) -> DataFrame:
     for ion, atom, oxide, ratio in ELEMENTS:
         if oxide:
             absent = ~F.col(f"has_{ion}") & ~F.col(f"has_{atom}")
-            added.append((ion, F.when(absent, store(double(f"oxide_{ion}") * ratio, 15, 8))))
+            added.append((ion, F.when(absent, store(store(F.col(f"oxide_{ion}") * ratio[0], 26, 18) / ratio[1], 15, 8))))
 
     def row(specie_id: Column, percent: Column) -> Column:
         return F.struct("profile_id", "profile_type", specie_id.alias("specie_id"), percent.alias("percent"))
@@ -234,13 +236,13 @@ def _scale_over_101(rows: DataFrame, totals: Totals) -> DataFrame:
         organics=_percent_of(ORGANIC_CARBON, NON_CARBON_ORGANIC),
     )
     over = (F.col("profile_type") == PLAIN_TYPE) & (F.col("total") > 101)
-    total, organics = double("total"), double("organics")
-    factor = F.when(F.col("organics") > 0, (100 - (total - organics)) / organics).otherwise(F.lit(0.0))
-    by_organics = over & (factor > 0)
+    total, organics = store("total", 15, 8), store("organics", 15, 8)
+    room = 100 - (total - organics)
+    by_organics = over & (organics > 0) & (room > 0)
     percent = (
-        F.when(by_organics & organic, store(double("percent") * factor, 15, 8))
+        F.when(by_organics & organic, store(store(F.col("percent") * room, 24, 16) / organics, 15, 8))
         .when(by_organics, F.col("percent"))
-        .when(over, store(double("percent") / total * 100, 15, 8))
+        .when(over, store(F.col("percent") / total * 100, 15, 8))
         .otherwise(F.col("percent"))
     )
     return sums.select("profile_id", "profile_type", "specie_id", percent.alias("percent"))
@@ -291,8 +293,8 @@ def pm_fractions(weights: DataFrame) -> DataFrame:
             store(fraction, 17, 10).alias("fraction"),
         )
 
-    own = row("aqm_poll", double("percent") / 100)
-    rest = row("other_poll", F.lit(1.0) - double("sum_pct") / 100)
+    own = row("aqm_poll", F.col("percent") / 100)
+    rest = row("other_poll", 1 - F.col("sum_pct") / 100)
     first = F.struct("specie_id", "aqm_poll") == F.col("lead")
     out = F.when(first & (F.col("sum_pct") < 100), F.array(own, rest)).otherwise(F.array(own))
     return kept.select(F.inline(out))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emisplit.functions import double, null_as, store
+from emisplit.functions import null_as, store
 from emisplit.functions.grouping import Totals
 from emisplit.operators.gas import share_of_100, split_columns
+from emisplit.operators.mechanism import grams_per_mole
 
 HAPLIST_PROFILE = "0000"
 NO_INTEGRATE_SUFFIX = "_NOI"
@@ -148,8 +149,8 @@ def haplist_masses(
         "scenario_id", "specie_id", "volatile_mw", F.col("num_carbons").alias("specie_carbons")
     )
     model = model_carbons.select("scenario_id", "aqm_poll", F.col("num_carbons").alias("model_carbons"))
-    mass = double("volatile_mw")
-    scaled = mass * double("model_carbons") / double("specie_carbons")
+    mass = F.col("volatile_mw")
+    scaled = grams_per_mole("volatile_mw", "model_carbons", "specie_carbons")
     return (
         rows.join(known, ["scenario_id", "specie_id"], "left")
         .join(model, ["scenario_id", "aqm_poll"], "left")
@@ -157,8 +158,8 @@ def haplist_masses(
         .select(
             *_HAPLIST,
             F.lit(HAPLIST_PROFILE).alias("profile_id"),
-            store(double("moles_per_mole") / mass, 15, 8).alias("moles_per_gram"),
-            store(F.when(F.col("own_mass"), mass).otherwise(scaled), 15, 8).alias("avg_mw"),
+            store(F.col("moles_per_mole") / mass, 15, 8).alias("moles_per_gram"),
+            F.when(F.col("own_mass"), store(mass, 15, 8)).otherwise(store(scaled, 15, 8)).alias("avg_mw"),
         )
     )
 
