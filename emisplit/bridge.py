@@ -57,8 +57,23 @@ _QUALIFYING = ("2668", "2669")
 _OTHER = "PMOTHR"
 
 
+#: Columns of the generic tables that are used; giving them saves the read of
+#: the file footers for each use of a table.
+COLUMNS = {
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, l_discount double, "
+        "l_returnflag string"
+    ),
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string",
+    "customer": "c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "documents": "doc_id bigint, text string",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(COLUMNS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def _key(column: str) -> Column:
@@ -109,41 +124,49 @@ def species(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _shares(rows: DataFrame, factor: Column) -> DataFrame:
+def _shares(rows: DataFrame, lineitem: DataFrame, factor: Column) -> DataFrame:
     """Percent of each species in the quantity of its order."""
-    totals = rows.groupBy("l_orderkey").agg(F.sum("quantity").alias("order_quantity"))
+    totals = lineitem.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("order_quantity"))
     percent = F.round(F.lit(100.0) * F.col("quantity") / F.col("order_quantity") * factor, 6)
-    return rows.join(totals, "l_orderkey").select(
-        _key("l_orderkey").alias("profile_id"), "specie_id", percent.cast("decimal(12,6)").alias("percent")
-    )
+    return rows.join(totals, "l_orderkey").withColumn("percent", percent.cast("decimal(12,6)"))
 
 
 def gas_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights of every order over its parts."""
     order = F.col("l_orderkey")
     factor = F.when(order % 7 == 0, 0.9).when(order % 11 == 0, 1.1).otherwise(1.0)
-    rows = (
-        read(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey", _key("l_partkey").alias("specie_id"))
-        .agg(F.sum("l_quantity").alias("quantity"))
+    lineitem = read(spark, sf_dir, "lineitem")
+    rows = lineitem.groupBy("l_orderkey", "l_partkey").agg(F.sum("l_quantity").alias("quantity"))
+    return _shares(rows, lineitem, factor).select(
+        _key("l_orderkey").alias("profile_id"), _key("l_partkey").alias("specie_id"), "percent"
     )
-    return _shares(rows, factor)
 
 
 def pm_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weights of every order over thirty particulate species."""
+    """Weights of every order over thirty particulate species.
+
+    Non-carbon organics are left out of plain profiles, which get their own.
+    """
     order, names = F.col("l_orderkey"), F.array(*[F.lit(s) for s in PM_SPECIES])
-    rows = (
-        read(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey", (F.col("l_partkey") % len(PM_SPECIES)).cast("int").alias("position"))
-        .agg(F.sum("l_quantity").alias("quantity"))
-        .withColumn("specie_id", F.get(names, F.col("position")))
+    lineitem = read(spark, sf_dir, "lineitem")
+    rows = lineitem.groupBy("l_orderkey", (F.col("l_partkey") % len(PM_SPECIES)).cast("int").alias("position")).agg(
+        F.sum("l_quantity").alias("quantity")
     )
     factor = F.when(order % 13 == 0, 1.2).otherwise(0.8) * F.when(
         (F.col("position") == 0) & (order % 101 == 0), -1.0
     ).otherwise(1.0)
-    plain = profiles(spark, sf_dir).where("profile_type = 'PM'").select("profile_id", F.lit("2669").alias("specie_id"))
-    return _shares(rows, factor).join(plain, ["profile_id", "specie_id"], "left_anti")
+    kinds = read(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.substring("o_orderpriority", 1, 1).alias("kind")
+    )
+    weights = _shares(rows, lineitem, factor).join(kinds, "l_orderkey", "left")
+    weights = weights.withColumn("specie_id", F.get(names, F.col("position")))
+    is_own = (F.col("specie_id") == "2669") & F.coalesce(F.col("kind") == "3", F.lit(False))
+    return weights.where(~is_own).select(_key("l_orderkey").alias("profile_id"), "specie_id", "percent")
+
+
+def weight_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At least as many rows per order as the order has weights."""
+    return read(spark, sf_dir, "lineitem").select(_key("l_orderkey").alias("profile_id"))
 
 
 def mechanism(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,6 +396,7 @@ def gas_tables(spark: SparkSession, sf_dir: str) -> Tables:
         species=species(spark, sf_dir),
         profiles=profiles(spark, sf_dir),
         profile_weights=gas_weights(spark, sf_dir),
+        weight_members=weight_members(spark, sf_dir),
         mechanism=mechanism(spark, sf_dir),
         mechanism_description=mechanism_description(spark),
         carbons=carbons(spark, sf_dir),
@@ -387,6 +411,7 @@ def pm_tables(spark: SparkSession, sf_dir: str) -> Tables:
         species=species(spark, sf_dir),
         profiles=profiles(spark, sf_dir),
         profile_weights=pm_weights(spark, sf_dir),
+        weight_members=weight_members(spark, sf_dir),
         pm_mechanism=pm_mechanism(spark),
         o2m_ratios=o2m_ratios(spark),
         camx_fcrs=camx_fcrs(spark, sf_dir),

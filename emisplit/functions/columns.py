@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,14 +34,10 @@ def null_as(dtype: str) -> Column:
 def inline_table(spark: SparkSession, rows: Iterable[Sequence], ddl: str) -> DataFrame:
     """A small driver-side list as a DataFrame, without any Python worker.
 
-    The rows become literals of the plan, so the size of the table is known to
-    the optimizer and bounded by the list the caller wrote.
+    The rows become one literal of the plan, so the table is bounded by the
+    list the caller wrote.
     """
-    fields = T.StructType.fromDDL(ddl)
-    structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields, strict=True)])
-        for row in rows
-    ]
-    if not structs:
-        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    names = T.StructType.fromDDL(ddl).names
+    text = json.dumps([dict(zip(names, row, strict=True)) for row in rows])
+    parsed = F.from_json(F.lit(text), f"array<struct<{ddl}>>", {"mode": "FAILFAST"})
+    return spark.range(1).select(F.inline(parsed))

@@ -7,7 +7,7 @@ the batch, written by the caller; it is the only side that is broadcast by hint.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emisplit.functions import null_as, store
@@ -65,27 +65,6 @@ def unmapped_species(species_runs: DataFrame) -> DataFrame:
     return species_runs.where("unmapped").select("scenario_id", "specie_id")
 
 
-def add_unknown(run_mech: DataFrame, unmapped: DataFrame) -> DataFrame:
-    """Undefined species go to the unknown model species, mole for mole."""
-    return run_mech.unionByName(
-        unmapped.select(
-            "scenario_id", "specie_id", F.lit(UNKNOWN).alias("aqm_poll"), store(F.lit(1), 15, 8).alias("moles_per_mole")
-        )
-    )
-
-
-def apply_toxics(run_mech: DataFrame, toxics: DataFrame, ids: list[str], *, add_names: bool) -> DataFrame:
-    """Replace the mapping of active toxics; tracers get an extra row."""
-    active = toxics.where("active = 'A'").select("specie_id").distinct()
-    kept = run_mech.join(active, "specie_id", "left_anti").select(run_mech.columns)
-    if not add_names:
-        return kept
-    named = per_scenario(toxics, ids).select(
-        "scenario_id", "specie_id", "aqm_poll", store(F.lit(1), 15, 8).alias("moles_per_mole")
-    )
-    return kept.unionByName(named)
-
-
 def toxics_carbons(toxics: DataFrame, species_runs: DataFrame, ids: list[str]) -> DataFrame:
     """Carbon number of each toxic, kept to three decimals."""
     known = species_runs.select("scenario_id", "specie_id", "num_carbons")
@@ -129,37 +108,81 @@ def grams_per_mole(mass: str, model_carbons: str, specie_carbons: str) -> Column
     return store(F.col(mass) * F.col(model_carbons) / F.col(specie_carbons), 24, 14)
 
 
-def species_map(run_mech: DataFrame, species_runs: DataFrame, model_carbons: DataFrame) -> DataFrame:
-    """Mapping rows with the molar mass each species gives its model species."""
+def base_map(species: DataFrame, mech: DataFrame, carbons: DataFrame, ids: list[str]) -> DataFrame:
+    """Mapping of the plain mechanism: run rows, unknown rows, molar masses.
+
+    A species meets its mechanism rows in one join and a window over them
+    gives its sums; such a group has at most one row per model species. A
+    species whose moles do not add up to more than zero goes to the unknown
+    model species, mole for mole.
+    """
+    keys = ["scenario_id", "specie_id"]
+    detail = mech.join(carbons.withColumnRenamed("num_carbons", "model_carbons"), ["scenario_id", "aqm_poll"], "left")
+    of_unknown = F.broadcast(
+        carbons.where(F.col("aqm_poll") == UNKNOWN).select("scenario_id", F.col("num_carbons").alias("unknown_carbons"))
+    )
+    known = per_scenario(species.select("specie_id", "volatile_mw"), ids).join(of_unknown, "scenario_id", "left")
+    group = Window.partitionBy(*keys)
+    rows = known.join(detail, keys, "left").select(
+        "*",
+        F.coalesce(F.sum("moles_per_mole").over(group) > 0, F.lit(False)).alias("mapped"),
+        F.sum(F.col("moles_per_mole") * F.col("model_carbons")).over(group).alias("sum_carbons"),
+        (F.coalesce("aqm_poll", F.lit("")) == F.min(F.coalesce("aqm_poll", F.lit(""))).over(group)).alias("leads"),
+    )
+    one = store(F.lit(1), 15, 8)
+    rows = rows.withColumns(
+        {
+            "specie_carbons": store(F.when(F.col("sum_carbons") > 0, F.col("sum_carbons")).otherwise(1), 15, 8),
+            "model_carbons": store("model_carbons", 15, 8),
+            "unknown_carbons": F.coalesce(store("unknown_carbons", 15, 8), one),
+        }
+    )
+
+    def entry(poll: Column, moles: Column, model_carbons: str) -> Column:
+        grams = grams_per_mole("volatile_mw", model_carbons, "specie_carbons")
+        return F.struct(*keys, poll.alias("aqm_poll"), moles.alias("moles_per_mole"), grams.alias("gram_per_mole"))
+
+    own = F.when(
+        F.col("moles_per_mole") > 0, entry(F.col("aqm_poll"), store("moles_per_mole", 15, 8), "model_carbons")
+    )
+    unknown = F.when(~F.col("mapped") & F.col("leads"), entry(F.lit(UNKNOWN), one, "unknown_carbons"))
+    return rows.select(F.inline(F.array_compact(F.array(own, unknown))))
+
+
+_MAP_COLUMNS = ["scenario_id", "specie_id", "aqm_poll", "moles_per_mole", "gram_per_mole"]
+
+
+def drop_active(mapped: DataFrame, toxics: DataFrame) -> DataFrame:
+    """Active toxics lose all their mechanism rows, unknown ones included."""
+    active = toxics.where("active = 'A'").select("specie_id").distinct()
+    return mapped.join(active, "specie_id", "left_anti").select(_MAP_COLUMNS)
+
+
+def toxics_map(toxics: DataFrame, species_runs: DataFrame, model_carbons: DataFrame, ids: list[str]) -> DataFrame:
+    """Active and tracer toxics under their own names, mole for mole."""
     known = species_runs.select(
         "scenario_id", "specie_id", "volatile_mw", F.col("num_carbons").alias("specie_carbons")
     )
     model = model_carbons.select("scenario_id", "aqm_poll", F.col("num_carbons").alias("model_carbons"))
-    grams = grams_per_mole("volatile_mw", "model_carbons", "specie_carbons")
     return (
-        run_mech.join(known, ["scenario_id", "specie_id"])
+        per_scenario(toxics.select("specie_id", "aqm_poll"), ids)
+        .join(known, ["scenario_id", "specie_id"])
         .join(model, ["scenario_id", "aqm_poll"], "left")
-        .select("scenario_id", "specie_id", "aqm_poll", "moles_per_mole", grams.alias("gram_per_mole"))
+        .withColumn("moles_per_mole", store(F.lit(1), 15, 8))
+        .withColumn("gram_per_mole", grams_per_mole("volatile_mw", "model_carbons", "specie_carbons"))
+        .select(_MAP_COLUMNS)
     )
 
 
-def add_ivoc(run_mech: DataFrame, species_runs: DataFrame, ivoc_names: DataFrame, ids: list[str]):
+def ivoc_map(ivoc_names: DataFrame, ids: list[str]) -> DataFrame:
     """Each intermediate-volatility species maps to itself with one carbon."""
-    rows = per_scenario(ivoc_names, ids)
-    one = store(F.lit(1), 15, 8)
-    mapped = run_mech.unionByName(
-        rows.select("scenario_id", "specie_id", F.col("specie_id").alias("aqm_poll"), one.alias("moles_per_mole"))
-    )
-    known = species_runs.unionByName(
-        rows.select(
-            "scenario_id",
-            "specie_id",
-            F.col("molwt").cast(species_runs.schema["volatile_mw"].dataType).alias("volatile_mw"),
-            one.alias("num_carbons"),
-            F.lit(False).alias("unmapped"),
-        )
+    return per_scenario(ivoc_names, ids).select(
+        "scenario_id",
+        "specie_id",
+        F.col("specie_id").alias("aqm_poll"),
+        store(F.lit(1), 15, 8).alias("moles_per_mole"),
+        store("molwt", 24, 14).alias("gram_per_mole"),
     )
-    return mapped, known
 
 
 def scenario_flags(runs: DataFrame, descriptions: DataFrame | None, *, case_insensitive: bool = False) -> DataFrame:

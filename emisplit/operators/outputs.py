@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emisplit.functions import store
@@ -13,26 +13,40 @@ SPLIT_COLUMNS = ["scenario_id", "profile_id", "eminv_poll", "aqm_poll", "split_f
 CONVERSION_COLUMNS = ["scenario_id", "from_specie", "to_specie", "profile_id", "cnv_factor"]
 
 
-def _fixed_splits(rows: DataFrame, eminv: str, split: int, divisor: int, mass: int) -> DataFrame:
-    return rows.select(
+def actox_rows(actox: DataFrame, eminv_poll: str) -> DataFrame:
+    """Zero rows for profiles that consist of active toxics."""
+    return actox.select(
         "scenario_id",
         "profile_id",
-        F.lit(eminv).alias("eminv_poll"),
+        F.lit(eminv_poll).alias("eminv_poll"),
         F.lit("VOC").alias("aqm_poll"),
-        store(F.lit(split), 15, 10).alias("split_factor"),
-        store(F.lit(divisor), 12, 8).alias("divisor"),
-        store(F.lit(mass), 15, 10).alias("mass_fraction"),
+        store(F.lit(0), 15, 10).alias("split_factor"),
+        store(F.lit(1), 12, 8).alias("divisor"),
+        store(F.lit(0), 15, 10).alias("mass_fraction"),
     )
 
 
-def actox_rows(actox: DataFrame, eminv_poll: str) -> DataFrame:
-    """Zero rows for profiles that consist of active toxics."""
-    return _fixed_splits(actox, eminv_poll, 0, 1, 0)
-
+def with_voc_rows(splits: DataFrame, flagged: DataFrame) -> DataFrame:
+    """Add an identity row per profile generated in the flagged scenarios.
 
-def voc_to_voc_rows(splits: DataFrame) -> DataFrame:
-    """Identity rows, one per generated profile."""
-    return _fixed_splits(splits.select("scenario_id", "profile_id").distinct(), "VOC", 1, 1, 1)
+    The row is emitted next to the profile's first model species. A group has
+    one row per model species, so a window over it stays small.
+    """
+    marked = F.broadcast(flagged.select("scenario_id", F.lit(True).alias("is_flagged")))
+    group = Window.partitionBy("profile_id", "scenario_id")
+    rows = splits.join(marked, "scenario_id", "left").withColumn("lead", F.min("aqm_poll").over(group))
+    own = F.struct(*SPLIT_COLUMNS)
+    identity = F.struct(
+        "scenario_id",
+        "profile_id",
+        F.lit("VOC").alias("eminv_poll"),
+        F.lit("VOC").alias("aqm_poll"),
+        store(F.lit(1), 15, 10).alias("split_factor"),
+        store(F.lit(1), 12, 8).alias("divisor"),
+        store(F.lit(1), 15, 10).alias("mass_fraction"),
+    )
+    first = F.col("is_flagged").isNotNull() & (F.col("aqm_poll") == F.col("lead"))
+    return rows.select(F.inline(F.when(first, F.array(own, identity)).otherwise(F.array(own))))
 
 
 def static_rows(static: DataFrame, runs: DataFrame, ids: list[str]) -> DataFrame:

@@ -57,8 +57,14 @@ class Batch:
         t = self.tables
         return t.profile_weights if t.user_profile_wts is None else t.user_profile_wts
 
+    @property
+    def members(self) -> DataFrame:
+        """Where to count the rows per profile."""
+        t = self.tables
+        return t.weight_members if t.user_profile_wts is None and t.weight_members is not None else self.weights
+
     def each_profile(self, rows: DataFrame, step: Callable[[DataFrame, Totals], DataFrame]) -> DataFrame:
-        return by_group_size(rows, "profile_id", self.large.of(self.weights), step)
+        return by_group_size(rows, "profile_id", self.large.of(self.members), step)
 
     @property
     def first(self) -> Scenario:
@@ -141,18 +147,18 @@ class GasPlan:
 
     def mapping(self) -> DataFrame:
         """What each species gives each model species, per scenario."""
-        species_runs = self.species_runs()
-        mech = mechanism.add_unknown(
-            mechanism.run_mechanism(self.mechanism_rows()), mechanism.unmapped_species(species_runs)
-        )
+        t, ids = self.batch.tables, self.batch.ids
+        mapped = mechanism.base_map(t.species, self.mechanism_rows(), self.carbon_rows(), ids)
         if self.uses_toxics:
-            mech = mechanism.apply_toxics(
-                mech, self.toxics(), self.batch.ids, add_names=self.kind != NOINTEGRATE
-            )
+            listed = self.toxics()
+            mapped = mechanism.drop_active(mapped, listed)
+            if self.kind != NOINTEGRATE:
+                named = mechanism.toxics_map(listed, self.species_runs(), self.model_carbons(), ids)
+                mapped = mapped.unionByName(named)
         if self.kind == VBS:
-            names = vbs.ivoc_names(self.batch.tables.ivoc_species, self.aqm)
-            mech, species_runs = mechanism.add_ivoc(mech, species_runs, names, self.batch.ids)
-        return mechanism.species_map(mech, species_runs, self.model_carbons())
+            names = vbs.ivoc_names(t.ivoc_species, self.aqm)
+            mapped = mapped.unionByName(mechanism.ivoc_map(names, ids))
+        return mapped
 
     # weights
 
@@ -237,13 +243,13 @@ class GasPlan:
         if self.kind == HAPLIST:
             return toxics.haplist_splits(self.haplist_masses())
         rows = gas.gas_splits(self.model_species(), self.total_name)
-        flagged = F.broadcast(self.batch.flagged)
+        flagged = self.batch.flagged
         if self.uses_toxics:
             actox = mechanism.per_scenario(self.actox_profiles(), self.batch.ids)
-            actox = actox.join(flagged, "scenario_id", "left_semi")
+            actox = actox.join(F.broadcast(flagged), "scenario_id", "left_semi")
             rows = rows.unionByName(outputs.actox_rows(actox, self.total_name))
         if self.kind in (CRITERIA, VBS):
-            rows = rows.unionByName(outputs.voc_to_voc_rows(rows.join(flagged, "scenario_id", "left_semi")))
+            rows = outputs.with_voc_rows(rows, flagged)
         return rows
 
     def conversions(self) -> DataFrame | None:
