@@ -40,4 +40,4 @@ def inline_table(spark: SparkSession, rows: Iterable[Sequence], ddl: str) -> Dat
     names = T.StructType.fromDDL(ddl).names
     text = json.dumps([dict(zip(names, row, strict=True)) for row in rows])
     parsed = F.from_json(F.lit(text), f"array<struct<{ddl}>>", {"mode": "FAILFAST"})
-    return spark.range(1).select(F.inline(parsed))
+    return spark.range(0, 1, 1, 1).select(F.inline(parsed))

@@ -96,7 +96,7 @@ def aqm_carbons(
         one = store(F.lit(1), 15, 8).alias("num_carbons")
         ivoc = per_scenario(ivoc_names.select(F.col("specie_id").alias("aqm_poll")), ids)
         known = known.unionByName(ivoc.select(*keys, one))
-    unknown = per_scenario(carbons.sparkSession.range(1), ids).select(
+    unknown = per_scenario(carbons.sparkSession.range(0, 1, 1, 1), ids).select(
         "scenario_id", F.lit(UNKNOWN).alias("aqm_poll"), store(F.lit(1), 15, 8).alias("num_carbons")
     )
     defined = known.where(F.col("aqm_poll") == UNKNOWN).select(*keys)
