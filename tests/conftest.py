@@ -11,7 +11,10 @@ from emisplit.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", "4", **{"spark.sql.shuffle.partitions": "2"})
+    # Tables of a few rows: compiling each plan would take most of the time.
+    # The contract tests switch compilation on again.
+    settings = {"spark.sql.shuffle.partitions": "2", "spark.sql.codegen.wholeStage": "false"}
+    session = local_session("tests", "4", **settings)
     yield session
     session.stop()
 

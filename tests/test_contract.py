@@ -15,6 +15,13 @@ def db():
     return con
 
 
+@pytest.fixture(scope="module", autouse=True)
+def compiled(spark):
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    yield
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+
+
 def test_names_match():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 

@@ -52,7 +52,7 @@ def test_volatility_classes(table):
         ("a", " "),
         ("b", "SVOCN1"),
         ("c", "SVOCN1"),
-        ("d", "VOC"),
+        ("d", "IVOCP5"),
         ("e", "VOC"),
         ("f", " "),
     ]
