@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from emisplit.functions import inline_table, store
 from emisplit.operators.pm import PM_TYPES
 from emisplit.plans.tables import Tables
-from emisplit.schemas import INVTABLE_WIDTHS, SHARED
+from emisplit.schemas import INVTABLE_WIDTHS, SHARED, schema
 
 #: Species of the particulate weights, by index (fixed values).
 PM_SPECIES = (
@@ -80,47 +80,32 @@ def _key(column: str) -> Column:
     return F.col(column).cast("string")
 
 
-def _brand() -> Column:
-    return F.regexp_extract("p_brand", r"(\d+)", 1)
-
-
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One profile per order."""
-    kind = F.substring("o_orderpriority", 1, 1)
-    profile_type = F.when(kind == "1", "GAS")
-    for code, name in (("2", "GAS-VBS"), ("3", "PM"), ("4", "PM-AE6"), ("5", "PM-VBS")):
-        profile_type = profile_type.when(kind == code, name)
-    source = F.col("o_custkey") % 4
-    size = F.when(F.col("o_orderkey") % 10 == 0, 10.0).otherwise(2.5)
-    return read(spark, sf_dir, "orders").select(
-        _key("o_orderkey").alias("profile_id"),
-        F.concat_ws(" ", F.lit("profile"), _key("o_orderkey"), "o_orderpriority").alias("profile_name"),
-        profile_type.alias("profile_type"),
-        F.lit(0).cast("decimal(10,4)").alias("lower_size"),
-        size.cast("decimal(10,4)").alias("upper_size"),
-        F.when(F.col("o_orderstatus") == "F", "Combustion")
-        .when(F.col("o_orderstatus") == "O", "Evaporation")
-        .alias("gen_mechanism"),
-        F.when(source == 0, "Mobile")
-        .when(source == 1, "biomass burning")
-        .when(source == 2, "biomass burning boiler")
-        .alias("sec_equipment"),
+    return read(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS profile_id",
+        "concat_ws(' ', 'profile', CAST(o_orderkey AS STRING), o_orderpriority) AS profile_name",
+        "CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'GAS' WHEN '2' THEN 'GAS-VBS' WHEN '3' THEN 'PM'"
+        " WHEN '4' THEN 'PM-AE6' WHEN '5' THEN 'PM-VBS' END AS profile_type",
+        "CAST(0 AS DECIMAL(10,4)) AS lower_size",
+        "CAST(CASE WHEN o_orderkey % 10 = 0 THEN 10.0 ELSE 2.5 END AS DECIMAL(10,4)) AS upper_size",
+        "CASE o_orderstatus WHEN 'F' THEN 'Combustion' WHEN 'O' THEN 'Evaporation' END AS gen_mechanism",
+        "CASE o_custkey % 4 WHEN 0 THEN 'Mobile' WHEN 1 THEN 'biomass burning'"
+        " WHEN 2 THEN 'biomass burning boiler' END AS sec_equipment",
     )
 
 
 def species(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One species per part."""
-    key = F.col("p_partkey")
-    mass = F.col("p_retailprice") / 10
-    volatile = F.when(key % 97 == 0, -99.0).when(key % 89 == 0, 0.0).otherwise(mass)
-    pressure = F.when(key % 13 == 0, -99.0).when(key % 13 == 1, 0.0).otherwise(F.pow(F.lit(10.0), F.col("p_size") / 5 - 7))
-    return read(spark, sf_dir, "part").select(
-        _key("p_partkey").alias("specie_id"),
-        F.col("p_name").alias("specie_name"),
-        mass.cast("decimal(20,12)").alias("molecular_weight"),
-        (F.col("p_size") % 10 == 0).alias("non_voctog"),
-        volatile.cast("decimal(20,12)").alias("volatile_mw"),
-        pressure.cast("decimal(20,12)").alias("vp_epi"),
+    return read(spark, sf_dir, "part").selectExpr(
+        "CAST(p_partkey AS STRING) AS specie_id",
+        "p_name AS specie_name",
+        "CAST(p_retailprice / 10 AS DECIMAL(20,12)) AS molecular_weight",
+        "p_size % 10 = 0 AS non_voctog",
+        "CAST(CASE WHEN p_partkey % 97 = 0 THEN -99D WHEN p_partkey % 89 = 0 THEN 0D ELSE p_retailprice / 10 END"
+        " AS DECIMAL(20,12)) AS volatile_mw",
+        "CAST(CASE WHEN p_partkey % 13 = 0 THEN -99D WHEN p_partkey % 13 = 1 THEN 0D"
+        " ELSE pow(10D, p_size / 5D - 7D) END AS DECIMAL(20,12)) AS vp_epi",
     )
 
 
@@ -170,33 +155,38 @@ def weight_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mechanism(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two mechanisms with the same rows."""
-    part = read(spark, sf_dir, "part").where("p_partkey % 9 != 0")
-    moles = F.when(F.col("p_size") % 25 == 0, 0.0).otherwise(1 + 0.5 * (F.col("p_size") % 3))
-    brands = part.select(
-        _key("p_partkey").alias("specie_id"), F.concat(F.lit("B"), _brand()).alias("aqm_poll"), moles.alias("moles")
-    )
-    xylenes = part.where("p_partkey % 4 = 0").select(
-        _key("p_partkey").alias("specie_id"), F.lit("XYL").alias("aqm_poll"), F.lit(0.5).alias("moles")
+    """Two mechanisms with the same rows: one per brand, some with xylenes."""
+    brand = (
+        "named_struct('aqm_poll', concat('B', regexp_extract(p_brand, '[0-9]+', 0)),"
+        " 'moles', CASE WHEN p_size % 25 = 0 THEN 0D ELSE 1D + 0.5D * (p_size % 3) END)"
     )
-    return brands.unionByName(xylenes).select(
-        F.explode(F.array(F.lit("M_A"), F.lit("M_B"))).alias("mechanism"),
-        "specie_id",
-        "aqm_poll",
-        F.col("moles").cast("decimal(20,12)").alias("moles_per_mole"),
+    xylene = "named_struct('aqm_poll', 'XYL', 'moles', 0.5D)"
+    return (
+        read(spark, sf_dir, "part")
+        .where("p_partkey % 9 != 0")
+        .selectExpr(
+            "CAST(p_partkey AS STRING) AS specie_id",
+            f"inline(CASE WHEN p_partkey % 4 = 0 THEN array({brand}, {xylene}) ELSE array({brand}) END)",
+        )
+        .selectExpr(
+            "explode(array('M_A', 'M_B')) AS mechanism",
+            "specie_id",
+            "aqm_poll",
+            "CAST(moles AS DECIMAL(20,12)) AS moles_per_mole",
+        )
     )
 
 
 def carbons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = _brand().cast("int")
-    brands = read(spark, sf_dir, "part").select(
-        F.concat(F.lit("B"), _brand()).alias("aqm_poll"), (number % 8 + 1).alias("num_carbons")
+    brands = (
+        read(spark, sf_dir, "part")
+        .selectExpr("CAST(regexp_extract(p_brand, '[0-9]+', 0) AS INT) AS number")
+        .distinct()
+        .selectExpr("concat('B', number) AS aqm_poll", "number % 8 + 1 AS num_carbons")
     )
     xylene = inline_table(spark, [("XYL", 8)], "aqm_poll string, num_carbons int")
-    return brands.distinct().unionByName(xylene).select(
-        F.explode(F.array(F.lit("M_A"), F.lit("M_B"))).alias("mechanism"),
-        "aqm_poll",
-        F.col("num_carbons").cast("decimal(5,2)").alias("num_carbons"),
+    return brands.unionByName(xylene).selectExpr(
+        "explode(array('M_A', 'M_B')) AS mechanism", "aqm_poll", "CAST(num_carbons AS DECIMAL(5,2)) AS num_carbons"
     )
 
 
@@ -212,33 +202,27 @@ def _toxic_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def invtable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxic parts plus one plain pollutant per nation."""
-    key = F.col("p_partkey")
-    rest = [F.lit("").alias(name) for name in ("poll_code", "reactivity", "factor", "activity", "nti", "unit")]
-    text = [F.lit("").alias("cas_description")]
-    parts = _toxic_parts(spark, sf_dir).select(
-        F.concat(F.lit("P"), _key("p_partkey")).alias("eminv_poll"),
-        F.lit("").alias("mode"),
-        _key("p_partkey").alias("specie_id"),
-        F.lit("Y").alias("keep"),
-        F.when(key % 2 == 0, "V").otherwise("T").alias("voc"),
-        F.lit("Y").alias("model"),
-        F.when(F.col("p_size") % 2 == 0, "Y").otherwise("N").alias("explicit"),
-        F.col("p_name").alias("description"),
-        *rest,
-        *text,
+    blank = [f"'' AS {name}" for name in ("poll_code", "reactivity", "factor", "activity", "nti", "unit", "cas_description")]
+    parts = _toxic_parts(spark, sf_dir).selectExpr(
+        "concat('P', p_partkey) AS eminv_poll",
+        "'' AS mode",
+        "CAST(p_partkey AS STRING) AS specie_id",
+        "'Y' AS keep",
+        "CASE WHEN p_partkey % 2 = 0 THEN 'V' ELSE 'T' END AS voc",
+        "'Y' AS model",
+        "CASE WHEN p_size % 2 = 0 THEN 'Y' ELSE 'N' END AS explicit",
+        "p_name AS description",
+        *blank,
     )
-    nation = F.col("n_nationkey")
-    nations = read(spark, sf_dir, "nation").select(
-        F.concat(F.lit("N"), _key("n_nationkey")).alias("eminv_poll"),
-        F.when(nation % 2 == 0, "EXH").otherwise("EVP").alias("mode"),
-        F.lit("0").alias("specie_id"),
-        *[F.lit("N").alias(name) for name in ("keep", "voc", "model", "explicit")],
-        F.col("n_name").alias("description"),
-        *rest,
-        *text,
+    nations = read(spark, sf_dir, "nation").selectExpr(
+        "concat('N', n_nationkey) AS eminv_poll",
+        "CASE WHEN n_nationkey % 2 = 0 THEN 'EXH' ELSE 'EVP' END AS mode",
+        "'0' AS specie_id",
+        *[f"'N' AS {name}" for name in ("keep", "voc", "model", "explicit")],
+        "n_name AS description",
+        *blank,
     )
-    order = [c.split()[0] for c in SHARED["invtable"].split(", ")]
-    return parts.unionByName(nations).select(order)
+    return parts.unionByName(nations).select(schema("invtable").names)
 
 
 def invtable_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,17 +297,12 @@ def camx_fcrs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vbs_svoc_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     choices = ((0.03, 0.25, 0.37, 0.24, 0.11), (0.27, 0.15, 0.26, 0.15, 0.17), (1.0, 0.0, 0.0, 0.0, 0.0))
-    pick = F.col("o_orderkey") % 3
     bins = [
-        F.when(pick == 0, choices[0][i]).when(pick == 1, choices[1][i]).otherwise(choices[2][i])
-        for i in range(len(choices[0]))
+        f"CAST(CASE o_orderkey % 3 WHEN 0 THEN {a} WHEN 1 THEN {b} ELSE {c} END AS DECIMAL(10,6)) AS bin{i}"
+        for i, (a, b, c) in enumerate(zip(*choices))
     ]
-    return _pm_orders(spark, sf_dir).select(
-        _key("o_orderkey").alias("profile_id"),
-        F.lit("P_PVB").alias("cmaq_svocname"),
-        F.lit("PAP").alias("camx_svocname"),
-        *[b.cast("decimal(10,6)").alias(f"bin{i}") for i, b in enumerate(bins)],
-    )
+    names = ["'P_PVB' AS cmaq_svocname", "'PAP' AS camx_svocname"]
+    return _pm_orders(spark, sf_dir).selectExpr("CAST(o_orderkey AS STRING) AS profile_id", *names, *bins)
 
 
 def vbs_ivoc_factors(spark: SparkSession, sf_dir: str) -> DataFrame:

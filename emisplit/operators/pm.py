@@ -82,24 +82,25 @@ def pm_user_weights(profiles: DataFrame, user_weights: DataFrame) -> DataFrame:
     return _with_profile(select_pm(profiles), user_weights)
 
 
-def pncom_factor() -> Column:
-    """Non-carbon part of organic matter by kind of source."""
-    equipment = F.col("sec_equipment")
-    return (
-        F.when(equipment.like("%biomass burning%") & ~equipment.like("%boiler%"), F.lit(0.7))
-        .when((F.col("gen_mechanism") == "Combustion") & equipment.like("%Mobile%"), F.lit(0.25))
-        .otherwise(F.lit(0.4))
-    )
+#: Non-carbon part of organic matter by kind of source (fixed values).
+PNCOM_FACTOR = """CAST(CASE
+    WHEN sec_equipment LIKE '%biomass burning%' AND sec_equipment NOT LIKE '%boiler%' THEN 0.7
+    WHEN gen_mechanism = 'Combustion' AND sec_equipment LIKE '%Mobile%' THEN 0.25
+    ELSE 0.4 END AS DECIMAL(10,6))"""
+
+
+def _in(*species: str) -> str:
+    return "specie_id IN (" + ", ".join(f"'{s}'" for s in species) + ")"
 
 
 def _percent_of(*species: str) -> Column:
     """Sum over the given species, NULL when the profile has none of them."""
-    return F.sum(F.when(F.col("specie_id").isin(*species), F.col("percent")))
+    return F.expr(f"sum(CASE WHEN {_in(*species)} THEN percent END)")
 
 
 def _has(species: str) -> Column:
     """Whether the profile has a positive amount of the species."""
-    return F.max((F.col("specie_id") == species) & (F.col("percent") > 0))
+    return F.expr(f"max(specie_id = '{species}' AND percent > 0)")
 
 
 def _profile_facts() -> dict[str, Column]:
@@ -109,7 +110,7 @@ def _profile_facts() -> dict[str, Column]:
         "ammonium": _percent_of(AMMONIUM),
         "carbon": _percent_of(ORGANIC_CARBON),
         "water": _percent_of(WATER),
-        "bound_oxygen": F.sum(F.col("percent") * F.col("o2m_ratio")),
+        "bound_oxygen": F.expr("sum(percent * o2m_ratio)"),
         "ratio_of_sulfate": F.max("sulfate_ratio"),
         "ratio_of_water": F.max("water_ratio"),
         "lead": F.min("specie_id"),
@@ -118,9 +119,7 @@ def _profile_facts() -> dict[str, Column]:
         facts[f"has_{ion}"] = _has(ion)
         facts[f"has_{atom}"] = _has(atom)
         if oxide:
-            facts[f"oxide_{ion}"] = F.sum(
-                F.when((F.col("specie_id") == oxide) & (F.col("percent") > 0), F.col("percent"))
-            )
+            facts[f"oxide_{ion}"] = F.expr(f"sum(CASE WHEN specie_id = '{oxide}' AND percent > 0 THEN percent END)")
     return facts
 
 
@@ -164,62 +163,63 @@ def fill_gaps(rows: DataFrame, totals: Totals, o2m: DataFrame) -> DataFrame:
 
 def _fill_species(rows: DataFrame, totals: Totals, o2m: DataFrame) -> DataFrame:
     facts = totals(rows.join(_ratio_lookup(o2m), "specie_id", "left"), ["profile_id"], **_profile_facts())
-    plain = F.col("profile_type") == PLAIN_TYPE
-    new_sulfate = F.when(F.col("sulfate").isNull(), store(F.col("sulfur") * 3, 15, 8))
-    facts = facts.withColumn("new_sulfate", new_sulfate)
-    all_sulfate = F.coalesce("sulfate", "new_sulfate")
-
-    has_source = all_sulfate.isNotNull() | F.col("ammonium").isNotNull()
-    zero = F.lit(0).cast("decimal(15,8)")
-    dry = F.coalesce(F.col("gen_mechanism") == "Combustion", F.lit(False))
-    humid = store((F.coalesce(all_sulfate, zero) + F.coalesce("ammonium", zero)) * F.lit("0.24").cast("decimal(3,2)"), 15, 8)
-    new_water = F.when(plain & has_source & ~dry & F.col("water").isNull() & (humid != 0), humid)
-    facts = facts.withColumn("new_water", new_water)
-
-    none = F.lit(0)
-    unadjusted = store(
-        F.coalesce("bound_oxygen", none)
-        + F.coalesce(F.col("new_sulfate") * F.col("ratio_of_sulfate"), none)
-        + F.coalesce(F.col("new_water") * F.col("ratio_of_water"), none),
-        26,
-        14,
+    facts = facts.withColumn(
+        "new_sulfate", F.expr("CASE WHEN sulfate IS NULL THEN CAST(sulfur * 3 AS DECIMAL(15,8)) END")
+    ).withColumn("all_sulfate", F.expr("CAST(coalesce(sulfate, new_sulfate) AS DECIMAL(15,8))"))
+    wet = f"profile_type = '{PLAIN_TYPE}' AND water IS NULL AND coalesce(gen_mechanism, '') <> 'Combustion'"
+    humid = "CAST((coalesce(all_sulfate, 0) + coalesce(ammonium, 0)) * 0.24 AS DECIMAL(15,8))"
+    # A profile without sulfate and ammonium has none of it: the sum is zero.
+    facts = facts.withColumn("new_water", F.expr(f"CASE WHEN {wet} THEN nullif({humid}, 0) END"))
+    facts = facts.withColumns(
+        {
+            "metal_oxygen": F.expr(
+                "CAST(coalesce(bound_oxygen, 0) + coalesce(new_sulfate * ratio_of_sulfate, 0)"
+                " + coalesce(new_water * ratio_of_water, 0) AS DECIMAL(26,14))"
+            ),
+            # Ammonium takes 96 / 2 per 18 of sulfate; a sixth of the rest is oxygen.
+            "free_sulfate": F.expr("CAST(coalesce(all_sulfate * 18 - coalesce(ammonium, 0) * 48, 0) AS DECIMAL(20,8))"),
+        }
     )
-    # Ammonium takes 96 / 2 per 18 of sulfate; a sixth of the rest is oxygen.
-    free_sulfate = F.coalesce(all_sulfate * 18 - F.coalesce("ammonium", none) * 48, none)
-    adjusted = F.when(free_sulfate <= 0, unadjusted).otherwise((unadjusted * 108 - store(free_sulfate, 20, 8)) / 108)
-    new_oxygen = F.when(plain, store(F.greatest(adjusted, F.lit(0).cast("decimal(26,14)")), 15, 8))
-    new_organic = F.when(plain, store(F.col("carbon") * pncom_factor().cast("decimal(10,6)"), 15, 8))
-
+    adjusted = "CASE WHEN free_sulfate <= 0 THEN metal_oxygen ELSE (metal_oxygen * 108 - free_sulfate) / 108 END"
+    plain = f"CASE WHEN profile_type = '{PLAIN_TYPE}' THEN {{}} END"
     added = [
-        (SULFATE, F.col("new_sulfate")),
-        (WATER, F.col("new_water")),
-        (METAL_OXYGEN, new_oxygen),
-        (NON_CARBON_ORGANIC, new_organic),
+        (SULFATE, "new_sulfate"),
+        (WATER, "new_water"),
+        (METAL_OXYGEN, plain.format(f"greatest(CAST({adjusted} AS DECIMAL(15,8)), 0)")),
+        (NON_CARBON_ORGANIC, plain.format(f"carbon * {PNCOM_FACTOR}")),
     ]
     for ion, atom, oxide, ratio in ELEMENTS:
         if oxide:
-            absent = ~F.col(f"has_{ion}") & ~F.col(f"has_{atom}")
-            added.append((ion, F.when(absent, store(store(F.col(f"oxide_{ion}") * ratio[0], 26, 18) / ratio[1], 15, 8))))
+            amount = f"CAST(oxide_{ion} * {ratio[0]} AS DECIMAL(26,18)) / {ratio[1]}"
+            added.append((ion, f"CASE WHEN NOT has_{ion} AND NOT has_{atom} THEN {amount} END"))
 
-    def row(specie_id: Column, percent: Column) -> Column:
-        return F.struct("profile_id", "profile_type", specie_id.alias("specie_id"), percent.alias("percent"))
+    def row(specie_id: str, percent: str) -> str:
+        return (
+            "named_struct('profile_id', profile_id, 'profile_type', profile_type, "
+            f"'specie_id', {specie_id}, 'percent', CAST({percent} AS DECIMAL(15,8)))"
+        )
 
     own = row(*_resolved())
-    extra = [row(F.lit(specie), percent) for specie, percent in added]
-    out = F.when(F.col("specie_id") == F.col("lead"), F.array(own, *extra)).otherwise(F.array(own))
-    return facts.select(F.inline(out)).where("percent is not null")
+    extra = ", ".join(row(f"'{specie}'", percent) for specie, percent in added)
+    out = f"inline(CASE WHEN specie_id = lead THEN array({own}, {extra}) ELSE array({own}) END)"
+    return facts.selectExpr(out).where("percent is not null")
 
 
-def _resolved() -> tuple[Column, Column]:
-    """Species and percent of an input row; NULL percent drops the row."""
-    specie, percent = F.col("specie_id"), F.col("percent")
-    renamed, empty = specie, F.lit(False)
-    for ion, atom, oxide, _ in ELEMENTS:
-        takes_ion = (specie == atom) & (percent > 0) & ~F.col(f"has_{ion}")
-        renamed = F.when(takes_ion, F.lit(ion)).otherwise(renamed)
-        empty = empty | (specie.isin(*[s for s in (ion, atom, oxide) if s]) & (percent == 0))
-    dropped = empty | specie.isin(*DOUBLE_COUNTED) | renamed.isin(*REPLACED)
-    return renamed, F.when(~dropped, percent)
+def _resolved() -> tuple[str, str]:
+    """Species and percent of an input row; NULL percent drops the row.
+
+    A positive atom takes the place of its ion where the ion is absent. Empty
+    ions, atoms and oxides, double counted species and replaced ones go.
+    """
+    renames = " ".join(
+        f"WHEN specie_id = '{atom}' AND percent > 0 AND NOT has_{ion} THEN '{ion}'" for ion, atom, _, _ in ELEMENTS
+    )
+    takes_ion = " OR ".join(f"(specie_id = '{atom}' AND percent > 0 AND NOT has_{ion})" for ion, atom, _, _ in ELEMENTS)
+    members = [s for ion, atom, oxide, _ in ELEMENTS for s in (ion, atom, oxide) if s]
+    dropped = (
+        f"(percent = 0 AND {_in(*members)}) OR {_in(*DOUBLE_COUNTED)} OR ({_in(*REPLACED)} AND NOT ({takes_ion}))"
+    )
+    return f"CASE {renames} ELSE specie_id END", f"CASE WHEN NOT ({dropped}) THEN percent END"
 
 
 def _scale_over_101(rows: DataFrame, totals: Totals) -> DataFrame:
