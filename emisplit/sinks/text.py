@@ -49,13 +49,55 @@ def header_lines(metadata: DataFrame, prefix: str = "#") -> DataFrame:
     return _lines(metadata, 0, line, "keyword")
 
 
+def _as_printed(name: str, scale: int, digits: int) -> Column:
+    """Round a decimal to ``digits`` the way C prints the nearest double.
+
+    A value halfway between two printed numbers goes to the side its double
+    lies on, or to the even one when the double is exact. The side is the sign
+    of ``double * 10**scale - units``, computed without error by splitting the
+    double in two halves.
+    """
+    value = F.col(name)
+    units = F.abs(value * F.lit(10**scale)).cast("bigint")
+    step = 10 ** (scale - digits)
+    rest = units % step
+    x = F.abs(double(value))
+    power = F.lit(float(10**scale))
+    high = x * 134217729.0 - (x * 134217729.0 - x)
+    side = (high * power - units.cast("double")) + (x - high) * power
+    is_odd = ((units - rest) / F.lit(step)).cast("bigint") % 2 == 1
+    half = rest == step // 2
+    up = (rest > step // 2) | (half & ((side > 0) | ((side == 0) & is_odd)))
+    rounded = units - rest + F.when(up, step).otherwise(0)
+    return F.signum(double(value)) * (rounded.cast("double") / power)
+
+
 def split_lines(splits: DataFrame) -> DataFrame:
     """Split factor rows; small factors in scientific notation."""
     profile = F.coalesce("profile_id", F.lit(""))
-    split, divisor, mass = double("split_factor"), double("divisor"), double("mass_fraction")
     names = (profile, "eminv_poll", "aqm_poll")
-    plain = F.format_string("%-20s %-20s %-10s %12.6f %12.6f %12.6f", *names, split, divisor, mass)
-    small = F.format_string("%-20s %-20s %-10s %.6e %12.6f %.6e", *names, split, divisor, mass)
+    divisor = _as_printed("divisor", 8, 6)
+
+    def small_number(name: str) -> Column:
+        """Seven digits: nine decimals from a thousandth on, all ten below."""
+        value = double(name)
+        return F.when(F.abs(value) >= 0.001, _as_printed(name, 10, 9)).otherwise(value)
+
+    split = double("split_factor")
+    plain = F.format_string(
+        "%-20s %-20s %-10s %12.6f %12.6f %12.6f",
+        *names,
+        _as_printed("split_factor", 10, 6),
+        divisor,
+        _as_printed("mass_fraction", 10, 6),
+    )
+    small = F.format_string(
+        "%-20s %-20s %-10s %.6e %12.6f %.6e",
+        *names,
+        small_number("split_factor"),
+        divisor,
+        small_number("mass_fraction"),
+    )
     line = F.when(split >= SCIENTIFIC_BELOW, plain).otherwise(small)
     return _lines(splits, 2, line, "profile_id", "eminv_poll", "aqm_poll")
 
@@ -83,7 +125,7 @@ def _written(rows: DataFrame, scenarios: tuple[Scenario, ...]) -> DataFrame:
 
 def conversion_lines(conversions: DataFrame) -> DataFrame:
     line = F.format_string(
-        "%-20s %-20s %-20s %12.8f ", "from_specie", "to_specie", "profile_id", double("cnv_factor")
+        "%-20s %-20s %-20s %12.8f ", "from_specie", "to_specie", "profile_id", _as_printed("cnv_factor", 10, 8)
     )
     return _lines(conversions, 2, line, "from_specie", "to_specie", "profile_id")
 

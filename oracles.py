@@ -662,6 +662,36 @@ SELECT CAST(o_orderkey AS VARCHAR) AS profile_id,
        round(CAST(0.5 AS DOUBLE) + CASE WHEN o_orderstatus = 'F' THEN 0.5 ELSE 0.4 END, 6) AS bin_sum
 FROM orders WHERE o_orderstatus <> 'F'"""
 
+    meta = """
+meta AS (
+  SELECT * FROM (VALUES ('AQM', 'CMAQ'), ('MECH', 'M_A'), ('RUN_TYPE', 'INTEGRATE'), ('PROCESS', 'Not Applicable'),
+    ('INVTABLE', 'part.parquet'), ('PROFILES', 'Not Applicable'), ('CARBONS', 'part.parquet'),
+    ('STATIC', 'Not Applicable')) v(keyword, dataval))"""
+    meta_rows = """SELECT 'integrate' AS scenario_id, 0 AS section,
+       printf('%-20s %s %s', '#' || keyword, dataval, '') AS line FROM meta"""
+    names = "'%-20s %-20s %-10s ', profile_id, 'NONHAPTOG', aqm_poll"
+    sql["gspro_lines"] = integrate + "," + meta + f"""
+{meta_rows}
+UNION ALL
+SELECT 'integrate', 1, printf('%-15s %-20s', '#NHAP NONHAPTOG',
+       CASE WHEN mode = '' THEN eminv_poll ELSE mode || '__' || eminv_poll END)
+FROM invtable WHERE voc IN ('V', 'T')
+UNION ALL
+SELECT 'integrate', 2, printf({names}) || CASE WHEN split >= 0.0099
+       THEN printf('%12.6f %12.6f %12.6f', split, divisor, split)
+       ELSE printf('%.6e %12.6f %.6e', split, divisor, split) END
+FROM (SELECT profile_id, aqm_poll, {_real("split10", 10)} AS split, {_real("avg8", 8)} AS divisor FROM splits
+      UNION ALL SELECT profile_id, 'VOC', 0, 1 FROM actox)"""
+    sql["gscnv_lines"] = _gas("M_A", _INTEGRATE_TAIL, _INTEGRATE_WEIGHTS, _CNV, meta) + f"""
+{meta_rows}
+UNION ALL
+SELECT 'integrate', 2, printf('%-20s %-20s %-20s %12.8f ', 'NONHAPVOC', 'NONHAPTOG', profile_id,
+       CAST(coalesce(c.factor10, 0) AS DOUBLE) / 1e10)
+FROM (SELECT DISTINCT profile_id FROM gas_norm) g LEFT JOIN cnv c USING (profile_id)"""
+    sql["volatility_lines"] = (
+        f"SELECT specie_id || chr(9) || specie_name || chr(9) || voc_class AS line FROM ({sql['volatility_class']})"
+    )
+
     # Several scenarios in one result.
     parts = {
         "crit": (_PLAIN, f"{_split_rows('crit', 'TOG')} UNION ALL {_VOC_ROWS.format(scenario='crit')}"),
