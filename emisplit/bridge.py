@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emisplit.functions import inline_table, store
+from emisplit.functions import inline_table, spread_totals
 from emisplit.operators.pm import PM_TYPES
 from emisplit.plans.tables import Tables
 from emisplit.schemas import INVTABLE_WIDTHS, SHARED, schema
@@ -109,11 +109,11 @@ def species(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _shares(rows: DataFrame, lineitem: DataFrame, factor: Column) -> DataFrame:
+def _shares(rows: DataFrame, factor: Column) -> DataFrame:
     """Percent of each species in the quantity of its order."""
-    totals = lineitem.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("order_quantity"))
+    totals = spread_totals(rows, ["l_orderkey"], order_quantity=F.sum("quantity"))
     percent = F.round(F.lit(100.0) * F.col("quantity") / F.col("order_quantity") * factor, 6)
-    return rows.join(totals, "l_orderkey").withColumn("percent", percent.cast("decimal(12,6)"))
+    return totals.withColumn("percent", percent.cast("decimal(12,6)"))
 
 
 def gas_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +122,7 @@ def gas_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     factor = F.when(order % 7 == 0, 0.9).when(order % 11 == 0, 1.1).otherwise(1.0)
     lineitem = read(spark, sf_dir, "lineitem")
     rows = lineitem.groupBy("l_orderkey", "l_partkey").agg(F.sum("l_quantity").alias("quantity"))
-    return _shares(rows, lineitem, factor).select(
+    return _shares(rows, factor).select(
         _key("l_orderkey").alias("profile_id"), _key("l_partkey").alias("specie_id"), "percent"
     )
 
@@ -143,7 +143,7 @@ def pm_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = read(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.substring("o_orderpriority", 1, 1).alias("kind")
     )
-    weights = _shares(rows, lineitem, factor).join(kinds, "l_orderkey", "left")
+    weights = _shares(rows, factor).join(kinds, "l_orderkey", "left")
     weights = weights.withColumn("specie_id", F.get(names, F.col("position")))
     is_own = (F.col("specie_id") == "2669") & F.coalesce(F.col("kind") == "3", F.lit(False))
     return weights.where(~is_own).select(_key("l_orderkey").alias("profile_id"), "specie_id", "percent")

@@ -4,8 +4,10 @@ from emisplit.functions.columns import double, inline_table, null_as, store
 from emisplit.functions.grouping import (
     GROUP_LIMIT,
     by_group_size,
-    joined_totals,
+    checkpointed_totals,
     large_groups,
+    splittable,
+    spread_totals,
     window_totals,
 )
 
@@ -14,8 +16,10 @@ __all__ = [
     "by_group_size",
     "double",
     "inline_table",
-    "joined_totals",
+    "checkpointed_totals",
     "large_groups",
+    "splittable",
+    "spread_totals",
     "null_as",
     "store",
     "window_totals",

@@ -7,11 +7,9 @@ There are two ways to get it, and which is right depends on the group:
   total. All later totals on the same key (or on a key that contains it) reuse
   that partitioning, so a whole chain of totals costs a single shuffle. A group
   lives in one task, which is only acceptable while the group is small.
-* ``joined_totals``: a map-side combined aggregate joined back on the key. The
-  rows of one group stay spread over many tasks: the aggregate moves one
-  partial sum per task and group, and a skewed join partition is split by
-  adaptive execution (``emisplit.session.tune`` turns the split on even when
-  it costs another shuffle).
+* ``spread_totals``: a map-side combined aggregate. Groups over a row limit
+  are few, so their totals are broadcast to the rows, which stay where they
+  are; the remaining groups are small and take the window.
 
 ``by_group_size`` sends each group down the fitting way, so a single key that
 holds a third of all rows is never collected into one task.
@@ -39,11 +37,36 @@ def window_totals(rows: DataFrame, keys: list[str], **totals: Column) -> DataFra
     return rows.select("*", *[agg.over(group).alias(name) for name, agg in totals.items()])
 
 
-def joined_totals(rows: DataFrame, keys: list[str], **totals: Column) -> DataFrame:
-    """The rows are read twice, so they are written out once before."""
-    kept = cut_lineage(rows)
-    sums = kept.groupBy(*keys).agg(*[agg.alias(name) for name, agg in totals.items()])
-    return kept.join(sums, keys)
+def spread_totals(rows: DataFrame, keys: list[str], limit: int = GROUP_LIMIT, **totals: Column) -> DataFrame:
+    """Totals for rows whose groups may be of any size; keys are not NULL.
+
+    The broadcast side has at most ``number of rows / limit`` entries.
+    """
+    sums = rows.groupBy(*keys).agg(*[agg.alias(name) for name, agg in totals.items()], F.count("*").alias("members"))
+    marked = rows.join(F.broadcast(sums.where(F.col("members") > limit)), keys, "left")
+    columns = [*rows.columns, *totals]
+    spread = marked.where("members is not null").select(columns)
+    small = marked.where("members is null").select(rows.columns)
+    return window_totals(small, keys, **totals).select(columns).unionByName(spread)
+
+
+def checkpointed_totals(limit: int = GROUP_LIMIT) -> Totals:
+    """``spread_totals`` that first writes out the rows it reads three times."""
+
+    def totals(rows: DataFrame, keys: list[str], **aggregates: Column) -> DataFrame:
+        return spread_totals(cut_lineage(rows), keys, limit, **aggregates)
+
+    return totals
+
+
+def splittable(rows: DataFrame, key: str) -> DataFrame:
+    """Give an aggregated join side a shuffle of its own.
+
+    Adaptive execution splits a skewed partition only between two shuffles. A
+    side that comes straight from an aggregate on the join key has none left;
+    computing the key anew makes the join shuffle it once more.
+    """
+    return rows.withColumn(key, F.concat(F.col(key), F.lit("")))
 
 
 def large_groups(members: DataFrame, key: str, limit: int = GROUP_LIMIT) -> DataFrame | None:
@@ -61,8 +84,9 @@ def by_group_size(
     key: str,
     large: DataFrame | None,
     transform: Callable[[DataFrame, Totals], DataFrame],
+    limit: int = GROUP_LIMIT,
 ) -> DataFrame:
-    """Run ``transform`` with windows on small groups and joins on large ones.
+    """Run ``transform`` with windows on small groups and spread out on large ones.
 
     ``large`` comes from ``large_groups``. The anti join is a broadcast one and
     takes the rows of large groups out before the windows' shuffle.
@@ -71,4 +95,4 @@ def by_group_size(
         return transform(rows, window_totals)
     listed = F.broadcast(large)
     small_groups = transform(rows.join(listed, key, "left_anti"), window_totals)
-    return small_groups.unionByName(transform(rows.join(listed, key, "left_semi"), joined_totals))
+    return small_groups.unionByName(transform(rows.join(listed, key, "left_semi"), checkpointed_totals(limit)))

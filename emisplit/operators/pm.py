@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emisplit.functions import store
+from emisplit.functions import splittable, store
 from emisplit.functions.grouping import Totals
 
 # Species ids (fixed values).
@@ -162,7 +162,7 @@ def fill_gaps(rows: DataFrame, totals: Totals, o2m: DataFrame) -> DataFrame:
 
 
 def _fill_species(rows: DataFrame, totals: Totals, o2m: DataFrame) -> DataFrame:
-    facts = totals(rows.join(_ratio_lookup(o2m), "specie_id", "left"), ["profile_id"], **_profile_facts())
+    facts = totals(rows.join(splittable(_ratio_lookup(o2m), "specie_id"), "specie_id", "left"), ["profile_id"], **_profile_facts())
     facts = facts.withColumn(
         "new_sulfate", F.expr("CASE WHEN sulfate IS NULL THEN CAST(sulfur * 3 AS DECIMAL(15,8)) END")
     ).withColumn("all_sulfate", F.expr("CAST(coalesce(sulfate, new_sulfate) AS DECIMAL(15,8))"))

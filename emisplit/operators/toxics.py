@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emisplit.functions import null_as, store
+from emisplit.functions import null_as, splittable, store
 from emisplit.functions.grouping import Totals
 from emisplit.operators.gas import share_of_100, split_columns
 from emisplit.operators.mechanism import grams_per_mole
@@ -48,7 +48,7 @@ def haps(invtable: DataFrame) -> DataFrame:
 
 def actox_profiles(rows: DataFrame, toxics: DataFrame) -> DataFrame:
     """Profiles that consist of active toxics entirely."""
-    active = toxics.where("active = 'A'").select("specie_id")
+    active = splittable(toxics.where("active = 'A'").select("specie_id"), "specie_id")
     sums = rows.join(active, "specie_id").groupBy("profile_id").agg(store(F.sum("percent"), 12, 8).alias("sum_pct"))
     return sums.where("sum_pct >= 100").select("profile_id")
 
@@ -59,7 +59,8 @@ def integrate_weights(rows: DataFrame, totals: Totals, hap_species: DataFrame) -
     HAP rows stay with a NULL percent, so a profile made of HAPs only remains
     visible to the conversion factors.
     """
-    flagged = rows.join(hap_species.select("specie_id", F.lit(True).alias("is_hap")), "specie_id", "left")
+    listed = splittable(hap_species, "specie_id").select("specie_id", F.lit(True).alias("is_hap"))
+    flagged = rows.join(listed, "specie_id", "left")
     rest = flagged.withColumn("percent", F.when(F.col("is_hap").isNull(), F.col("percent"))).drop("is_hap")
     summed = totals(rest, ["profile_id"], total=F.sum("percent")).withColumn("sum_pct", store("total", 12, 8))
     return summed.withColumn("percent", share_of_100("sum_pct")).select(rows.columns)
@@ -67,8 +68,8 @@ def integrate_weights(rows: DataFrame, totals: Totals, hap_species: DataFrame) -
 
 def nointegrate_weights(rows: DataFrame, hap_species: DataFrame, toxics: DataFrame) -> DataFrame:
     """Remove species that are HAP and active toxic; the rest is not scaled."""
-    removed = toxics.where("active = 'A'").select("specie_id").join(hap_species, "specie_id", "left_semi").distinct()
-    return rows.join(removed, "specie_id", "left_anti").select(rows.columns)
+    removed = toxics.where("active = 'A'").select("specie_id").join(hap_species, "specie_id", "left_semi")
+    return rows.join(splittable(removed, "specie_id"), "specie_id", "left_anti").select(rows.columns)
 
 
 def nhap_header(invtable: DataFrame) -> DataFrame:

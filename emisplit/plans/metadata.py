@@ -27,9 +27,11 @@ def _given(scenario: Scenario) -> dict[str, str | None]:
     return values
 
 
-def _sources(scenario: Scenario) -> list[str]:
+def _sources(scenario: Scenario, profiles_source: bool) -> list[str]:
     """Keywords that keep the recorded source file."""
     keys = ["INVTABLE"]
+    if profiles_source and scenario.pro_file is None:
+        keys.append("PROFILES")
     if scenario.wants_gas:
         if scenario.kind != HAPLIST and scenario.pro_file is None:
             keys.append("GAS_PROFILES")
@@ -47,17 +49,20 @@ def _sources(scenario: Scenario) -> list[str]:
     return keys
 
 
-def metadata_rows(metadata: DataFrame, scenarios: tuple[Scenario, ...], flags: DataFrame) -> DataFrame:
+def metadata_rows(
+    metadata: DataFrame, scenarios: tuple[Scenario, ...], flags: DataFrame, *, profiles_source: bool = False
+) -> DataFrame:
     """Keyword and value rows per scenario.
 
     Every recorded keyword appears; the ones a run does not use say so. The
-    header and the scenario list are both small by construction.
+    source of the profile weights is among those unless ``profiles_source``
+    asks for it. Header and scenario list are both small by construction.
     """
     spark = metadata.sparkSession
     choices = []
     for s in scenarios:
         given = _given(s)
-        sources = [k for k in _sources(s) if k not in given]
+        sources = [k for k in _sources(s, profiles_source) if k not in given]
         choices.append((s.run_name, given, sources))
     rows = [(name, key, value, False) for name, given, _ in choices for key, value in given.items()]
     rows += [(name, key, None, True) for name, _, sources in choices for key in sources]

@@ -50,6 +50,7 @@ class Batch:
     tables: Tables
     large: LargeProfiles = field(default_factory=LargeProfiles)
     case_insensitive: bool = False
+    profiles_source: bool = False
 
     @property
     def weights(self) -> DataFrame:
@@ -64,7 +65,7 @@ class Batch:
         return t.weight_members if t.user_profile_wts is None and t.weight_members is not None else self.weights
 
     def each_profile(self, rows: DataFrame, step: Callable[[DataFrame, Totals], DataFrame]) -> DataFrame:
-        return by_group_size(rows, "profile_id", self.large.of(self.members), step)
+        return by_group_size(rows, "profile_id", self.large.of(self.members), step, self.large.limit)
 
     @property
     def first(self) -> Scenario:
@@ -421,7 +422,11 @@ def _union(parts: Iterable[DataFrame | None]) -> DataFrame | None:
 
 
 def _batches(
-    spark: SparkSession, runs: list[tuple[Scenario, Tables]], large: LargeProfiles, case_insensitive: bool
+    spark: SparkSession,
+    runs: list[tuple[Scenario, Tables]],
+    large: LargeProfiles,
+    case_insensitive: bool,
+    profiles_source: bool,
 ) -> list[Batch]:
     groups: dict[tuple, list[Scenario]] = {}
     tables: dict[tuple, Tables] = {}
@@ -432,7 +437,7 @@ def _batches(
         )
         groups.setdefault(key, []).append(scenario)
         tables[key] = inputs
-    return [Batch(spark, tuple(g), tables[k], large, case_insensitive) for k, g in groups.items()]
+    return [Batch(spark, tuple(g), tables[k], large, case_insensitive, profiles_source) for k, g in groups.items()]
 
 
 def _batch_results(batch: Batch, with_report: bool) -> Results:
@@ -459,7 +464,9 @@ def _batch_results(batch: Batch, with_report: bool) -> Results:
     if t.rename_species is not None:
         splits = outputs.rename_model_species(splits, t.rename_species, batch.runs)
     splits = outputs.drop_unknown(splits, batch.flags)
-    metadata = None if t.metadata is None else metadata_rows(t.metadata, batch.scenarios, batch.flags)
+    metadata = None
+    if t.metadata is not None:
+        metadata = metadata_rows(t.metadata, batch.scenarios, batch.flags, profiles_source=batch.profiles_source)
     if with_report:
         checks.append(quality.duplicate_keys(splits, KEYS["gspro"], "duplicate_split"))
     return Results(
@@ -474,15 +481,20 @@ def run_scenarios(
     with_report: bool = True,
     group_limit: int = GROUP_LIMIT,
     case_insensitive_mechanism: bool = False,
+    profiles_source: bool = False,
 ) -> Results:
-    """Plan any number of scenarios; names must differ."""
+    """Plan any number of scenarios; names must differ.
+
+    The two last options deviate on request: mechanism descriptions are found
+    in any case, and the header names the source of the profile weights.
+    """
     runs = list(runs)
     names = [s.run_name for s, _ in runs]
     if not runs or len(set(names)) != len(names):
         raise SpeciationError(f"scenario names must be given and differ: {names}")
     for scenario, _ in runs:
         scenario.check_required().check_pm_run_type()
-    batches = _batches(spark, runs, LargeProfiles(group_limit), case_insensitive_mechanism)
+    batches = _batches(spark, runs, LargeProfiles(group_limit), case_insensitive_mechanism, profiles_source)
     done = [_batch_results(b, with_report) for b in batches]
     return Results(
         tuple(s for s, _ in runs),

@@ -4,11 +4,23 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emisplit.plans.scenario import SETTINGS, Scenario
+from emisplit.plans.tables import Tables
+from emisplit.schemas import KEYS
+from emisplit.sources.files import (
+    assert_filled,
+    assert_unique,
+    read_lines,
+    read_primary,
+    read_process,
+    read_toxics,
+    read_user_weights,
+)
 
 
 def parse_control(lines: DataFrame) -> DataFrame:
@@ -44,6 +56,30 @@ def scenarios_from(runs: DataFrame) -> list[Scenario]:
     ]
 
 
+def read_scenarios(spark: SparkSession, paths: Mapping[str, str]) -> list[Scenario]:
+    """Scenarios of control files, by run name."""
+    parts = [
+        read_lines(spark, path).select(F.lit(name.strip()).alias("run_name"), "value") for name, path in paths.items()
+    ]
+    return scenarios_from(parse_control(reduce(DataFrame.unionByName, parts)))
+
+
+def with_user_files(spark: SparkSession, scenario: Scenario, tables: Tables) -> Tables:
+    """The tables of a run, with the user files its settings name."""
+    readers = {
+        "toxics": (scenario.tox_file, read_toxics),
+        "gas_process": (scenario.proc_file, read_process),
+        "primary": (scenario.primary_file, read_primary),
+        "user_profile_wts": (scenario.pro_file, read_user_weights),
+    }
+    found = {}
+    for table, (path, reader) in readers.items():
+        if path:
+            rows = assert_filled(reader(spark, path), table)
+            found[table] = assert_unique(rows, KEYS[table], table) if table in KEYS else rows
+    return tables.with_(**found) if found else tables
+
+
 def scenario_from_environment(run_name: str, environ: Mapping[str, str] | None = None) -> Scenario:
     """The same keywords from environment variables; empty means not set."""
     env = os.environ if environ is None else environ

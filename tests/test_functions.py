@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import values
-from emisplit.functions import by_group_size, inline_table, joined_totals, large_groups, store, window_totals
+from emisplit.functions import by_group_size, inline_table, large_groups, spread_totals, store, window_totals
 
 
 def test_store_rounds_half_away_from_zero(table):
@@ -38,7 +38,10 @@ def test_totals_agree_at_any_group_size(table, limit):
         first = totals(part, ["k"], total=F.sum("v"))
         return totals(first.withColumn("w", F.col("v") * F.col("total")), ["k"], again=F.sum("w"))
 
-    got = by_group_size(rows, "k", large_groups(rows, "k", limit), share)
+    def spread(part, keys, **totals):
+        return spread_totals(part, keys, limit, **totals)
+
+    got = by_group_size(rows, "k", large_groups(rows, "k", limit), share, limit)
     want = share(rows, window_totals)
     columns = ("k", "v", "total", "w", "again")
-    assert values(got, *columns) == values(want, *columns) == values(share(rows, joined_totals), *columns)
+    assert values(got, *columns) == values(want, *columns) == values(share(rows, spread), *columns)

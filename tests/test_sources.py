@@ -5,6 +5,7 @@ from conftest import values
 from emisplit.errors import SpeciationError
 from emisplit.sources import control, files, lines
 from emisplit.plans.scenario import Scenario
+from emisplit.plans.tables import Tables
 
 
 def _write(path, text):
@@ -87,6 +88,23 @@ def test_control_lines(spark):
     assert (second.run_name, second.model, second.kind, second.tolerance_pct) == ("r2", "CAMX", None, 5.0)
 
 
+def test_control_and_user_files(spark, tmp_path):
+    toxics = _write(tmp_path / "tox.csv", "CMAQ,1,A\nCMAQ,2,B\n")
+    weights = _write(tmp_path / "wts.csv", "G,1,50\nG,2,50\n")
+    paths = {
+        "one": _write(tmp_path / "c1", f"AQM,CMAQ\nTOX_FILE,{toxics}\nPRO_FILE,{weights}\n"),
+        "two": _write(tmp_path / "c2", "AQM,CAMx\n"),
+    }
+    one, two = control.read_scenarios(spark, paths)
+    tables = control.with_user_files(spark, one, Tables())
+    assert values(tables.toxics, "specie_id", "aqm_poll") == [("1", "A"), ("2", "B")]
+    assert values(tables.user_profile_wts, "specie_id", "percent") == [("1", 50.0), ("2", 50.0)]
+    assert control.with_user_files(spark, two, Tables()) == Tables()
+    _write(tmp_path / "tox.csv", "CMAQ,1,A\nCMAQ,1,A\n")
+    with pytest.raises(SpeciationError, match="duplicate key"):
+        control.with_user_files(spark, one, Tables())
+
+
 def test_environment():
     scenario = control.scenario_from_environment(" r ", {"AQM": " CMAQ ", "OUTPUT": "", "OTHER": "x"})
     assert scenario == Scenario("r", aqm="CMAQ")
