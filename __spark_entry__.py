@@ -6,9 +6,11 @@ and ``oracle_sql`` the statement for DuckDB under the same name.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
+from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -410,6 +412,25 @@ def quality_svoc_sum(spark, sf_dir):
     return _doubles(quality.bad_svoc_sums(factors), "bin_sum")
 
 
+# ---------------------------------------------------------------- corpus operators
+
+
+def _corpus_module(name: str) -> ModuleType | None:
+    """A module of the corpus operators, or None where they are not installed."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as error:
+        if error.name not in (name, "emisplit.llm"):
+            raise
+        return None
+
+
+def _corpus_entries(entry: str) -> dict:
+    """What the corpus modules that are there list under ``entry``."""
+    modules = (_corpus_module("emisplit.llm.queries"), _corpus_module("corpus_pipeline"))
+    return {k: v for module in modules if module for k, v in getattr(module, entry)().items()}
+
+
 # ---------------------------------------------------------------- contract
 
 
@@ -472,8 +493,9 @@ def queries() -> dict[str, Query]:
         "quality_pm_species": quality_pm_species,
         "quality_svoc_cover": quality_svoc_cover,
         "quality_svoc_sum": quality_svoc_sum,
+        **_corpus_entries("queries"),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.statements()
+    return {**oracles.statements(), **_corpus_entries("oracle_sql")}
