@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emisplit.llm import mixing, warc
+from emisplit.llm import langid, mixing, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,12 +21,16 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def queries() -> dict[str, Query]:
-    return {"op6_warc": op6_warc, "op10_mixing": op10_mixing}
+    return {"op6_warc": op6_warc, "op9_langid": op9_langid, "op10_mixing": op10_mixing}
 
 
 _OP6 = """
