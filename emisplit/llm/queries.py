@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emisplit.llm import langid, mixing, warc
+from emisplit.llm import langid, mixing, secret_scan, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find(_table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.capture_index(_table(spark, sf_dir, "pages"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -30,7 +34,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op6_warc": op6_warc, "op9_langid": op9_langid, "op10_mixing": op10_mixing}
+    return {
+        "op5_secrets": op5_secrets,
+        "op6_warc": op6_warc,
+        "op9_langid": op9_langid,
+        "op10_mixing": op10_mixing,
+    }
 
 
 _OP6 = """
