@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emisplit.llm import langid, mixing, secret_scan, warc
+from emisplit.llm import decontaminate, langid, mixing, secret_scan, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,18 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decontaminate.hit_words(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
@@ -37,6 +49,7 @@ def queries() -> dict[str, Query]:
     return {
         "op5_secrets": op5_secrets,
         "op6_warc": op6_warc,
+        "op8_decontaminate": op8_decontaminate,
         "op9_langid": op9_langid,
         "op10_mixing": op10_mixing,
     }
@@ -57,5 +70,37 @@ from s
 """
 
 
+_OP8 = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+), b as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark
+), windows as (
+  select distinct item_id, least(len(w), 10) as size, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') as win
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from b where len(w) > 0)
+), sizes as (
+  select distinct size from windows
+), places as (
+  select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as i from d, sizes where len(w) >= size
+), found as (
+  select p.doc_id, p.i, p.size, x.item_id
+  from places p join windows x on x.size = p.size and x.win = array_to_string(list_slice(p.w, p.i, p.i + p.size - 1), ' ')
+), hit as (
+  select doc_id, count(distinct k) as n_hit from (select doc_id, unnest(range(i, i + size)) as k from found) group by doc_id
+), items as (
+  select doc_id, count(distinct item_id) as n_items,
+         array_to_string(list_sort(list(distinct item_id::varchar)), ',') as ids
+  from found group by doc_id
+)
+select d.doc_id, len(d.w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(ids, '')) as items_sha256, n_hit is not null as contaminated
+from d left join hit using (doc_id) left join items using (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": _OP6}
+    return {"op6_warc": _OP6, "op8_decontaminate": _OP8}
