@@ -2,7 +2,8 @@
 
 Pages become records that Spark's text writer puts into archive files: a record
 ends in CR LF CR LF, the last LF of which is the line end the writer adds, so a
-file is a plain concatenation of records. Reading goes by Content-Length alone.
+file is a concatenation of records, compressed as a whole. Reading goes by
+Content-Length alone; offsets count in the uncompressed file.
 
 Every archive read yields its captures as a locally sorted run. Runs are dealt
 to tasks by ranges of (URL key, timestamp); each task merges its pieces of the
@@ -11,6 +12,7 @@ runs with a loser tree, so captures of all archives come out globally ordered.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 from itertools import groupby
@@ -106,7 +108,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST) -> None:
     rows = with_references(pages, least)
     names = ("page_id", "url", "html", "payload_digest", "payload_bytes", "refers_to")
     lines = rows.select(record(*[F.col(c) for c in names]).alias("value"))
-    lines.write.option("lineSep", "\n").option("maxRecordsPerFile", PER_FILE).text(folder)
+    lines.write.option("lineSep", "\n").option("maxRecordsPerFile", PER_FILE).text(folder, compression="gzip")
 
 
 def _number(header: bytes | None) -> int | None:
@@ -159,7 +161,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column(0), batch.column(1), strict=True):
             name = path.as_py().rsplit("/", 1)[-1]
-            rows = list(_records(name, content.as_buffer().to_pybytes()))
+            rows = list(_records(name, gzip.decompress(content.as_buffer())))
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, _READ)
 
@@ -167,7 +169,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """Captures of all archives under ``folder``; response payloads are checked against their digest."""
     schema = ", ".join(f"{f.name} {'long' if f.type == pa.int64() else 'string'}" for f in _READ)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(folder).select("path", "content")
     rows = files.mapInArrow(_read, schema)
     return rows.withColumns({"captured": F.to_timestamp("captured"), "url_key": url_key(F.col("url"))}).select(*_FIELDS)
 
