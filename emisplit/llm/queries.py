@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emisplit.llm import decontaminate, langid, mixing, secret_scan, warc
+from emisplit.llm import decontaminate, langid, line_chunks, mixing, secret_scan, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_chunks.dedup_lines(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "text", "removed_lines", "removed_chunks")
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find(_table(spark, sf_dir, "documents"))
 
@@ -47,6 +52,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_line_dedup": op4_line_dedup,
         "op5_secrets": op5_secrets,
         "op6_warc": op6_warc,
         "op8_decontaminate": op8_decontaminate,
@@ -55,6 +61,38 @@ def queries() -> dict[str, Query]:
     }
 
 
+_OP4 = """
+with lines as (
+  select doc_id, i, l[i] as line, len(l) as n
+  from (select doc_id, l, unnest(range(1, len(l) + 1)) as i from (select doc_id, string_split(text, chr(10)) as l from documents))
+), hashed as (
+  select *, ('0x' || substr(md5(line), 1, 13))::bigint as h from lines
+), ended as (
+  select doc_id, i, line,
+         i = n or (i >= 2 and (h + 2 * lag(h, 1, 0) over (partition by doc_id order by i)) % 3 = 0) as is_end
+  from hashed
+), numbered as (
+  select doc_id, i, line,
+         coalesce(sum(is_end::int) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as c
+  from ended
+), chunks as (
+  select doc_id, c, min(i) as first, count(*) as size, string_agg(line, chr(10) order by i) as body
+  from numbered group by doc_id, c
+), ranked as (
+  select *, row_number() over (partition by body order by doc_id, first) as k from chunks where size > 1
+), gone as (
+  select doc_id, c, size from ranked where k > 1
+), kept as (
+  select n.doc_id, string_agg(n.line, chr(10) order by n.i) as text
+  from numbered n anti join gone g on g.doc_id = n.doc_id and g.c = n.c group by n.doc_id
+), lost as (
+  select doc_id, sum(size) as removed_lines, count(*) as removed_chunks from gone group by doc_id
+)
+select d.doc_id, case when d.text is not null then coalesce(k.text, '') end as text,
+       coalesce(removed_lines, 0)::bigint as removed_lines, coalesce(removed_chunks, 0)::bigint as removed_chunks
+from documents d left join kept k using (doc_id) left join lost using (doc_id)
+"""
+
 _OP6 = """
 with p as (
   select page_id, coalesce(html, '') as html from pages
@@ -103,4 +141,4 @@ from d left join hit using (doc_id) left join items using (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": _OP6, "op8_decontaminate": _OP8}
+    return {"op4_line_dedup": _OP4, "op6_warc": _OP6, "op8_decontaminate": _OP8}
