@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emisplit.llm import decontaminate, langid, line_chunks, mixing, secret_scan, warc
+from emisplit.llm import decontaminate, langid, line_chunks, mixing, secret_scan, sentence_spans, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sentence_spans.dedup_spans(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "text", "n_sentences", "removed_sentences")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_chunks.dedup_lines(_table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "text", "removed_lines", "removed_chunks")
@@ -52,6 +57,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_sentence_spans": op3_sentence_spans,
         "op4_line_dedup": op4_line_dedup,
         "op5_secrets": op5_secrets,
         "op6_warc": op6_warc,
@@ -61,6 +67,29 @@ def queries() -> dict[str, Query]:
     }
 
 
+_OP3 = r"""
+with parts as (
+  select doc_id, list_filter(regexp_extract_all(text, '(?:[^ \t\r\n]*[^ \t\r\n.!?][ \t\r]+){0,11}[^ \t\r\n]*[ \t\r\n]*'),
+                             lambda x: x <> '') as u
+  from documents
+), spans as (
+  select doc_id, i, concat_ws(' ', rtrim(u[i], e' \t\r\n'), rtrim(u[i + 1], e' \t\r\n'), rtrim(u[i + 2], e' \t\r\n')) as k
+  from (select doc_id, u, unnest(range(1, len(u) - 1)) as i from parts where len(u) >= 3)
+), ranked as (
+  select *, row_number() over (partition by k order by doc_id, i) as n from spans where length(k) >= 40
+), gone as (
+  select distinct doc_id, unnest([i, i + 1, i + 2]) as i from ranked where n > 1
+), kept as (
+  select s.doc_id, string_agg(s.x, '' order by s.i) as text, count(*) as n
+  from (select doc_id, u[i] as x, i from (select doc_id, u, unnest(range(1, len(u) + 1)) as i from parts)) s
+  anti join gone g on g.doc_id = s.doc_id and g.i = s.i
+  group by s.doc_id
+)
+select d.doc_id, case when d.text is not null then coalesce(k.text, '') end as text,
+       coalesce(len(p.u), 0)::bigint as n_sentences, (coalesce(len(p.u), 0) - coalesce(k.n, 0))::bigint as removed_sentences
+from documents d left join parts p using (doc_id) left join kept k using (doc_id)
+"""
+
 _OP4 = """
 with lines as (
   select doc_id, i, l[i] as line, len(l) as n
@@ -141,4 +170,4 @@ from d left join hit using (doc_id) left join items using (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": _OP4, "op6_warc": _OP6, "op8_decontaminate": _OP8}
+    return {"op3_sentence_spans": _OP3, "op4_line_dedup": _OP4, "op6_warc": _OP6, "op8_decontaminate": _OP8}
