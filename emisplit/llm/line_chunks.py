@@ -89,7 +89,7 @@ def repeated(docs: DataFrame, window: int = 2, divisor: int = 3) -> DataFrame:
     cuts = _let(F.split("text", "\n", -1), cut)
     bodies = texts.join(asked, "row").select("row", "doc_id", F.explode(cuts).alias("c")).select("row", "doc_id", "c.w.*", "c.body")
     bodies = stored(bodies, "bodies")
-    original = bodies.where("is_kept").select("h1", "h2", F.col("body").alias("kept_body"))
+    original = bodies.where("is_kept").dropDuplicates(["h1", "h2"]).select("h1", "h2", F.col("body").alias("kept_body"))
     return (
         bodies.where("not is_kept")
         .join(original, ["h1", "h2"])
@@ -111,8 +111,8 @@ def dedup_lines(docs: DataFrame, window: int = 2, divisor: int = 3) -> DataFrame
     tune(docs.sparkSession)
     names = list(docs.columns)
     marked = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
-    rows = marked.select(F.col("__row").alias("row"), F.col("doc_id"), "text").dropDuplicates(["row"])
-    gone = repeated(rows, window, divisor)
+    # Copies of a row share id, hash and places, so no copy is an earlier occurrence of another.
+    gone = repeated(marked.select(F.col("__row").alias("row"), "doc_id", "text"), window, divisor)
     gone = gone.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("first", "size"))).alias("__gone"))
     joined = marked.join(gone.withColumnRenamed("row", "__row"), "__row", "left")
 
