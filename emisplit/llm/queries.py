@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emisplit.llm import decontaminate, langid, line_chunks, mixing, secret_scan, sentence_spans, warc
+from emisplit.llm import decontaminate, hamming_search, langid, line_chunks, mixing, secret_scan, sentence_spans, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_search.search(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sentence_spans.dedup_spans(_table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "text", "n_sentences", "removed_sentences")
@@ -57,6 +61,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_hamming_topk": op1_hamming_topk,
         "op3_sentence_spans": op3_sentence_spans,
         "op4_line_dedup": op4_line_dedup,
         "op5_secrets": op5_secrets,
@@ -67,6 +72,19 @@ def queries() -> dict[str, Query]:
     }
 
 
+_OP1 = """
+with c as (
+  select distinct vec_id as id, array_to_string(list_transform(embedding, lambda x: case when x > 0 then '1' else '0' end), '') as code
+  from embeddings where vec_id is not null and embedding is not null
+), pairs as (
+  select q.id as query_id, n.id as neighbor_id, hamming(q.code, n.code)::integer as distance
+  from c q join c n on n.id <> q.id where q.id % 50 = 0
+), ranked as (
+  select *, row_number() over (partition by query_id order by distance, neighbor_id)::integer as rank from pairs
+)
+select query_id, rank, neighbor_id, distance from ranked where rank <= 10
+"""
+
 _OP3 = r"""
 with parts as (
   select doc_id, list_filter(regexp_extract_all(text, '(?:[^ \t\r\n]*[^ \t\r\n.!?][ \t\r]+){0,11}[^ \t\r\n]*[ \t\r\n]*'),
@@ -170,4 +188,4 @@ from d left join hit using (doc_id) left join items using (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_sentence_spans": _OP3, "op4_line_dedup": _OP4, "op6_warc": _OP6, "op8_decontaminate": _OP8}
+    return {"op1_hamming_topk": _OP1, "op3_sentence_spans": _OP3, "op4_line_dedup": _OP4, "op6_warc": _OP6, "op8_decontaminate": _OP8}
