@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emisplit.llm import decontaminate, hamming_search, langid, line_chunks, mixing, secret_scan, sentence_spans, warc
+from emisplit.llm import decontaminate, hamming_search, langid, line_chunks, minhash, mixing, secret_scan, sentence_spans, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontaminate.hit_words(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return rows.select(
@@ -66,6 +70,7 @@ def queries() -> dict[str, Query]:
         "op4_line_dedup": op4_line_dedup,
         "op5_secrets": op5_secrets,
         "op6_warc": op6_warc,
+        "op7_minhash": op7_minhash,
         "op8_decontaminate": op8_decontaminate,
         "op9_langid": op9_langid,
         "op10_mixing": op10_mixing,
@@ -155,6 +160,31 @@ from s
 """
 
 
+_OP7 = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as w
+  from documents
+), shingles as (
+  select distinct doc_id, array_to_string(list_slice(w, i, i + least(len(w), 5) - 1), ' ') as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from w where len(w) > 0)
+), sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), pairs as (
+  select a.doc_id as a, b.doc_id as b, count(*) as both
+  from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id
+), links as (
+  select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * both >= 75 * (x.n + y.n - both)
+), reach as (
+  select doc_id as a, doc_id as b from documents
+  union
+  select reach.a, links.b from reach join links on links.a = reach.b
+)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, c.component_id, d.doc_id = c.component_id as kept
+from documents d left join sizes using (doc_id)
+join (select a as doc_id, min(b) as component_id from reach group by a) c using (doc_id)
+"""
+
 _OP8 = r"""
 with d as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -188,4 +218,4 @@ from d left join hit using (doc_id) left join items using (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_hamming_topk": _OP1, "op3_sentence_spans": _OP3, "op4_line_dedup": _OP4, "op6_warc": _OP6, "op8_decontaminate": _OP8}
+    return {"op1_hamming_topk": _OP1, "op3_sentence_spans": _OP3, "op4_line_dedup": _OP4, "op6_warc": _OP6, "op7_minhash": _OP7, "op8_decontaminate": _OP8}
