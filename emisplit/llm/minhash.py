@@ -163,7 +163,8 @@ def _close(a: str, b: str):
 def full_sets(members: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, n, items``: the sets of all nodes that share a bucket, from the whole texts anew."""
     wanted = stored(nodes.select("node", "n", "row").join(members.select("node").distinct(), "node"), "wanted")
-    texts = rows.select("row", "text").join(wanted, "row").dropDuplicates(["node"]).select("node", "n", "text")
+    # The list grows with the documents, so it is never broadcast.
+    texts = rows.select("row", "text").join(wanted.hint("merge"), "row").dropDuplicates(["node"]).select("node", "n", "text")
     return stored(texts.mapInArrow(_sets, "node long, n long, items array<long>"), "sets")
 
 
@@ -196,9 +197,7 @@ def heavy_links(placed: DataFrame, sets: DataFrame) -> DataFrame:
     largest component; a pair of chunks is compared at once and gives links only, so no pairs of
     nodes are written.
     """
-    firsts = placed.groupBy("key").agg(F.min("node").alias("b"))
-    edges = placed.join(firsts, "key").select(F.col("node").alias("a"), "b")
-    grouped = components(edges)
+    grouped = components(placed.select(F.col("node").alias("a"), F.col("first.node").alias("b")))
     nodes = stored(placed.select("node", "n", "root").distinct().join(grouped.withColumnRenamed("root", "group"), "node"), "grouped")
     largest = nodes.groupBy("group", "root").count().groupBy("group").agg(F.max(F.struct("count", "root")).alias("top"))
     largest = stored(largest.select("group", F.col("top.root").alias("top")), "largest")
@@ -261,14 +260,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     roots = components(found)
 
     # What shares a bucket but no component yet: no two of them were linked through a first node.
-    placed = members.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+    placed = members.join(roots, "node", "left").select("key", "node", "n", "first", F.coalesce("root", "node").alias("root"))
     apart = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many"))
     apart = stored(apart.where("low != high").select("key", "many"), "mixed")
     placed = stored(placed.join(apart, "key"), "placed")
     light = light_pairs(placed.where(F.col("many") <= LIGHT)).join(stars, ["a", "b"], "left_anti")
     heavy = placed.where(F.col("many") > LIGHT)
     more = links(light, sets).unionByName(heavy_links(heavy, sets))
-    roots = components(found.unionByName(more))
+    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = components(known.unionByName(more))
 
     labelled = nodes.join(roots, "node", "left").select("d1", "d2", "least_id", F.coalesce("root", "node").alias("root"))
     lowest = labelled.groupBy("root").agg(F.min("least_id").alias("component_id"))

@@ -171,10 +171,10 @@ with recursive w as (
 ), sizes as (
   select doc_id, count(*) as n from shingles group by doc_id
 ), pairs as (
-  select a.doc_id as a, b.doc_id as b, count(*) as both
+  select a.doc_id as a, b.doc_id as b, count(*) as shared
   from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id
 ), links as (
-  select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * both >= 75 * (x.n + y.n - both)
+  select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * shared >= 75 * (x.n + y.n - shared)
 ), reach as (
   select doc_id as a, doc_id as b from documents
   union
