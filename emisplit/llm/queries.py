@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emisplit.llm import decontaminate, hamming_search, langid, line_chunks, minhash, mixing, secret_scan, sentence_spans, warc
+from emisplit.llm import decontaminate, hamming_search, html_extract, langid, line_chunks, minhash, mixing, secret_scan, sentence_spans, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def op1_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_search.search(_table(spark, sf_dir, "embeddings"))
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sentence_spans.dedup_spans(_table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "text", "n_sentences", "removed_sentences")
@@ -66,6 +70,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_hamming_topk": op1_hamming_topk,
+        "op2_html_extract": op2_html_extract,
         "op3_sentence_spans": op3_sentence_spans,
         "op4_line_dedup": op4_line_dedup,
         "op5_secrets": op5_secrets,
