@@ -25,20 +25,35 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
     return moved.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
+def _is_forest(edges: DataFrame) -> bool:
+    """Whether every edge leads from a leaf to the root of its star."""
+    end = lambda name, leaf: F.struct(F.col(name).alias("x"), F.lit(leaf).alias("leaf"))
+    ends = edges.select(F.explode(F.array(end("a", 1), end("b", 0))).alias("e"))
+    ends = ends.groupBy("e.x").agg(F.sum("e.leaf").alias("up"), F.min("e.leaf").alias("low"))
+    return ends.where("up > 1 or (up = 1 and low = 0)").isEmpty()
+
+
+def nearest_roots(edges: DataFrame) -> DataFrame:
+    """``node, root`` after one step along the edges and one from there: nodes with one root are connected.
+
+    Connected nodes may still have different roots; it takes two shuffles where components take many.
+    """
+    both = edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("root")))
+    low = stored(both.groupBy("node").agg(F.min("root").alias("low")).select("node", F.least("node", "low").alias("root")), "roots")
+    above = low.select(F.col("node").alias("root"), F.col("root").alias("next"))
+    return low.join(above, "root", "left").select("node", F.least("root", "next").alias("root"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` of every node that has an edge; ``root`` is the smallest node of its component.
 
     ``edges`` has long columns ``a`` and ``b``. Every round is written to the
-    shared folder; it ends when a round changes nothing, after about the logarithm of the
-    longest path. Loops and repeated edges don't matter.
+    shared folder; rounds end when only stars are left, after about the
+    logarithm of the longest path. Loops and repeated edges don't matter.
     """
-    now = stored(edges.select("a", "b").where("a != b").distinct(), "edges")
-    before = None
-    while True:
-        sums = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
-        if sums == before:
-            break
-        before = sums
+    ordered = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now = stored(ordered.distinct(), "edges")
+    while not _is_forest(now):
         after = stored(_star(_star(now, small=False), small=True), "edges")
         forget(now)
         now = after

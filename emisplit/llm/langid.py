@@ -148,7 +148,7 @@ def fit(
     return Model(names, model.table, model.bias, float(temperature), threshold)
 
 
-def train(docs: DataFrame, per_lang: int = 800, most_langs: int = 400, seed: int = 5) -> Model:
+def train(docs: DataFrame, per_lang: int = 500, most_langs: int = 400, seed: int = 5) -> Model:
     """Fit on a sample of about ``per_lang`` labelled texts of each language.
 
     The sample is drawn by a hash of the id among documents that are not held
@@ -207,12 +207,12 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
 
 
-def identify(docs: DataFrame, per_lang: int = 800) -> DataFrame:
+def identify(docs: DataFrame, per_lang: int = 500) -> DataFrame:
     """Train on a bounded sample of ``docs`` and predict all of them."""
     return predict(docs, train(docs, per_lang))
 
 
-def keep_identified(docs: DataFrame, per_lang: int = 800) -> DataFrame:
+def keep_identified(docs: DataFrame, per_lang: int = 500) -> DataFrame:
     """The rows of ``docs`` whose language is not rejected, with the columns of ``docs``.
 
     Rows without an id are judged together with all others; a row goes if a row with its

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emisplit.llm.common import buffer, slices, stored
-from emisplit.llm.components import components
+from emisplit.llm.components import components, nearest_roots
 from emisplit.llm.words import SPACED, hashed_words, mixed, seeds, shingles
 from emisplit.session import tune
 
@@ -257,9 +257,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = members.where((F.col("node") != F.col("first.node")) & _close("n", "first.n"))
     stars = stored(stars.select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct(), "stars")
     found = links(stars, sets)
-    roots = components(found)
+    roots = nearest_roots(found)
 
-    # What shares a bucket but no component yet: no two of them were linked through a first node.
+    # What shares a bucket but no root yet: no two of them were linked through a first node.
     placed = members.join(roots, "node", "left").select("key", "node", "n", "first", F.coalesce("root", "node").alias("root"))
     apart = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many"))
     apart = stored(apart.where("low != high").select("key", "many"), "mixed")
@@ -267,8 +267,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     light = light_pairs(placed.where(F.col("many") <= LIGHT)).join(stars, ["a", "b"], "left_anti")
     heavy = placed.where(F.col("many") > LIGHT)
     more = links(light, sets).unionByName(heavy_links(heavy, sets))
-    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    roots = components(known.unionByName(more))
+    roots = components(found.unionByName(more))
 
     labelled = nodes.join(roots, "node", "left").select("d1", "d2", "least_id", F.coalesce("root", "node").alias("root"))
     lowest = labelled.groupBy("root").agg(F.min("least_id").alias("component_id"))
