@@ -108,7 +108,6 @@ def gas_user_weights_splits(spark, sf_dir):
     """User weights over suppliers, most of them unknown as profiles."""
     weights = (
         bridge.read(spark, sf_dir, "lineitem")
-        .where("l_returnflag = 'R'")
         .groupBy(
             F.col("l_suppkey").cast("string").alias("profile_id"), F.col("l_partkey").cast("string").alias("specie_id")
         )
@@ -271,7 +270,7 @@ def duplicate_weights(spark, sf_dir):
 
 
 def control_runs(spark, sf_dir):
-    """Control lines of one run per customer."""
+    """Control lines of one run per customer; of a repeated keyword the first value counts."""
     written = F.array(
         F.lit("# settings"),
         F.concat(F.lit("mech_basis,M_"), F.substring("c_mktsegment", 1, 1)),
@@ -280,9 +279,11 @@ def control_runs(spark, sf_dir):
         F.lit("unknown,1"),
         F.concat(F.lit("tolerance,"), F.col("c_nationkey").cast("string"), F.lit(",percent")),
         F.lit("AQM,CMAQ"),
+        F.lit("tolerance,1"),
+        F.lit("AQM,CAMX"),
     )
     rows = bridge.read(spark, sf_dir, "customer").select(
-        F.col("c_name").alias("run_name"), F.explode(written).alias("value")
+        F.col("c_name").alias("run_name"), F.posexplode(written).alias("position", "value")
     )
     runs = control.parse_control(rows)
     return runs.select(
@@ -327,17 +328,12 @@ def quality_negative(spark, sf_dir):
 
 
 def quality_missing_carbons(spark, sf_dir):
-    """Carbon numbers known for the brands of cheap parts only."""
+    """Carbon numbers known for the model species that carry the number of a supplier's nation."""
     plan = _crit(spark, sf_dir)
-    cheap = (
-        bridge.read(spark, sf_dir, "part")
-        .where("p_retailprice < 905")
-        .select(
-            F.lit("crit").alias("scenario_id"),
-            F.concat(F.lit("B"), F.regexp_extract("p_brand", r"(\d+)", 1)).alias("aqm_poll"),
-        )
+    known = bridge.read(spark, sf_dir, "supplier").select(
+        F.lit("crit").alias("scenario_id"), F.concat(F.lit("B"), F.col("s_nationkey").cast("string")).alias("aqm_poll")
     )
-    return quality.missing_carbons(plan.mechanism_rows(), cheap)
+    return quality.missing_carbons(plan.mechanism_rows(), known)
 
 
 def _named_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,11 +354,7 @@ def quality_name_width_pm(spark, sf_dir):
 
 
 def quality_toxics_cover(spark, sf_dir):
-    listed = (
-        bridge.read(spark, sf_dir, "lineitem")
-        .where("l_discount > 0.08")
-        .select(F.col("l_partkey").cast("string").alias("specie_id"))
-    )
+    listed = bridge.read(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("specie_id"))
     return quality.uncovered_toxics(toxics.inventory_toxics(bridge.invtable(spark, sf_dir)), listed)
 
 
@@ -377,13 +369,9 @@ def quality_unclassified_toxics(spark, sf_dir):
 
 
 def quality_hap_mw(spark, sf_dir):
-    returned = (
-        bridge.read(spark, sf_dir, "lineitem")
-        .where("l_returnflag = 'R'")
-        .select(F.col("l_partkey").cast("string").alias("specie_id"))
-    )
+    used = bridge.read(spark, sf_dir, "lineitem").select(F.col("l_partkey").cast("string").alias("specie_id"))
     species = bridge.species(spark, sf_dir)
-    rows = quality.invalid_hap_mw(returned, toxics.no_toxics(species), species)
+    rows = quality.invalid_hap_mw(used, toxics.no_toxics(species), species)
     return _doubles(rows, "volatile_mw")
 
 
@@ -394,11 +382,7 @@ def quality_pm_species(spark, sf_dir):
 
 
 def quality_svoc_cover(spark, sf_dir):
-    filled = (
-        bridge.read(spark, sf_dir, "orders")
-        .where("o_orderstatus = 'F'")
-        .select(F.col("o_orderkey").cast("string").alias("profile_id"))
-    )
+    filled = bridge.read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("profile_id"))
     return quality.uncovered_svoc(pm.select_pm(bridge.profiles(spark, sf_dir)), filled)
 
 

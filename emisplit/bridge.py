@@ -65,6 +65,7 @@ COLUMNS = {
         "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, l_discount double, "
         "l_returnflag string"
     ),
+    "supplier": "s_suppkey bigint, s_nationkey int",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string",
     "customer": "c_name string, c_nationkey int, c_mktsegment string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",

@@ -10,6 +10,7 @@ from emisplit.plans.scenario import CRITERIA, HAPLIST, VBS, Scenario
 
 NOT_APPLICABLE = "Not Applicable"
 
+#: Fixed value: the note as readers of the file expect it.
 CAMX_NOTE = "PM CAMx CF carries additional POC compound for model performance evaluation"
 
 

@@ -405,11 +405,16 @@ class Results:
     checks: tuple[DataFrame, ...] = field(default=(), repr=False)
 
     def gate(self) -> "Results":
-        """Raise when an input check or the key of the splits is violated."""
-        for check in self.checks:
-            errors = check.where(F.col("severity") == quality.ERROR).limit(20).collect()
-            if errors:
-                raise SpeciationError("speciation stopped", errors)
+        """Raise when input checks or the key of the splits are violated.
+
+        One job looks at all checks. The message has every violated check with
+        its number of findings, the exception up to 20 findings; ``report`` has all.
+        """
+        found = _union(c.where(F.col("severity") == quality.ERROR) for c in self.checks)
+        totals = [] if found is None else found.groupBy("check").count().orderBy("check").collect()
+        if totals:
+            kinds = ", ".join(f"{r['check']} ({r['count']})" for r in totals)
+            raise SpeciationError(f"speciation stopped: {kinds}; first findings", found.limit(20).collect())
         return self
 
     def summary(self) -> DataFrame:

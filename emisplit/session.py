@@ -6,6 +6,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from emisplit.errors import SpeciationError
+
 #: Runtime settings only; none of them changes a result.
 _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -27,18 +29,14 @@ def tune(spark: SparkSession) -> SparkSession:
 def cut_lineage(rows: DataFrame) -> DataFrame:
     """Write ``rows`` to the checkpoint folder and read them from there.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without one gets a folder of its own; on a cluster without
-    one the rows stay as they are and are recomputed where they are used.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``; without
+    one the call fails, as uncut plans grow with every total.
     """
-    spark = rows.sparkSession
-    context = spark.sparkContext
+    context = rows.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="emisplit-checkpoint-")
+        folder = rows.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
         if folder is None:
-            return rows
+            raise SpeciationError("profiles with very many rows need a shared folder: set spark.checkpoint.dir")
         context.setCheckpointDir(folder)
     return rows.checkpoint()
 
@@ -58,4 +56,6 @@ def local_session(name: str = "emisplit", cores: str = "*", **extra: str) -> Spa
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="emisplit-"))
     return tune(spark)

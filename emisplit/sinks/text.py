@@ -152,23 +152,37 @@ def assert_not_empty(rows: DataFrame, what: str) -> DataFrame:
     return rows
 
 
-def write_lines(lines: DataFrame, path: str) -> None:
-    """One ordered directory per scenario below ``path``."""
-    ordered = lines.orderBy("scenario_id", *_ORDER).select("scenario_id", "line")
+def write_lines(lines: DataFrame, path: str, targets: dict[str, str] | None = None) -> None:
+    """One ordered directory per scenario: the one ``targets`` names for it, else one below ``path``."""
+    own = targets or {}
+    rest = lines.where(~F.col("scenario_id").isin(*own)) if own else lines
+    ordered = rest.orderBy("scenario_id", *_ORDER).select("scenario_id", "line")
     ordered.write.mode("overwrite").partitionBy("scenario_id").text(path)
+    for scenario_id, target in own.items():
+        mine = lines.where(F.col("scenario_id") == scenario_id)
+        mine.orderBy(*_ORDER).select("line").write.mode("overwrite").text(target)
+
+
+def _targets(results: Results, setting: str) -> dict[str, str]:
+    return {s.run_name: getattr(s, setting) for s in results.scenarios if getattr(s, setting)}
 
 
 def write_outputs(results: Results, path: str, prefix: str = "#") -> None:
-    """All text files of a set of scenarios, after the gate has passed."""
+    """All text files of a set of scenarios, after the gate has passed.
+
+    A scenario's SPLITS_OUT and CNV_OUT name its targets; without them its
+    files go to folders below ``path``.
+    """
     results.gate()
-    write_lines(assert_not_empty(gspro_lines(results, prefix), "split factors"), f"{path}/gspro")
+    splits = assert_not_empty(gspro_lines(results, prefix), "split factors")
+    write_lines(splits, f"{path}/gspro", _targets(results, "splits_out"))
     if not any(s.writes_conversions for s in results.scenarios):
         return
     conversions = gscnv_lines(results, prefix)
     if conversions is None:
         raise SpeciationError("no data to write: conversion factors")
     assert_not_empty(conversions.where("section = 2"), "conversion factors")
-    write_lines(conversions, f"{path}/gscnv")
+    write_lines(conversions, f"{path}/gscnv", _targets(results, "cnv_out"))
     if results.volatility is not None:
         classes = volatility_lines(_written(results.volatility, results.scenarios))
         write_lines(assert_not_empty(classes, "volatility classes"), f"{path}/volatility")

@@ -15,7 +15,6 @@ from emisplit.schemas import KEYS
 from emisplit.sources.files import (
     assert_filled,
     assert_unique,
-    read_lines,
     read_primary,
     read_process,
     read_toxics,
@@ -24,19 +23,22 @@ from emisplit.sources.files import (
 
 
 def parse_control(lines: DataFrame) -> DataFrame:
-    """One row per run from ``(run_name, value)`` control lines.
+    """One row per run from ``(run_name, position, value)`` control lines.
 
-    Blank lines, lines starting with ``#`` and unknown keywords are ignored.
+    Of a keyword written twice the first value counts; ``position`` orders the
+    lines of a run and may be left out where no keyword repeats. Blank lines, lines starting with ``#`` and unknown keywords are ignored.
     The value is the second comma field; anything after it is dropped.
     """
     ends = r"^\s+|\s+$"
     fields = lines.select(
         "run_name",
+        F.col("position") if "position" in lines.columns else F.lit(0).alias("position"),
         F.regexp_replace("value", ends, "").alias("line"),
         F.split("value", ",").alias("f"),
     ).where((F.col("line") != "") & ~F.col("line").startswith("#"))
     settings = fields.select(
         "run_name",
+        "position",
         F.upper(F.regexp_replace(F.col("f")[0], ends, "")).alias("keyword"),
         F.regexp_replace(F.coalesce(F.get("f", F.lit(1)), F.lit("")), ends, "").alias("dataval"),
     )
@@ -44,7 +46,7 @@ def parse_control(lines: DataFrame) -> DataFrame:
         settings.where(F.col("keyword").isin(*SETTINGS))
         .groupBy("run_name")
         .pivot("keyword", list(SETTINGS))
-        .agg(F.min("dataval"))
+        .agg(F.min(F.struct("position", "dataval"))["dataval"])
     )
 
 
@@ -59,7 +61,10 @@ def scenarios_from(runs: DataFrame) -> list[Scenario]:
 def read_scenarios(spark: SparkSession, paths: Mapping[str, str]) -> list[Scenario]:
     """Scenarios of control files, by run name."""
     parts = [
-        read_lines(spark, path).select(F.lit(name.strip()).alias("run_name"), "value") for name, path in paths.items()
+        spark.read.text(path, wholetext=True).select(
+            F.lit(name.strip()).alias("run_name"), F.posexplode(F.split("value", "\r?\n")).alias("position", "value")
+        )
+        for name, path in paths.items()
     ]
     return scenarios_from(parse_control(reduce(DataFrame.unionByName, parts)))
 

@@ -7,6 +7,8 @@ plans but the table definitions of ``FIXTURES.md``.
 
 from __future__ import annotations
 
+import re
+
 from emisplit.bridge import AE6, AE8, O2M_RATIOS, PM_SPECIES
 
 
@@ -147,7 +149,7 @@ USER_RAW = f"""
 user_weights AS (
   SELECT CAST(l_suppkey AS VARCHAR) AS profile_id, CAST(l_partkey AS VARCHAR) AS specie_id,
          CAST(round(sum(l_quantity) / 10, 6) AS DECIMAL(10,6)) AS percent
-  FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_suppkey, l_partkey),
+  FROM lineitem GROUP BY l_suppkey, l_partkey),
 user_raw AS (
   SELECT u.profile_id, u.specie_id, {_int("u.percent", 8)} AS p8
   FROM user_weights u JOIN species s USING (specie_id) WHERE u.percent > 0 AND s.volatile_mw > 0),
@@ -344,6 +346,7 @@ hap_splits AS (SELECT eminv_poll, aqm_poll, avg8, {_div("grams8 * avg8", "100000
 
 # ---------------------------------------------------------------- particulate steps
 
+# Species dropped from AE6, and the ions, atoms and oxides of each element with the molar masses used.
 _DROPPED = "'294','436','665','788','789','790','791','794','796','830','831','1183','1190'"
 
 PM_TABLES = f"""
@@ -374,15 +377,15 @@ def _element_steps() -> list[str]:
         steps.append(f"{nonzero} AS (SELECT * FROM {last} WHERE NOT (specie_id IN ({members}) AND p8 = 0))")
         steps.append(f"ion{i} AS (SELECT profile_id FROM {nonzero} WHERE specie_id = '{ion}' AND p8 > 0)")
         steps.append(f"atom{i} AS (SELECT profile_id FROM {nonzero} WHERE specie_id = '{atom}' AND p8 > 0)")
-        body = f"""SELECT profile_id, profile_type, CASE WHEN specie_id = '{atom}' AND p8 > 0
-         AND profile_id NOT IN (SELECT profile_id FROM ion{i}) THEN '{ion}' ELSE specie_id END AS specie_id, p8
-  FROM {nonzero}"""
+        body = f"""SELECT r.profile_id, r.profile_type, CASE WHEN r.specie_id = '{atom}' AND r.p8 > 0
+         AND x.profile_id IS NULL THEN '{ion}' ELSE r.specie_id END AS specie_id, r.p8
+  FROM {nonzero} r LEFT JOIN (SELECT DISTINCT profile_id FROM ion{i}) x ON x.profile_id = r.profile_id"""
         if oxide:
             body += f"""
   UNION ALL
-  SELECT profile_id, profile_type, '{ion}', {_div(f"p8 * {ratio[0]}", str(ratio[1]))}
-  FROM {nonzero} WHERE specie_id = '{oxide}' AND p8 > 0
-    AND profile_id NOT IN (SELECT profile_id FROM ion{i}) AND profile_id NOT IN (SELECT profile_id FROM atom{i})"""
+  SELECT r.profile_id, r.profile_type, '{ion}', {_div(f"r.p8 * {ratio[0]}", str(ratio[1]))}
+  FROM {nonzero} r ANTI JOIN ion{i} x ON x.profile_id = r.profile_id ANTI JOIN atom{i} y ON y.profile_id = r.profile_id
+  WHERE r.specie_id = '{oxide}' AND r.p8 > 0"""
         steps.append(f"{name} AS ({body})")
         last = name
     steps.append(
@@ -391,24 +394,26 @@ def _element_steps() -> list[str]:
     return steps
 
 
-# Gap filling step by step; the rows of one step feed the next.
+# Gap filling step by step; the rows of one step feed the next and are worked out once.
 PM_FILL = ",\n".join(
-    [
+    re.sub(r"^(\w+) AS \(", r"\1 AS MATERIALIZED (", step)
+    for step in [
         f"""pm_raw AS (
   SELECT w.profile_id, p.profile_type, w.specie_id, {_int("w.percent", 8)} AS p8
   FROM pm_weights w JOIN profiles p USING (profile_id)
   WHERE p.profile_type IN ('PM', 'PM-AE6', 'PM-VBS') AND p.upper_size = 2.5)""",
         """f_so4 AS (
   SELECT * FROM pm_raw UNION ALL
-  SELECT profile_id, profile_type, '699', p8 * 3 FROM pm_raw
-  WHERE specie_id = '700' AND profile_id NOT IN (SELECT profile_id FROM pm_raw WHERE specie_id = '699'))""",
+  SELECT r.profile_id, r.profile_type, '699', r.p8 * 3 FROM pm_raw r
+  ANTI JOIN (SELECT profile_id FROM pm_raw WHERE specie_id = '699') x ON x.profile_id = r.profile_id
+  WHERE r.specie_id = '700')""",
         f"""f_h2o AS (
   SELECT * FROM f_so4 UNION ALL
   SELECT * FROM (
     SELECT r.profile_id, r.profile_type, '2668', {_div("sum(r.p8) * 24", "100")} AS p8
-    FROM f_so4 r JOIN profiles p USING (profile_id)
+    FROM f_so4 r JOIN profiles p ON p.profile_id = r.profile_id
+    ANTI JOIN (SELECT profile_id FROM f_so4 WHERE specie_id = '2668') x ON x.profile_id = r.profile_id
     WHERE r.profile_type = 'PM' AND r.specie_id IN ('699', '784') AND coalesce(p.gen_mechanism, '') <> 'Combustion'
-      AND r.profile_id NOT IN (SELECT profile_id FROM f_so4 WHERE specie_id = '2668')
     GROUP BY r.profile_id, r.profile_type) WHERE p8 <> 0)""",
         """mo_parts AS (
   SELECT r.profile_id, r.profile_type, coalesce(sum(r.p8 * CAST(o.ratio6 AS HUGEINT)), 0) AS metal14,
@@ -635,7 +640,7 @@ WHERE specie_id IN (SELECT specie_id FROM gas_norm)"""
     sql["quality_missing_carbons"] = _with(MECHANISM) + """
 SELECT DISTINCT 'crit' AS scenario_id, aqm_poll FROM mechanism
 WHERE mechanism = 'M_A' AND aqm_poll NOT IN (
-  SELECT 'B' || regexp_extract(p_brand, '(\\d+)', 1) FROM part WHERE p_retailprice < 905)"""
+  SELECT 'B' || s_nationkey FROM supplier)"""
     sql["quality_name_width"] = """
 SELECT DISTINCT p_name AS eminv_poll FROM part
 WHERE (p_size > 25 AND length(p_name) > 7) OR (p_size <= 25 AND length(p_name) > 11)"""
@@ -644,19 +649,19 @@ SELECT DISTINCT p_name AS eminv_poll FROM part
 WHERE (p_size <= 25 AND length(p_name) > 7) OR (p_size > 25 AND length(p_name) > 12)"""
     sql["quality_toxics_cover"] = _with(INVENTORY) + """
 SELECT DISTINCT specie_id FROM invtable WHERE voc IN ('V', 'T') AND keep = 'Y' AND model = 'Y' AND specie_id NOT IN (
-  SELECT CAST(l_partkey AS VARCHAR) FROM lineitem WHERE l_discount > 0.08)"""
+  SELECT CAST(o_custkey AS VARCHAR) FROM orders)"""
     sql["quality_unclassified_toxics"] = """
 SELECT CAST(p_partkey AS VARCHAR) AS specie_id, 'T' || p_partkey AS aqm_poll FROM part
 WHERE p_type <> 'PROMO' OR p_partkey % 3 <> 0 OR p_partkey % 97 = 0 OR p_partkey % 89 = 0"""
     sql["quality_hap_mw"] = _with(SPECIES) + """
 SELECT specie_id, CAST(volatile_mw AS DOUBLE) AS volatile_mw FROM species
-WHERE volatile_mw <= 0 AND specie_id IN (SELECT CAST(l_partkey AS VARCHAR) FROM lineitem WHERE l_returnflag = 'R')"""
+WHERE volatile_mw <= 0 AND specie_id IN (SELECT CAST(l_partkey AS VARCHAR) FROM lineitem)"""
     sql["quality_pm_species"] = _with(SPECIES, PROFILES, PM_TABLES) + """
 SELECT 'ae8' AS scenario_id, specie_id, aqm_poll FROM pm_mech
 WHERE mechanism = 'AE8' AND specie_id NOT IN (SELECT specie_id FROM species)"""
     sql["quality_svoc_cover"] = _with(PROFILES) + """
-SELECT p.profile_id, p.profile_type FROM profiles p JOIN orders o ON o.o_orderkey = p.o_orderkey
-WHERE p.profile_type LIKE 'PM%' AND o.o_orderstatus <> 'F'"""
+SELECT p.profile_id, p.profile_type FROM profiles p ANTI JOIN lineitem l ON l.l_orderkey = p.o_orderkey
+WHERE p.profile_type LIKE 'PM%'"""
     sql["quality_svoc_sum"] = """
 SELECT CAST(o_orderkey AS VARCHAR) AS profile_id,
        round(CAST(0.5 AS DOUBLE) + CASE WHEN o_orderstatus = 'F' THEN 0.5 ELSE 0.4 END, 6) AS bin_sum

@@ -1,4 +1,5 @@
 import os
+from dataclasses import replace
 
 import pytest
 
@@ -99,16 +100,17 @@ def test_text_files_of_a_run(spark, tmp_path):
         toxics=bridge.toxics(spark, SF), metadata=bridge.metadata(spark), gas_process=bridge.gas_process(spark, SF)
     )
     run = Scenario("run", mech_basis="M_A", run_type="INTEGRATE", aqm="CMAQ", output="VOC", proc_file="modes.csv")
-    results = speciate(spark, run, tables)
     out = str(tmp_path / "out")
+    run = replace(run, cnv_out=f"{out}/chosen")
+    results = speciate(spark, run, tables)
     text.write_outputs(results, out)
 
     def read(name):
-        folder = f"{out}/{name}/scenario_id=run"
+        folder = f"{out}/{name}"
         parts = sorted(f for f in os.listdir(folder) if f.startswith("part"))
         return [line for f in parts for line in open(os.path.join(folder, f)).read().splitlines()]
 
-    gspro = read("gspro")
+    gspro = read("gspro/scenario_id=run")
     header = [line for line in gspro if line.startswith("#") and not line.startswith("#NHAP")]
     names = [line for line in gspro if line.startswith("#NHAP")]
     body = [line for line in gspro if not line.startswith("#")]
@@ -118,8 +120,8 @@ def test_text_files_of_a_run(spark, tmp_path):
     assert any(h.startswith("#PROFILES ") and "Not Applicable" in h for h in header)
     assert len(body) == results.splits.count()
     assert [b[:52] for b in body] == sorted(b[:52] for b in body)
-    assert len([g for g in read("gscnv") if not g.startswith("#")]) == results.conversions.count()
-    assert len(read("volatility")) == tables.species.count()
+    assert len([g for g in read("chosen") if not g.startswith("#")]) == results.conversions.count()
+    assert len(read("volatility/scenario_id=run")) == tables.species.count()
     text.write_tables(results, str(tmp_path / "tables"))
     assert spark.read.parquet(str(tmp_path / "tables" / "splits")).count() == len(body)
 

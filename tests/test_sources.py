@@ -93,9 +93,10 @@ def test_control_and_user_files(spark, tmp_path):
     weights = _write(tmp_path / "wts.csv", "G,1,50\nG,2,50\n")
     paths = {
         "one": _write(tmp_path / "c1", f"AQM,CMAQ\nTOX_FILE,{toxics}\nPRO_FILE,{weights}\n"),
-        "two": _write(tmp_path / "c2", "AQM,CAMx\n"),
+        "two": _write(tmp_path / "c2", "AQM,CAMx\nTOLERANCE,5\nTOLERANCE,10\nAQM,ADMS\n"),
     }
     one, two = control.read_scenarios(spark, paths)
+    assert (two.model, two.tolerance_pct) == ("CAMX", 5.0)  # the first value of a repeated keyword
     tables = control.with_user_files(spark, one, Tables())
     assert values(tables.toxics, "specie_id", "aqm_poll") == [("1", "A"), ("2", "B")]
     assert values(tables.user_profile_wts, "specie_id", "percent") == [("1", 50.0), ("2", 50.0)]
