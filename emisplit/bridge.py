@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emisplit.functions import inline_table, spread_totals
+from emisplit.functions import inline_table, salted, totals
 from emisplit.operators.pm import PM_TYPES
 from emisplit.plans.tables import Tables
 from emisplit.schemas import INVTABLE_WIDTHS, SHARED, schema
@@ -110,11 +110,11 @@ def species(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _shares(rows: DataFrame, factor: Column) -> DataFrame:
+def _shares(rows: DataFrame, specie: str, factor: Column) -> DataFrame:
     """Percent of each species in the quantity of its order."""
-    totals = spread_totals(rows, ["l_orderkey"], order_quantity=F.sum("quantity"))
+    orders = totals(salted(rows, specie), ["l_orderkey"], order_quantity=(F.sum, F.col("quantity")))
     percent = F.round(F.lit(100.0) * F.col("quantity") / F.col("order_quantity") * factor, 6)
-    return totals.withColumn("percent", percent.cast("decimal(12,6)"))
+    return orders.withColumn("percent", percent.cast("decimal(12,6)"))
 
 
 def gas_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +123,7 @@ def gas_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     factor = F.when(order % 7 == 0, 0.9).when(order % 11 == 0, 1.1).otherwise(1.0)
     lineitem = read(spark, sf_dir, "lineitem")
     rows = lineitem.groupBy("l_orderkey", "l_partkey").agg(F.sum("l_quantity").alias("quantity"))
-    return _shares(rows, factor).select(
+    return _shares(rows, "l_partkey", factor).select(
         _key("l_orderkey").alias("profile_id"), _key("l_partkey").alias("specie_id"), "percent"
     )
 
@@ -144,17 +144,12 @@ def pm_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = read(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.substring("o_orderpriority", 1, 1).alias("kind")
     )
-    weights = _shares(rows, factor).join(kinds, "l_orderkey", "left")
+    weights = _shares(rows, "position", factor).join(kinds, "l_orderkey", "left")
     weights = weights.withColumn("specie_id", F.get(names, F.col("position")))
     is_own = (F.col("specie_id") == "2669") & F.coalesce(F.col("kind") == "3", F.lit(False))
     return weights.where(~is_own).select(_key("l_orderkey").alias("profile_id"), "specie_id", "percent")
 
 
-def weight_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """At least as many rows per order as the order has weights."""
-    return read(spark, sf_dir, "lineitem").select(_key("l_orderkey").alias("profile_id"))
-
-
 def mechanism(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two mechanisms with the same rows: one per brand, some with xylenes."""
     brand = (
@@ -376,7 +371,6 @@ def gas_tables(spark: SparkSession, sf_dir: str) -> Tables:
         species=species(spark, sf_dir),
         profiles=profiles(spark, sf_dir),
         profile_weights=gas_weights(spark, sf_dir),
-        weight_members=weight_members(spark, sf_dir),
         mechanism=mechanism(spark, sf_dir),
         mechanism_description=mechanism_description(spark),
         carbons=carbons(spark, sf_dir),
@@ -391,7 +385,6 @@ def pm_tables(spark: SparkSession, sf_dir: str) -> Tables:
         species=species(spark, sf_dir),
         profiles=profiles(spark, sf_dir),
         profile_weights=pm_weights(spark, sf_dir),
-        weight_members=weight_members(spark, sf_dir),
         pm_mechanism=pm_mechanism(spark),
         o2m_ratios=o2m_ratios(spark),
         camx_fcrs=camx_fcrs(spark, sf_dir),

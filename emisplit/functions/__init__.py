@@ -1,26 +1,6 @@
-"""Column helpers and grouping strategies shared by the operators."""
+"""Column helpers and totals per group shared by the operators."""
 
 from emisplit.functions.columns import double, inline_table, null_as, store
-from emisplit.functions.grouping import (
-    GROUP_LIMIT,
-    by_group_size,
-    checkpointed_totals,
-    large_groups,
-    splittable,
-    spread_totals,
-    window_totals,
-)
+from emisplit.functions.grouping import SALTS, salted, splittable, totals
 
-__all__ = [
-    "GROUP_LIMIT",
-    "by_group_size",
-    "double",
-    "inline_table",
-    "checkpointed_totals",
-    "large_groups",
-    "splittable",
-    "spread_totals",
-    "null_as",
-    "store",
-    "window_totals",
-]
+__all__ = ["SALTS", "double", "inline_table", "null_as", "salted", "splittable", "store", "totals"]

@@ -1,18 +1,17 @@
 """Attach a per-group total to every row of the group, at any group size.
 
 Percent-of-total arithmetic needs the sum of a group next to each of its rows.
-There are two ways to get it, and which is right depends on the group:
-
-* ``window_totals``: one shuffle brings a group together and a window adds the
-  total. All later totals on the same key (or on a key that contains it) reuse
-  that partitioning, so a whole chain of totals costs a single shuffle. A group
-  lives in one task, which is only acceptable while the group is small.
-* ``spread_totals``: a map-side combined aggregate. Groups over a row limit
-  are few, so their totals are broadcast to the rows, which stay where they
-  are; the remaining groups are small and take the window.
-
-``by_group_size`` sends each group down the fitting way, so a single key that
-holds a third of all rows is never collected into one task.
+A group may hold any part of all rows, so no task may have to hold one. Rows
+carry a ``salt``, a hash that cuts their group into up to ``SALTS`` shares, and
+``totals`` works on shares:
+
+1. a window over each share adds up the share; one of its rows leads it;
+2. the leaders of a group meet, at most ``SALTS`` rows, and add up the shares;
+3. the leaders return to their shares and hand the total to the other rows.
+
+The plan is the same for groups of all sizes. It reads its input once, so a
+chain of totals grows by the same three windows with every total, and the
+first window of a total reuses the partitioning the one before it left.
 """
 
 from __future__ import annotations
@@ -22,41 +21,43 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emisplit.session import cut_lineage
-
-#: Largest group, in rows, that a single task may hold. The list of larger
-#: groups has at most ``total rows / GROUP_LIMIT`` entries, which is the proven
-#: bound that allows it to be broadcast.
-GROUP_LIMIT = 1_000_000
+#: Shares a group is cut into: the largest number of rows of a group that meet
+#: in one task, and the factor by which a task's part of it is smaller.
+SALTS = 4096
 
-Totals = Callable[..., DataFrame]
+#: An aggregate that also combines its own partial results, and what it is of.
+Total = tuple[Callable[[Column], Column], Column]
 
 
-def window_totals(rows: DataFrame, keys: list[str], **totals: Column) -> DataFrame:
-    group = Window.partitionBy(*keys)
-    return rows.select("*", *[agg.over(group).alias(name) for name, agg in totals.items()])
+def salted(rows: DataFrame, column: str) -> DataFrame:
+    """Add the ``salt``; ``column`` should tell apart the rows of a group."""
+    return rows.withColumn("salt", F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int"))
 
 
-def spread_totals(rows: DataFrame, keys: list[str], limit: int = GROUP_LIMIT, **totals: Column) -> DataFrame:
-    """Totals for rows whose groups may be of any size; keys are not NULL.
+def totals(rows: DataFrame, keys: list[str], **aggregates: Total) -> DataFrame:
+    """Add to each row the aggregates over all rows with the same ``keys``.
 
-    The broadcast side has at most ``number of rows / limit`` entries.
+    ``rows`` have a ``salt``. A share is led by its smallest row, which a
+    recomputed task finds again; rows that are equal in all columns can take
+    each other's place.
     """
-    sums = rows.groupBy(*keys).agg(*[agg.alias(name) for name, agg in totals.items()], F.count("*").alias("members"))
-    marked = rows.join(F.broadcast(sums.where(F.col("members") > limit)), keys, "left")
-    columns = [*rows.columns, *totals]
-    spread = marked.where("members is not null").select(columns)
-    small = marked.where("members is null").select(rows.columns)
-    return window_totals(small, keys, **totals).select(columns).unionByName(spread)
-
-
-def checkpointed_totals(limit: int = GROUP_LIMIT) -> Totals:
-    """``spread_totals`` that first writes out the rows it reads three times."""
-
-    def totals(rows: DataFrame, keys: list[str], **aggregates: Column) -> DataFrame:
-        return spread_totals(cut_lineage(rows), keys, limit, **aggregates)
-
-    return totals
+    others = [c for c in rows.columns if c not in (*keys, "salt")]
+    ordered = Window.partitionBy(*keys, "salt").orderBy(*others)
+    share = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    shares = rows.select(
+        "*",
+        *[combine(of).over(share).alias(name) for name, (combine, of) in aggregates.items()],
+        F.when(F.row_number().over(ordered) > 1, F.col("salt")).alias("place"),
+    )
+    leaders, leads = Window.partitionBy(*keys, "place"), F.col("place").isNull()
+    combined = shares.withColumns(
+        {
+            name: F.when(leads, combine(F.col(name)).over(leaders).cast(shares.schema[name].dataType))
+            for name, (combine, _) in aggregates.items()
+        }
+    )
+    back = Window.partitionBy(*keys, "salt")
+    return combined.select(*rows.columns, *[F.max(name).over(back).alias(name) for name in aggregates])
 
 
 def splittable(rows: DataFrame, key: str) -> DataFrame:
@@ -67,32 +68,3 @@ def splittable(rows: DataFrame, key: str) -> DataFrame:
     computing the key anew makes the join shuffle it once more.
     """
     return rows.withColumn(key, F.concat(F.col(key), F.lit("")))
-
-
-def large_groups(members: DataFrame, key: str, limit: int = GROUP_LIMIT) -> DataFrame | None:
-    """Keys with more than ``limit`` rows, or None when there are none.
-
-    Runs one job: a map-side combined count over the key column alone.
-    """
-    counted = members.groupBy(key).agg(F.count("*").alias("members"))
-    large = counted.where(F.col("members") > limit).select(key)
-    return None if large.isEmpty() else large
-
-
-def by_group_size(
-    rows: DataFrame,
-    key: str,
-    large: DataFrame | None,
-    transform: Callable[[DataFrame, Totals], DataFrame],
-    limit: int = GROUP_LIMIT,
-) -> DataFrame:
-    """Run ``transform`` with windows on small groups and spread out on large ones.
-
-    ``large`` comes from ``large_groups``. The anti join is a broadcast one and
-    takes the rows of large groups out before the windows' shuffle.
-    """
-    if large is None:
-        return transform(rows, window_totals)
-    listed = F.broadcast(large)
-    small_groups = transform(rows.join(listed, key, "left_anti"), window_totals)
-    return small_groups.unionByName(transform(rows.join(listed, key, "left_semi"), checkpointed_totals(limit)))

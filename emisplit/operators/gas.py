@@ -1,8 +1,8 @@
 """Gas speciation: profile weights to split factors.
 
 The weights are the large table. Its rows carry what the chain needs
-(``WEIGHT_COLUMNS``), and every function that takes ``totals`` can run with
-windows or with joined aggregates; see ``emisplit.functions.grouping``.
+(``WEIGHT_COLUMNS``), with the salt that ``emisplit.functions.grouping`` splits
+large profiles by.
 """
 
 from __future__ import annotations
@@ -10,12 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emisplit.functions import double, store
-from emisplit.functions.grouping import Totals
+from emisplit.functions import double, store, totals
 
 GAS_TYPES = ("GAS", "GAS-VBS")
 
-WEIGHT_COLUMNS = ["profile_id", "specie_id", "percent", "volatile_mw", "non_voctog", "listed"]
+WEIGHT_COLUMNS = ["profile_id", "specie_id", "percent", "volatile_mw", "non_voctog", "listed", "salt"]
 
 MODEL_KEYS = ["profile_id", "scenario_id", "aqm_poll"]
 
@@ -67,17 +66,17 @@ def share_of_100(total: str):
     return store(F.col("percent") / F.col(total) * 100, 15, 8)
 
 
-def renormalise(rows: DataFrame, totals: Totals, tolerance: float) -> DataFrame:
+def renormalise(rows: DataFrame, tolerance: float) -> DataFrame:
     """Drop profiles out of tolerance and scale the others to 100 percent."""
-    summed = totals(rows, ["profile_id"], total=F.sum("percent")).withColumn("sum_pct", store("total", 12, 8))
+    summed = totals(rows, ["profile_id"], total=(F.sum, F.col("percent"))).withColumn("sum_pct", store("total", 12, 8))
     kept = summed.where(in_tolerance(tolerance) | ~F.col("listed"))
     return kept.withColumn("percent", share_of_100("sum_pct")).select(WEIGHT_COLUMNS)
 
 
-def weight_moles(rows: DataFrame, totals: Totals) -> DataFrame:
+def weight_moles(rows: DataFrame) -> DataFrame:
     """Moles per gram of profile, and each species' share of them."""
     moles = rows.withColumn("moles", store(F.col("percent") / 100 / F.col("volatile_mw"), 15, 8))
-    summed = totals(moles, ["profile_id"], total=F.sum("moles"))
+    summed = totals(moles, ["profile_id"], total=(F.sum, F.col("moles")))
     share = F.col("moles") / store("total", 12, 8)
     return summed.withColumn("moles_pct", store(share, 15, 8)).drop("total")
 
@@ -88,7 +87,7 @@ def moles_by_species(rows: DataFrame, mapping: DataFrame) -> DataFrame:
     per_gram = mass / F.col("weight_mw")
     per_mole = F.col("moles_pct") * F.col("moles_per_mole")
     weights = rows.select(
-        "profile_id", "specie_id", "percent", F.col("volatile_mw").alias("weight_mw"), "moles_pct"
+        "profile_id", "specie_id", "percent", F.col("volatile_mw").alias("weight_mw"), "moles_pct", "salt"
     )
     return weights.join(mapping, "specie_id").select(
         *MODEL_KEYS,
@@ -96,10 +95,11 @@ def moles_by_species(rows: DataFrame, mapping: DataFrame) -> DataFrame:
         store(per_gram, 15, 8).alias("moles_per_gram"),
         store(per_mole, 15, 8).alias("moles_per_mole_em"),
         "gram_per_mole",
+        "salt",
     )
 
 
-def model_species(by_species: DataFrame, totals: Totals) -> DataFrame:
+def model_species(by_species: DataFrame) -> DataFrame:
     """Moles per gram and average molar mass of every model species.
 
     The average weighs the molar mass each species gives the model species by
@@ -108,8 +108,8 @@ def model_species(by_species: DataFrame, totals: Totals) -> DataFrame:
     summed = totals(
         by_species,
         MODEL_KEYS,
-        grams_total=F.sum("moles_per_gram"),
-        moles_total=F.sum("moles_per_mole_em"),
+        grams_total=(F.sum, F.col("moles_per_gram")),
+        moles_total=(F.sum, F.col("moles_per_mole_em")),
     ).where("grams_total > 0")
     fraction = store(F.col("moles_per_mole_em") / store("moles_total", 15, 8), 15, 8)
     part = store(F.col("gram_per_mole") * fraction, 15, 8)

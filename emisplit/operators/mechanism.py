@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emisplit.functions import null_as, store
+from emisplit.functions import null_as, splittable, store
 
 UNKNOWN = "UNK"
 
@@ -155,7 +155,7 @@ _MAP_COLUMNS = ["scenario_id", "specie_id", "aqm_poll", "moles_per_mole", "gram_
 def drop_active(mapped: DataFrame, toxics: DataFrame) -> DataFrame:
     """Active toxics lose all their mechanism rows, unknown ones included."""
     active = toxics.where("active = 'A'").select("specie_id").distinct()
-    return mapped.join(active, "specie_id", "left_anti").select(_MAP_COLUMNS)
+    return splittable(mapped.join(active, "specie_id", "left_anti"), "specie_id").select(_MAP_COLUMNS)
 
 
 def toxics_map(toxics: DataFrame, species_runs: DataFrame, model_carbons: DataFrame, ids: list[str]) -> DataFrame:

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emisplit.functions import splittable, store
-from emisplit.functions.grouping import Totals
+from emisplit.functions import splittable, store, totals
+from emisplit.functions.grouping import Total
 
 # Species ids (fixed values).
 SULFATE = "699"
@@ -93,33 +93,33 @@ def _in(*species: str) -> str:
     return "specie_id IN (" + ", ".join(f"'{s}'" for s in species) + ")"
 
 
-def _percent_of(*species: str) -> Column:
+def _percent_of(*species: str) -> Total:
     """Sum over the given species, NULL when the profile has none of them."""
-    return F.expr(f"sum(CASE WHEN {_in(*species)} THEN percent END)")
+    return F.sum, F.expr(f"CASE WHEN {_in(*species)} THEN percent END")
 
 
-def _has(species: str) -> Column:
+def _has(species: str) -> Total:
     """Whether the profile has a positive amount of the species."""
-    return F.expr(f"max(specie_id = '{species}' AND percent > 0)")
+    return F.max, F.expr(f"specie_id = '{species}' AND percent > 0")
 
 
-def _profile_facts() -> dict[str, Column]:
+def _profile_facts() -> dict[str, Total]:
     facts = {
         "sulfate": _percent_of(SULFATE),
         "sulfur": _percent_of(SULFUR),
         "ammonium": _percent_of(AMMONIUM),
         "carbon": _percent_of(ORGANIC_CARBON),
         "water": _percent_of(WATER),
-        "bound_oxygen": F.expr("sum(percent * o2m_ratio)"),
-        "ratio_of_sulfate": F.max("sulfate_ratio"),
-        "ratio_of_water": F.max("water_ratio"),
-        "lead": F.min("specie_id"),
+        "bound_oxygen": (F.sum, F.expr("percent * o2m_ratio")),
+        "ratio_of_sulfate": (F.max, F.col("sulfate_ratio")),
+        "ratio_of_water": (F.max, F.col("water_ratio")),
+        "lead": (F.min, F.col("specie_id")),
     }
     for ion, atom, oxide, _ in ELEMENTS:
         facts[f"has_{ion}"] = _has(ion)
         facts[f"has_{atom}"] = _has(atom)
         if oxide:
-            facts[f"oxide_{ion}"] = F.expr(f"sum(CASE WHEN specie_id = '{oxide}' AND percent > 0 THEN percent END)")
+            facts[f"oxide_{ion}"] = (F.sum, F.expr(f"CASE WHEN specie_id = '{oxide}' AND percent > 0 THEN percent END"))
     return facts
 
 
@@ -151,17 +151,17 @@ def _ratio_lookup(o2m: DataFrame) -> DataFrame:
     )
 
 
-def fill_gaps(rows: DataFrame, totals: Totals, o2m: DataFrame) -> DataFrame:
+def fill_gaps(rows: DataFrame, o2m: DataFrame) -> DataFrame:
     """Complete each profile for a mechanism with explicit species.
 
     Sulfate is derived from sulfur, and ions replace atoms and oxides, in every
     profile. Water, metal-bound oxygen and non-carbon organics are added to
     plain profiles only, and plain profiles over 101 percent are scaled down.
     """
-    return _scale_over_101(_fill_species(rows, totals, o2m), totals)
+    return _scale_over_101(_fill_species(rows, o2m))
 
 
-def _fill_species(rows: DataFrame, totals: Totals, o2m: DataFrame) -> DataFrame:
+def _fill_species(rows: DataFrame, o2m: DataFrame) -> DataFrame:
     facts = totals(rows.join(splittable(_ratio_lookup(o2m), "specie_id"), "specie_id", "left"), ["profile_id"], **_profile_facts())
     facts = facts.withColumn(
         "new_sulfate", F.expr("CASE WHEN sulfate IS NULL THEN CAST(sulfur * 3 AS DECIMAL(15,8)) END")
@@ -196,7 +196,7 @@ def _fill_species(rows: DataFrame, totals: Totals, o2m: DataFrame) -> DataFrame:
     def row(specie_id: str, percent: str) -> str:
         return (
             "named_struct('profile_id', profile_id, 'profile_type', profile_type, "
-            f"'specie_id', {specie_id}, 'percent', CAST({percent} AS DECIMAL(15,8)))"
+            f"'specie_id', {specie_id}, 'percent', CAST({percent} AS DECIMAL(15,8)), 'salt', salt)"
         )
 
     own = row(*_resolved())
@@ -222,7 +222,7 @@ def _resolved() -> tuple[str, str]:
     return f"CASE {renames} ELSE specie_id END", f"CASE WHEN NOT ({dropped}) THEN percent END"
 
 
-def _scale_over_101(rows: DataFrame, totals: Totals) -> DataFrame:
+def _scale_over_101(rows: DataFrame) -> DataFrame:
     """Bring plain profiles over 101 percent back to 100.
 
     Organic matter alone is scaled when it can absorb the excess, otherwise
@@ -232,7 +232,7 @@ def _scale_over_101(rows: DataFrame, totals: Totals) -> DataFrame:
     sums = totals(
         rows,
         ["profile_id"],
-        total=F.sum(F.when(F.col("specie_id") != SULFUR, F.col("percent"))),
+        total=(F.sum, F.when(F.col("specie_id") != SULFUR, F.col("percent"))),
         organics=_percent_of(ORGANIC_CARBON, NON_CARBON_ORGANIC),
     )
     over = (F.col("profile_type") == PLAIN_TYPE) & (F.col("total") > 101)
@@ -245,7 +245,7 @@ def _scale_over_101(rows: DataFrame, totals: Totals) -> DataFrame:
         .when(over, store(F.col("percent") / total * 100, 15, 8))
         .otherwise(F.col("percent"))
     )
-    return sums.select("profile_id", "profile_type", "specie_id", percent.alias("percent"))
+    return sums.select("profile_id", "profile_type", "specie_id", percent.alias("percent"), "salt")
 
 
 def pm_mechanism_rows(pm_mechanism: DataFrame, runs: DataFrame) -> DataFrame:
@@ -263,15 +263,15 @@ def pm_mechanism_rows(pm_mechanism: DataFrame, runs: DataFrame) -> DataFrame:
     )
 
 
-def mechanism_weights(filled: DataFrame, totals: Totals, mech: DataFrame) -> DataFrame:
+def mechanism_weights(filled: DataFrame, mech: DataFrame) -> DataFrame:
     """Gap-filled weights of the mechanism's species with the profile sums."""
-    signed = totals(filled, ["profile_id"], lowest=F.min("percent"))
+    signed = totals(filled, ["profile_id"], lowest=(F.min, F.col("percent")))
     matched = signed.join(mech, "specie_id").where((F.col("profile_type") != VBS_TYPE) | F.col("takes_vbs"))
     return totals(
         matched,
         ["profile_id", "scenario_id"],
-        total=F.sum("percent"),
-        lead=F.min(F.struct("specie_id", "aqm_poll")),
+        total=(F.sum, F.col("percent")),
+        lead=(F.min, F.struct("specie_id", "aqm_poll")),
     ).withColumn("sum_pct", store("total", 15, 8))
 
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emisplit.functions import null_as, splittable, store
-from emisplit.functions.grouping import Totals
+from emisplit.functions import null_as, splittable, store, totals
 from emisplit.operators.gas import share_of_100, split_columns
 from emisplit.operators.mechanism import grams_per_mole
 
@@ -53,7 +52,7 @@ def actox_profiles(rows: DataFrame, toxics: DataFrame) -> DataFrame:
     return sums.where("sum_pct >= 100").select("profile_id")
 
 
-def integrate_weights(rows: DataFrame, totals: Totals, hap_species: DataFrame) -> DataFrame:
+def integrate_weights(rows: DataFrame, hap_species: DataFrame) -> DataFrame:
     """Blank the percent of HAP species and scale the rest to 100.
 
     HAP rows stay with a NULL percent, so a profile made of HAPs only remains
@@ -62,7 +61,7 @@ def integrate_weights(rows: DataFrame, totals: Totals, hap_species: DataFrame) -
     listed = splittable(hap_species, "specie_id").select("specie_id", F.lit(True).alias("is_hap"))
     flagged = rows.join(listed, "specie_id", "left")
     rest = flagged.withColumn("percent", F.when(F.col("is_hap").isNull(), F.col("percent"))).drop("is_hap")
-    summed = totals(rest, ["profile_id"], total=F.sum("percent")).withColumn("sum_pct", store("total", 12, 8))
+    summed = totals(rest, ["profile_id"], total=(F.sum, F.col("percent"))).withColumn("sum_pct", store("total", 12, 8))
     return summed.withColumn("percent", share_of_100("sum_pct")).select(rows.columns)
 
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emisplit.functions import store
-from emisplit.functions.grouping import Totals
+from emisplit.functions import store, totals
 from emisplit.operators.gas import WEIGHT_COLUMNS
 
 #: Species id of methane (fixed value).
@@ -35,7 +34,7 @@ def ivoc_factors(factors: DataFrame, ivoc_species: DataFrame, aqm: str, mw_type)
     )
 
 
-def insert_ivoc(rows: DataFrame, totals: Totals, factors: DataFrame) -> DataFrame:
+def insert_ivoc(rows: DataFrame, factors: DataFrame) -> DataFrame:
     """Move a fraction of the non-methane mass into one new species.
 
     Factor profiles without weights have no row to extend and stay out.
@@ -44,8 +43,8 @@ def insert_ivoc(rows: DataFrame, totals: Totals, factors: DataFrame) -> DataFram
     summed = totals(
         rows,
         ["profile_id"],
-        nmog=F.sum(F.when(other, F.col("percent"))),
-        lead=F.min("specie_id"),
+        nmog=(F.sum, F.when(other, F.col("percent"))),
+        lead=(F.min, F.col("specie_id")),
     ).join(factors, "profile_id", "left")
     has_factor = F.col("nmogfraction").isNotNull()
     scaled = F.when(
@@ -53,7 +52,7 @@ def insert_ivoc(rows: DataFrame, totals: Totals, factors: DataFrame) -> DataFram
     ).otherwise(F.col("percent"))
     moved = store(F.col("nmogfraction") * F.coalesce("nmog", F.lit(0)), 15, 8)
     own = F.struct(
-        "profile_id", "specie_id", scaled.alias("percent"), "volatile_mw", "non_voctog", "listed"
+        "profile_id", "specie_id", scaled.alias("percent"), "volatile_mw", "non_voctog", "listed", "salt"
     )
     new = F.struct(
         "profile_id",
@@ -62,6 +61,7 @@ def insert_ivoc(rows: DataFrame, totals: Totals, factors: DataFrame) -> DataFram
         F.col("ivoc_mw").alias("volatile_mw"),
         F.when(F.col("ivoc_mw").isNotNull(), F.lit(False)).alias("non_voctog"),
         "listed",
+        "salt",
     )
     first = F.col("specie_id") == F.col("lead")
     out = F.when(first & has_factor, F.array(own, new)).otherwise(F.array(own))

@@ -3,12 +3,12 @@
 Scenarios that share run type, model, tolerance and input tables form a batch.
 A batch is one plan keyed by ``scenario_id``: weights are selected, summed and
 scaled once, and only the mechanism join multiplies the rows by scenario.
-Nothing runs until an output is read or ``Results.gate`` is called.
+Planning starts no job: work begins when an output is read or ``Results.gate`` is called.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emisplit.errors import SpeciationError
-from emisplit.functions import GROUP_LIMIT, by_group_size, inline_table, large_groups
-from emisplit.functions.grouping import Totals
+from emisplit.functions import inline_table, salted
 from emisplit.operators import gas, mechanism, outputs, pm, quality, toxics, vbs
 from emisplit.operators.volatility import volatility_class
 from emisplit.plans.metadata import metadata_rows
@@ -26,21 +25,6 @@ from emisplit.plans.tables import Tables
 from emisplit.schemas import KEYS
 
 
-class LargeProfiles:
-    """Profiles too large for one task, counted once per weights table."""
-
-    def __init__(self, limit: int = GROUP_LIMIT):
-        self.limit = limit
-        self._found: dict[int, tuple[DataFrame, DataFrame | None]] = {}
-
-    def of(self, weights: DataFrame) -> DataFrame | None:
-        if id(weights) not in self._found:
-            large = large_groups(weights.select("profile_id"), "profile_id", self.limit)
-            # The table is kept with its answer so that its id stays its own.
-            self._found[id(weights)] = (weights, large)
-        return self._found[id(weights)][1]
-
-
 @dataclass(frozen=True)
 class Batch:
     """Scenarios that one plan computes together."""
@@ -48,25 +32,9 @@ class Batch:
     spark: SparkSession
     scenarios: tuple[Scenario, ...]
     tables: Tables
-    large: LargeProfiles = field(default_factory=LargeProfiles)
     case_insensitive: bool = False
     profiles_source: bool = False
 
-    @property
-    def weights(self) -> DataFrame:
-        """The weights table of the runs: the user's own or the shared one."""
-        t = self.tables
-        return t.profile_weights if t.user_profile_wts is None else t.user_profile_wts
-
-    @property
-    def members(self) -> DataFrame:
-        """Where to count the rows per profile."""
-        t = self.tables
-        return t.weight_members if t.user_profile_wts is None and t.weight_members is not None else self.weights
-
-    def each_profile(self, rows: DataFrame, step: Callable[[DataFrame, Totals], DataFrame]) -> DataFrame:
-        return by_group_size(rows, "profile_id", self.large.of(self.members), step, self.large.limit)
-
     @property
     def first(self) -> Scenario:
         return self.scenarios[0]
@@ -174,49 +142,31 @@ class GasPlan:
         """Positive weights of known species with a valid molar mass."""
         return gas.has_valid_mw(gas.raw_weights(self.input_weights(), self.batch.tables.species))
 
-    def _each_profile(self, step: Callable[[DataFrame, Totals], DataFrame]) -> DataFrame:
-        return self.batch.each_profile(self.raw(), step)
-
-    def _normalised(self, rows: DataFrame, totals: Totals) -> DataFrame:
-        scaled = gas.renormalise(rows, totals, self.batch.first.tolerance_pct)
+    def normalised_weights(self) -> DataFrame:
+        scaled = gas.renormalise(salted(self.raw(), "specie_id"), self.batch.first.tolerance_pct)
         if self.kind != VBS:
             return scaled
         t = self.batch.tables
         factors = vbs.ivoc_factors(
             t.vbs_ivoc_factors, t.ivoc_species, self.aqm, t.species.schema["volatile_mw"].dataType
         )
-        return vbs.insert_ivoc(scaled, totals, factors)
+        return vbs.insert_ivoc(scaled, factors)
 
-    def _working(self, rows: DataFrame, totals: Totals) -> DataFrame:
-        scaled = self._normalised(rows, totals)
+    def working_weights(self) -> DataFrame:
+        scaled = self.normalised_weights()
         hap_species = self.haps().select("specie_id").distinct() if self.kind in HAP_RUNS else None
         if self.kind == INTEGRATE:
-            return toxics.integrate_weights(scaled, totals, hap_species)
+            return toxics.integrate_weights(scaled, hap_species)
         if self.kind == NOINTEGRATE:
             return toxics.nointegrate_weights(scaled, hap_species, self.toxics())
         return scaled
 
-    def normalised_weights(self) -> DataFrame:
-        return self._each_profile(self._normalised)
-
-    def working_weights(self) -> DataFrame:
-        return self._each_profile(self._working)
-
     def moles_by_species(self) -> DataFrame:
-        return self._each_profile(
-            lambda rows, totals: gas.moles_by_species(
-                gas.weight_moles(self._working(rows, totals).where("percent is not null"), totals), self.mapping()
-            )
-        )
+        weights = self.working_weights().where("percent is not null")
+        return gas.moles_by_species(gas.weight_moles(weights), self.mapping())
 
     def model_species(self) -> DataFrame:
-        mapping = self.mapping()
-
-        def chain(rows: DataFrame, totals: Totals) -> DataFrame:
-            weights = self._working(rows, totals).where("percent is not null")
-            return gas.model_species(gas.moles_by_species(gas.weight_moles(weights, totals), mapping), totals)
-
-        return self._each_profile(chain)
+        return gas.model_species(self.moles_by_species())
 
     # outputs
 
@@ -340,20 +290,14 @@ class PmPlan:
             return pm.pm_user_weights(t.profiles, t.user_profile_wts)
         return pm.pm_raw_weights(t.profiles, t.profile_weights)
 
-    def _each_profile(self, step: Callable[[DataFrame, Totals], DataFrame]) -> DataFrame:
-        return self.batch.each_profile(self.raw(), step)
-
-    def _filled(self, rows: DataFrame, totals: Totals) -> DataFrame:
-        return pm.fill_gaps(rows, totals, self.batch.tables.o2m_ratios)
+    def _filled(self) -> DataFrame:
+        return pm.fill_gaps(salted(self.raw(), "specie_id"), self.batch.tables.o2m_ratios)
 
     def gap_filled_weights(self) -> DataFrame:
-        return self._each_profile(self._filled)
+        return self._filled().drop("salt")
 
     def mechanism_weights(self) -> DataFrame:
-        mech = self.mechanism_rows()
-        return self._each_profile(
-            lambda rows, totals: pm.mechanism_weights(self._filled(rows, totals), totals, mech)
-        )
+        return pm.mechanism_weights(self._filled(), self.mechanism_rows())
 
     def base_fractions(self) -> DataFrame:
         return pm.pm_fractions(self.mechanism_weights())
@@ -429,7 +373,6 @@ def _union(parts: Iterable[DataFrame | None]) -> DataFrame | None:
 def _batches(
     spark: SparkSession,
     runs: list[tuple[Scenario, Tables]],
-    large: LargeProfiles,
     case_insensitive: bool,
     profiles_source: bool,
 ) -> list[Batch]:
@@ -442,7 +385,7 @@ def _batches(
         )
         groups.setdefault(key, []).append(scenario)
         tables[key] = inputs
-    return [Batch(spark, tuple(g), tables[k], large, case_insensitive, profiles_source) for k, g in groups.items()]
+    return [Batch(spark, tuple(g), tables[k], case_insensitive, profiles_source) for k, g in groups.items()]
 
 
 def _batch_results(batch: Batch, with_report: bool) -> Results:
@@ -484,7 +427,6 @@ def run_scenarios(
     runs: Iterable[tuple[Scenario, Tables]],
     *,
     with_report: bool = True,
-    group_limit: int = GROUP_LIMIT,
     case_insensitive_mechanism: bool = False,
     profiles_source: bool = False,
 ) -> Results:
@@ -499,7 +441,7 @@ def run_scenarios(
         raise SpeciationError(f"scenario names must be given and differ: {names}")
     for scenario, _ in runs:
         scenario.check_required().check_pm_run_type()
-    batches = _batches(spark, runs, LargeProfiles(group_limit), case_insensitive_mechanism, profiles_source)
+    batches = _batches(spark, runs, case_insensitive_mechanism, profiles_source)
     done = [_batch_results(b, with_report) for b in batches]
     return Results(
         tuple(s for s, _ in runs),

@@ -12,14 +12,11 @@ class Tables:
     """Reference tables, and the optional per-scenario ones.
 
     Only the tables that the requested outputs use have to be given.
-    ``weight_members`` may hold a ``profile_id`` column with at least as many
-    rows per profile as the weights; it is counted instead of them when given.
     """
 
     species: DataFrame | None = None
     profiles: DataFrame | None = None
     profile_weights: DataFrame | None = None
-    weight_members: DataFrame | None = None
     mechanism: DataFrame | None = None
     mechanism_description: DataFrame | None = None
     carbons: DataFrame | None = None

@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
-
-from emisplit.errors import SpeciationError
+from pyspark.sql import SparkSession
 
 #: Runtime settings only; none of them changes a result.
 _SETTINGS = {
@@ -26,21 +22,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut_lineage(rows: DataFrame) -> DataFrame:
-    """Write ``rows`` to the checkpoint folder and read them from there.
-
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; without
-    one the call fails, as uncut plans grow with every total.
-    """
-    context = rows.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = rows.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            raise SpeciationError("profiles with very many rows need a shared folder: set spark.checkpoint.dir")
-        context.setCheckpointDir(folder)
-    return rows.checkpoint()
-
-
 def local_session(name: str = "emisplit", cores: str = "*", **extra: str) -> SparkSession:
     """A single-JVM session for tests and benchmarks."""
     builder = (
@@ -56,6 +37,4 @@ def local_session(name: str = "emisplit", cores: str = "*", **extra: str) -> Spa
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="emisplit-"))
     return tune(spark)

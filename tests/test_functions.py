@@ -3,8 +3,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
-from emisplit.functions import by_group_size, inline_table, large_groups, spread_totals, store, window_totals
+from emisplit.functions import grouping, inline_table, salted, store, totals
 
 
 def test_store_rounds_half_away_from_zero(table):
@@ -24,24 +23,24 @@ def test_inline_table_keeps_types(spark):
     assert inline_table(spark, [], "a string").count() == 0
 
 
-def test_large_groups(table):
-    rows = table([("a",)] * 5 + [("b",)] * 2, "k string")
-    assert values(large_groups(rows, "k", 3), "k") == [("a",)]
-    assert large_groups(rows, "k", 5) is None
-
-
-@pytest.mark.parametrize("limit", [1, 3, 100])
-def test_totals_agree_at_any_group_size(table, limit):
-    rows = table([("a", i) for i in range(5)] + [("b", 7), ("c", 1), ("c", 2)], "k string, v int")
-
-    def share(part, totals):
-        first = totals(part, ["k"], total=F.sum("v"))
-        return totals(first.withColumn("w", F.col("v") * F.col("total")), ["k"], again=F.sum("w"))
-
-    def spread(part, keys, **totals):
-        return spread_totals(part, keys, limit, **totals)
-
-    got = by_group_size(rows, "k", large_groups(rows, "k", limit), share, limit)
-    want = share(rows, window_totals)
-    columns = ("k", "v", "total", "w", "again")
-    assert values(got, *columns) == values(want, *columns) == values(share(rows, spread), *columns)
+@pytest.mark.parametrize("salts", [1, 2, 4096])
+def test_totals_agree_at_any_number_of_shares(table, salts, monkeypatch):
+    """Repeated rows, a NULL key, NULL values and groups without a value included."""
+    monkeypatch.setattr(grouping, "SALTS", salts)
+    data = [("a", i % 4) for i in range(9)] + [("b", 7), ("c", 1), ("c", 2), (None, 5), (None, 6), ("d", None)]
+    rows = table(data, "k string, v int")
+    got = totals(salted(rows, "v"), ["k"], total=(F.sum, F.col("v")), low=(F.min, F.col("v")), top=(F.max, F.struct("v")))
+    again = totals(got.withColumn("w", F.col("v") * F.col("total")), ["k"], again=(F.sum, F.col("w")))
+    want = []
+    for key, value in data:
+        group = [v for k, v in data if k == key and v is not None]
+        total = sum(group) if group else None
+        want.append((key, value, total, min(group, default=None), total * total if group else None))
+    rows = [tuple(r) for r in again.select("k", "v", "total", "low", "again").collect()]
+    assert sorted(rows, key=str) == sorted(want, key=str)
+    assert totals(salted(table([], "k string, v int"), "v"), ["k"], n=(F.sum, F.col("v"))).count() == 0
+
+
+def test_totals_keep_the_decimal_type(table):
+    rows = salted(table([("a", "1.5")], "k string, v decimal(15,8)"), "v")
+    assert totals(rows, ["k"], t=(F.sum, F.col("v"))).schema["t"].dataType.simpleString() == "decimal(25,8)"

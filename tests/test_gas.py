@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from conftest import values
 from emisplit import Scenario, SpeciationError, Tables
-from emisplit.plans.speciation import Batch, GasPlan, LargeProfiles, run_scenarios, speciate
+from emisplit.functions import grouping
+from emisplit.plans.speciation import Batch, GasPlan, run_scenarios, speciate
 
 SPECIES = "specie_id string, specie_name string, molecular_weight decimal(20,12), non_voctog boolean, volatile_mw decimal(20,12), vp_epi decimal(20,12)"
 
@@ -61,8 +62,8 @@ def scenario(kind="CRITERIA", name="run", **more):
     return Scenario(name, **({"mech_basis": "MM", "run_type": kind, "aqm": "CMAQ", "output": "VOC"} | more))
 
 
-def plan(spark, tables, *args, limit=1_000_000, **kwargs):
-    return GasPlan(Batch(spark, (scenario(*args, **kwargs),), tables, LargeProfiles(limit)))
+def plan(spark, tables, *args, **kwargs):
+    return GasPlan(Batch(spark, (scenario(*args, **kwargs),), tables))
 
 
 def test_renormalised_weights(spark, tables):
@@ -233,7 +234,8 @@ def test_conversion_factors_and_modes(spark, tables, table):
 
 
 @pytest.mark.parametrize("kind", ["CRITERIA", "INTEGRATE", "VBS"])
-def test_large_profiles_give_the_same_result(spark, tables, toxics, table, kind):
+@pytest.mark.parametrize("salts", [1, 2])
+def test_any_split_of_profiles_gives_the_same_result(spark, tables, toxics, table, kind, salts, monkeypatch):
     extra = tables.with_(
         toxics=toxics,
         vbs_ivoc_factors=table(
@@ -243,8 +245,9 @@ def test_large_profiles_give_the_same_result(spark, tables, toxics, table, kind)
         ivoc_species=table([("CMAQ", "IVOC_X", 200)], "aqm string, specie_id string, molwt decimal(10,6)"),
     )
     columns = ("profile_id", "eminv_poll", "aqm_poll", "split_factor", "divisor")
-    small = values(plan(spark, extra, kind).splits(), *columns)
-    assert values(plan(spark, extra, kind, limit=2).splits(), *columns) == small
+    want = values(plan(spark, extra, kind).splits(), *columns)
+    monkeypatch.setattr(grouping, "SALTS", salts)
+    assert want and values(plan(spark, extra, kind).splits(), *columns) == want
 
 
 def test_scenarios_share_a_batch(spark, tables):

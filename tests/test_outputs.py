@@ -7,7 +7,7 @@ from conftest import values
 from emisplit import Scenario, SpeciationError, Tables, bridge
 from emisplit.operators import outputs
 from emisplit.operators.volatility import volatility_class
-from emisplit.plans.speciation import Batch, Results, speciate
+from emisplit.plans.speciation import Batch, run_scenarios, speciate
 from emisplit.sinks import text
 
 SPLITS = (
@@ -151,6 +151,15 @@ def test_conversion_files_depend_on_output():
     assert not Scenario("a", output="VOC", run_type="haplist").writes_conversions
 
 
-def test_results_are_lazy(spark):
-    run = Scenario("r", mech_basis="M_A", run_type="CRITERIA", aqm="CMAQ", output="VOC")
-    assert isinstance(speciate(spark, run, bridge.gas_tables(spark, SF)), Results)
+def test_planning_starts_no_job(spark):
+    runs = [
+        (Scenario(kind, mech_basis="M_A", run_type=kind, aqm="CMAQ", output="VOC"), bridge.gas_tables(spark, SF))
+        for kind in ("CRITERIA", "VBS")
+    ]
+    pm = Scenario("pm", mech_basis="AE6", run_type="CRITERIA", aqm="CMAQ", output="PM")
+    spark.sparkContext.setJobGroup("planning", "")
+    try:
+        run_scenarios(spark, [*runs, (pm, bridge.pm_tables(spark, SF))])
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setJobGroup("tests", "")

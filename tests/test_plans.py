@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from emisplit.functions import splittable, spread_totals
+from emisplit.functions import salted, splittable, totals
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,17 +28,40 @@ def test_scan_reads_what_it_needs(spark):
     assert lineitem and all("l_suppkey" not in s and "l_discount" not in s for s in lineitem)
 
 
-@pytest.mark.parametrize("name", ["gas_model_species", "pm_gap_filled_weights"])
-def test_weights_are_shuffled_once_by_profile(spark, name):
-    """All totals of the chain share one partitioning."""
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        plan = _plan(contract.queries()[name](spark, SF))
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    windows = len(re.findall(r"\+- Window ", plan)) + len(re.findall(r"Window \[", plan))
-    shuffles = re.findall(r"Exchange hashpartitioning\(profile_id#\d+, \d+\)", plan)
-    assert windows >= 2 and len(shuffles) <= 2
+@pytest.fixture
+def static_plans(spark):
+    """Plans as written: nothing reused or changed while they run."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.exchange.reuse": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.unset("spark.sql.exchange.reuse")
+
+
+CHAINS = ["gas_model_species", "gas_split_factors", "gas_vbs_splits", "pm_gap_filled_weights", "pm_fractions"]
+
+
+@pytest.mark.parametrize("name", CHAINS)
+def test_one_chain_reads_the_weights_once(spark, static_plans, name):
+    """However many totals a chain has, its input is in the plan once."""
+    plan = _plan(contract.queries()[name](spark, SF))
+    assert len([s for s in re.findall(r"ReadSchema: (\S+)", plan) if "l_orderkey" in s]) == 1
+
+
+@pytest.mark.parametrize("name", CHAINS)
+def test_no_window_needs_a_whole_profile(spark, static_plans, name):
+    """Totals are taken over shares of a profile and their leaders only."""
+    plan = _plan(contract.queries()[name](spark, SF))
+    groups = [
+        re.sub(r"#\d+", "", keys)
+        for keys in re.findall(r"Window \[.*?windowspecdefinition\((.*?#\d+(?:, \w+#\d+)*)[ ,]", plan)
+        if "profile_id" in keys or "l_orderkey" in keys
+    ]
+    assert len(groups) >= 6
+    # The identity rows' window is over one row per model species.
+    shared = [g for g in groups if not re.match(r"profile_id, scenario_id(, aqm_poll)?$", g)]
+    assert shared and all("salt" in g or "place" in g for g in shared)
 
 
 @pytest.fixture
@@ -67,15 +90,18 @@ def _skewed_rows(spark):
     )
 
 
-def test_hot_group_is_not_shuffled(spark, small_partitions):
-    """The total of a hot key is broadcast to its rows; the others window."""
-    totals = spread_totals(_skewed_rows(spark), ["k"], 50_000, total=F.sum("v"))
-    result = totals.groupBy("k").agg(F.max("total").alias("total"), F.count("*").alias("n"))
-    rows = {r["k"]: (r["total"], r["n"]) for r in result.collect()}
-    assert rows["hot"] == (sum(i for i in range(200_000) if i % 3 < 2), 133_334)
-    assert len(rows) == 66_667
-    plan = _plan(result)
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+def test_hot_group_is_shared_out(spark, small_partitions):
+    """No task gets a large part of a key that holds two thirds of the rows."""
+    result = totals(salted(_skewed_rows(spark), "v"), ["k"], total=(F.sum, F.col("v")))
+    tasks = result.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.when(F.col("k") == "hot", 1)).alias("n"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        held = [r["n"] for r in tasks.collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(held) == 133_334 and max(held) < 133_334 / 8 * 1.2
+    rows = {r["k"]: r["total"] for r in result.groupBy("k").agg(F.max("total").alias("total")).collect()}
+    assert rows["hot"] == sum(i for i in range(200_000) if i % 3 < 2) and len(rows) == 66_667
 
 
 def test_skewed_join_with_an_aggregate_is_split(spark, small_partitions):

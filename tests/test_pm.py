@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from conftest import values
 from emisplit import Scenario, SpeciationError, Tables, bridge
-from emisplit.plans.speciation import Batch, LargeProfiles, PmPlan, speciate
+from emisplit.functions import grouping
+from emisplit.plans.speciation import Batch, PmPlan, speciate
 
 PROFILES = (
     "profile_id string, profile_name string, profile_type string, lower_size decimal(10,4), upper_size decimal(10,4), "
@@ -24,9 +25,9 @@ def _tables(spark, table, weights, kind="PM", mechanism=None, equipment=None, **
     )
 
 
-def _plan(spark, tables, mech="AE6", aqm="CMAQ", kind="CRITERIA", limit=1_000_000):
+def _plan(spark, tables, mech="AE6", aqm="CMAQ", kind="CRITERIA"):
     run = Scenario("run", mech_basis=mech, run_type=kind, aqm=aqm, output="PM")
-    return PmPlan(Batch(spark, (run,), tables, LargeProfiles(limit)))
+    return PmPlan(Batch(spark, (run,), tables))
 
 
 def _filled(spark, table, weights, **kwargs):
@@ -174,9 +175,11 @@ def test_existing_derived_species_stop_the_run(spark, table):
         speciate(spark, run, tables).gate()
 
 
-def test_large_profiles_give_the_same_result(spark, table):
+@pytest.mark.parametrize("salts", [1, 2])
+def test_any_split_of_profiles_gives_the_same_result(spark, table, salts, monkeypatch):
     rows = [("a", "626", 50), ("a", "797", 60), ("a", "700", 1), ("a", "669", 2), ("b", "797", 10), ("b", "2847", 7)]
     tables = _tables(spark, table, rows)
     columns = ("profile_id", "aqm_poll", "fraction")
     want = values(_plan(spark, tables).fractions(), *columns)
-    assert want and values(_plan(spark, tables, limit=2).fractions(), *columns) == want
+    monkeypatch.setattr(grouping, "SALTS", salts)
+    assert want and values(_plan(spark, tables).fractions(), *columns) == want
