@@ -157,6 +157,7 @@ def fill_gaps(rows: DataFrame, o2m: DataFrame) -> DataFrame:
     Sulfate is derived from sulfur, and ions replace atoms and oxides, in every
     profile. Water, metal-bound oxygen and non-carbon organics are added to
     plain profiles only, and plain profiles over 101 percent are scaled down.
+    Each row has its profile's ``lowest`` percent.
     """
     return _scale_over_101(_fill_species(rows, o2m))
 
@@ -227,6 +228,8 @@ def _scale_over_101(rows: DataFrame) -> DataFrame:
 
     Organic matter alone is scaled when it can absorb the excess, otherwise
     every species of the profile is. Sulfur does not count in the sum.
+    ``lowest`` is the profile's smallest percent afterwards: scaling keeps the
+    order within the organic species and within the others.
     """
     organic = F.col("specie_id").isin(ORGANIC_CARBON, NON_CARBON_ORGANIC)
     sums = totals(
@@ -234,18 +237,27 @@ def _scale_over_101(rows: DataFrame) -> DataFrame:
         ["profile_id"],
         total=(F.sum, F.when(F.col("specie_id") != SULFUR, F.col("percent"))),
         organics=_percent_of(ORGANIC_CARBON, NON_CARBON_ORGANIC),
+        low_organic=(F.min, F.when(organic, F.col("percent"))),
+        low_other=(F.min, F.when(~organic, F.col("percent"))),
     )
     over = (F.col("profile_type") == PLAIN_TYPE) & (F.col("total") > 101)
     total, organics = store("total", 15, 8), store("organics", 15, 8)
     room = 100 - (total - organics)
     by_organics = over & (organics > 0) & (room > 0)
-    percent = (
-        F.when(by_organics & organic, store(store(F.col("percent") * room, 24, 16) / organics, 15, 8))
-        .when(by_organics, F.col("percent"))
-        .when(over, store(F.col("percent") / total * 100, 15, 8))
-        .otherwise(F.col("percent"))
+
+    def scaled(percent: str, is_organic: Column) -> Column:
+        value = F.col(percent)
+        return (
+            F.when(by_organics & is_organic, store(store(value * room, 24, 16) / organics, 15, 8))
+            .when(by_organics, value)
+            .when(over, store(value / total * 100, 15, 8))
+            .otherwise(value)
+        )
+
+    lowest = F.least(scaled("low_organic", F.lit(True)), scaled("low_other", F.lit(False)))
+    return sums.select(
+        "profile_id", "profile_type", "specie_id", scaled("percent", organic).alias("percent"), lowest.alias("lowest"), "salt"
     )
-    return sums.select("profile_id", "profile_type", "specie_id", percent.alias("percent"), "salt")
 
 
 def pm_mechanism_rows(pm_mechanism: DataFrame, runs: DataFrame) -> DataFrame:
@@ -265,8 +277,7 @@ def pm_mechanism_rows(pm_mechanism: DataFrame, runs: DataFrame) -> DataFrame:
 
 def mechanism_weights(filled: DataFrame, mech: DataFrame) -> DataFrame:
     """Gap-filled weights of the mechanism's species with the profile sums."""
-    signed = totals(filled, ["profile_id"], lowest=(F.min, F.col("percent")))
-    matched = signed.join(mech, "specie_id").where((F.col("profile_type") != VBS_TYPE) | F.col("takes_vbs"))
+    matched = filled.join(mech, "specie_id").where((F.col("profile_type") != VBS_TYPE) | F.col("takes_vbs"))
     return totals(
         matched,
         ["profile_id", "scenario_id"],

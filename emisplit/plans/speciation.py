@@ -294,7 +294,7 @@ class PmPlan:
         return pm.fill_gaps(salted(self.raw(), "specie_id"), self.batch.tables.o2m_ratios)
 
     def gap_filled_weights(self) -> DataFrame:
-        return self._filled().drop("salt")
+        return self._filled().drop("salt", "lowest")
 
     def mechanism_weights(self) -> DataFrame:
         return pm.mechanism_weights(self._filled(), self.mechanism_rows())
