@@ -189,10 +189,14 @@ def scenario_flags(runs: DataFrame, descriptions: DataFrame | None, *, case_inse
     """The non-SOA flag and comment of each scenario's mechanism.
 
     The run's mechanism name is upper case and is looked up as is, so a
-    description in mixed case is found only with ``case_insensitive``.
+    description in mixed case is found only with ``case_insensitive``. Of names
+    that differ in case only the first in code point order counts: the upper one.
     """
     if descriptions is None:
         return runs.select("scenario_id", null_as("string").alias("nonsoaflag"), null_as("string").alias("comment"))
     name = F.upper("mechanism") if case_insensitive else F.col("mechanism")
     named = descriptions.select(name.alias("mechanism"), "nonsoaflag", "comment")
+    if case_insensitive:
+        first = F.min_by(F.struct("nonsoaflag", "comment"), "mechanism").alias("first")
+        named = descriptions.groupBy(name.alias("name")).agg(first).select(F.col("name").alias("mechanism"), "first.*")
     return runs.join(named, "mechanism", "left").select("scenario_id", "nonsoaflag", "comment")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emisplit.functions import store
@@ -85,18 +85,21 @@ def drop_unknown(splits: DataFrame, flags: DataFrame) -> DataFrame:
 
 
 def gscnv_modes(factors: DataFrame, gas_process: DataFrame, invtable: DataFrame) -> DataFrame:
-    """Add ``mode__name`` rows for the processes of each profile."""
+    """Add ``mode__name`` rows for the processes of each profile.
+
+    The rows are emitted next to the profile's own, so the factors are computed
+    once. A profile lists at most as many processes as the inventory has modes.
+    """
     modes = invtable.select(F.col("mode").alias("process")).distinct()
     listed = gas_process.join(modes, "process", "left_semi")
-    prefix = F.concat("process", F.lit("__"))
-    extra = factors.join(listed, "profile_id").select(
-        "scenario_id",
-        F.concat(prefix, "from_specie").alias("from_specie"),
-        F.concat(prefix, "to_specie").alias("to_specie"),
-        "profile_id",
-        "cnv_factor",
-    )
-    return factors.select(CONVERSION_COLUMNS).unionByName(extra)
+    listed = listed.groupBy("profile_id").agg(F.collect_list(F.concat("process", F.lit("__"))).alias("prefixes"))
+
+    def row(prefix: Column) -> Column:
+        names = [F.concat(prefix, c).alias(c) for c in ("from_specie", "to_specie")]
+        return F.struct("scenario_id", *names, "profile_id", "cnv_factor")
+
+    prefixes = F.concat(F.array(F.lit("")), F.coalesce("prefixes", F.array().cast("array<string>")))
+    return factors.join(listed, "profile_id", "left").select(F.inline(F.transform(prefixes, row)))
 
 
 def profile_count(splits: DataFrame) -> DataFrame:

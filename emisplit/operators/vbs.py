@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emisplit.functions import store, totals
@@ -86,26 +86,35 @@ def svoc_bins(factors: DataFrame, aqm: str) -> DataFrame:
 def svoc_splits(fractions: DataFrame, bins: DataFrame, aqm: str) -> DataFrame:
     """Spread primary organics over the volatility bins.
 
-    The sources are removed and their mass goes to the bins of the profile.
-    For CAMx the organics are one species already; otherwise organic carbon
-    and its non-carbon part are added up first.
+    The sources are removed and their mass goes to the bins of the profile,
+    next to the first of them; without bins it is lost. For CAMx the organics
+    are one species already; otherwise organic carbon and its non-carbon part
+    are added up first. A profile has at most one row per species of the
+    mechanism, so the window over it stays small.
     """
     organics = ("POA",) if aqm == "CAMX" else ("PNCOM", "POC")
     is_organic = F.col("aqm_poll").isin(*organics)
-    total = fractions.where(is_organic)
+    listed = bins.groupBy("profile_id").agg(F.collect_list(F.struct("bin_poll", "bin_fraction")).alias("bins"))
+    rows = fractions.join(listed, "profile_id", "left")
     if aqm == "CAMX":
-        mass = total.select("scenario_id", "profile_id", "eminv_poll", "fraction")
+        rows = rows.withColumns({"mass": F.col("fraction"), "spreads": is_organic})
+        source = F.col("eminv_poll")
     else:
-        mass = (
-            total.groupBy("scenario_id", "profile_id")
-            .agg(store(F.sum("fraction"), 15, 8).alias("fraction"))
-            .withColumn("eminv_poll", F.lit("PM2_5"))
+        group = Window.partitionBy("profile_id", "scenario_id")
+        first = F.row_number().over(group.orderBy(~is_organic, "aqm_poll", "fraction")) == 1
+        mass = F.sum(F.when(is_organic, F.col("fraction"))).over(group)
+        rows = rows.select("*", store(mass, 15, 8).alias("mass"), (is_organic & first).alias("spreads"))
+        source = F.lit("PM2_5")
+
+    def row(eminv_poll: Column, aqm_poll: Column, fraction: Column) -> Column:
+        return F.struct(
+            "scenario_id",
+            "profile_id",
+            eminv_poll.alias("eminv_poll"),
+            aqm_poll.alias("aqm_poll"),
+            store(fraction, 17, 10).alias("fraction"),
         )
-    spread = mass.join(bins, "profile_id").select(
-        "scenario_id",
-        "profile_id",
-        "eminv_poll",
-        F.col("bin_poll").alias("aqm_poll"),
-        store(F.col("fraction") * F.col("bin_fraction"), 17, 10).alias("fraction"),
-    )
-    return fractions.where(~is_organic).unionByName(spread)
+
+    own = F.array(row(F.col("eminv_poll"), F.col("aqm_poll"), F.col("fraction")))
+    spread = F.transform("bins", lambda b: row(source, b["bin_poll"], F.col("mass") * b["bin_fraction"]))
+    return rows.select(F.inline(F.when(F.col("spreads"), spread).when(~is_organic, own)))

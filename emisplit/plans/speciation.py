@@ -377,15 +377,17 @@ def _batches(
     profiles_source: bool,
 ) -> list[Batch]:
     groups: dict[tuple, list[Scenario]] = {}
-    tables: dict[tuple, Tables] = {}
+    tables: list[Tables] = []
     for scenario, inputs in runs:
         camx_ae6 = scenario.model == "CAMX" and scenario.mechanism == "AE6"
+        place = next((i for i, known in enumerate(tables) if known.same(inputs)), len(tables))
+        if place == len(tables):
+            tables.append(inputs)
         key = (
-            id(inputs), scenario.outputs, scenario.kind, scenario.model, scenario.tolerance_pct, camx_ae6,
+            place, scenario.outputs, scenario.kind, scenario.model, scenario.tolerance_pct, camx_ae6,
         )
         groups.setdefault(key, []).append(scenario)
-        tables[key] = inputs
-    return [Batch(spark, tuple(g), tables[k], case_insensitive, profiles_source) for k, g in groups.items()]
+    return [Batch(spark, tuple(g), tables[k[0]], case_insensitive, profiles_source) for k, g in groups.items()]
 
 
 def _batch_results(batch: Batch, with_report: bool) -> Results:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame
 
@@ -35,5 +35,10 @@ class Tables:
     primary: DataFrame | None = None
     user_profile_wts: DataFrame | None = None
 
+    def same(self, other: "Tables") -> bool:
+        """Whether all tables have the same plans, hence the same rows."""
+        pairs = [(getattr(self, f.name), getattr(other, f.name)) for f in fields(self)]
+        return all(a is b or (a is not None and b is not None and a.sameSemantics(b)) for a, b in pairs)
+
     def with_(self, **changes: DataFrame | None) -> "Tables":
         return replace(self, **changes)

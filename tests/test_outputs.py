@@ -5,7 +5,7 @@ import pytest
 
 from conftest import values
 from emisplit import Scenario, SpeciationError, Tables, bridge
-from emisplit.operators import outputs
+from emisplit.operators import mechanism, outputs
 from emisplit.operators.volatility import volatility_class
 from emisplit.plans.speciation import Batch, run_scenarios, speciate
 from emisplit.sinks import text
@@ -163,3 +163,20 @@ def test_planning_starts_no_job(spark):
         assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
     finally:
         spark.sparkContext.setJobGroup("tests", "")
+
+
+def test_equal_tables_share_a_plan(spark):
+    first, again, other = (bridge.gas_tables(spark, SF) for _ in range(3))
+    assert first.same(again) and not first.same(other.with_(species=other.species.where("volatile_mw > 0")))
+    assert not first.same(other.with_(carbons=None))
+
+
+def test_names_that_differ_in_case_give_one_flag(table):
+    runs = table([("r", "CB6")], "scenario_id string, mechanism string")
+    named = table(
+        [("cb6", "N", "low"), ("CB6", "Y", "high"), ("Cb6", None, None)],
+        "mechanism string, nonsoaflag string, comment string",
+    )
+    for exact in (False, True):
+        flags = mechanism.scenario_flags(runs, named, case_insensitive=exact)
+        assert values(flags, "scenario_id", "nonsoaflag", "comment") == [("r", "Y", "high")]

@@ -42,7 +42,7 @@ def static_plans(spark):
 CHAINS = ["gas_model_species", "gas_split_factors", "gas_vbs_splits", "pm_gap_filled_weights", "pm_fractions"]
 
 
-@pytest.mark.parametrize("name", CHAINS)
+@pytest.mark.parametrize("name", [*CHAINS, "pm_vbs_fractions", "pm_camx_vbs_fractions", "gas_voc_to_tog_modes"])
 def test_one_chain_reads_the_weights_once(spark, static_plans, name):
     """However many totals a chain has, its input is in the plan once."""
     plan = _plan(contract.queries()[name](spark, SF))
