@@ -327,12 +327,17 @@ def quality_negative(spark, sf_dir):
     return _doubles(quality.negative_components(plan.mechanism_weights(), plan.gap_filled_weights()), "percent")
 
 
+def _supplied_species(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model species that carry the number of a supplier's nation."""
+    return bridge.read(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("B"), F.col("s_nationkey").cast("string")).alias("aqm_poll")
+    )
+
+
 def quality_missing_carbons(spark, sf_dir):
     """Carbon numbers known for the model species that carry the number of a supplier's nation."""
     plan = _crit(spark, sf_dir)
-    known = bridge.read(spark, sf_dir, "supplier").select(
-        F.lit("crit").alias("scenario_id"), F.concat(F.lit("B"), F.col("s_nationkey").cast("string")).alias("aqm_poll")
-    )
+    known = _supplied_species(spark, sf_dir).withColumn("scenario_id", F.lit("crit"))
     return quality.missing_carbons(plan.mechanism_rows(), known)
 
 
@@ -345,6 +350,14 @@ def _named_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def run_report(spark, sf_dir):
+    """Every finding of a run whose inventory names are too long and whose carbon numbers have gaps."""
+    tables = bridge.gas_tables(spark, sf_dir)
+    known = tables.carbons.join(_supplied_species(spark, sf_dir), "aqm_poll", "left_semi")
+    tables = tables.with_(invtable=_named_inventory(spark, sf_dir), carbons=known)
+    return run_scenarios(tune(spark), [(_scenario("crit"), tables)]).report
+
+
 def quality_name_width(spark, sf_dir):
     return quality.long_names(_named_inventory(spark, sf_dir))
 
@@ -477,6 +490,7 @@ def queries() -> dict[str, Query]:
         "quality_pm_species": quality_pm_species,
         "quality_svoc_cover": quality_svoc_cover,
         "quality_svoc_sum": quality_svoc_sum,
+        "run_report": run_report,
         **_corpus_entries("queries"),
     }
 

@@ -697,6 +697,33 @@ FROM (SELECT DISTINCT profile_id FROM gas_norm) g LEFT JOIN cnv c USING (profile
         f"SELECT specie_id || chr(9) || specie_name || chr(9) || voc_class AS line FROM ({sql['volatility_class']})"
     )
 
+    # All findings of one run: severity, check, the keys and value that its rows have, message.
+    findings = [
+        ("ERROR", "name_width_gas", "quality_name_width", "", "'inventory name too long for an output name: ' || eminv_poll"),
+        ("ERROR", "carbons", "quality_missing_carbons", "aqm_poll", "'model species without carbon number'"),
+        ("WARNING", "unmapped_species", "gas_unmapped_species", "specie_id", "'mechanism undefined; set to UNK if referenced'"),
+        (
+            "WARNING", "missing_mw", "quality_missing_mw", "profile_id specie_id percent",
+            "'component dropped: no molecular weight'",
+        ),
+        (
+            "WARNING", "tolerance", "quality_tolerance", "profile_id sum_pct",
+            "concat_ws(' ', 'profile dropped: total percent out of tolerance', profile_name)",
+        ),
+        (
+            "WARNING", "unmapped_in_profiles", "quality_unmapped_in_profiles", "specie_id",
+            "concat_ws(' ', 'mechanism undefined, used by profiles:', specie_name)",
+        ),
+    ]
+
+    def found(severity: str, check: str, query: str, columns: str, message: str) -> str:
+        keys = [f"{c if c in columns else 'NULL'} AS {c}" for c in ("profile_id", "specie_id", "aqm_poll")]
+        value = next((c for c in ("percent", "sum_pct") if c in columns), "CAST(NULL AS DOUBLE)")
+        return f"""SELECT 'crit' AS scenario_id, '{severity}' AS severity, '{check}' AS "check", {", ".join(keys)},
+       {value} AS value, {message} AS message FROM ({sql[query]})"""
+
+    sql["run_report"] = "\nUNION ALL\n".join(found(*f) for f in findings)
+
     # Several scenarios in one result.
     parts = {
         "crit": (_PLAIN, f"{_split_rows('crit', 'TOG')} UNION ALL {_VOC_ROWS.format(scenario='crit')}"),
