@@ -9,10 +9,10 @@ Planning starts no job: work begins when an output is read or ``Results.gate`` i
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from emisplit.errors import SpeciationError
@@ -346,19 +346,22 @@ class Results:
     volatility: DataFrame | None
     metadata: DataFrame | None
     report: DataFrame | None
-    checks: tuple[DataFrame, ...] = field(default=(), repr=False)
 
     def gate(self) -> "Results":
         """Raise when input checks or the key of the splits are violated.
 
-        One job looks at all checks. The message has every violated check with
-        its number of findings, the exception up to 20 findings; ``report`` has all.
+        One job looks at all checks. The error names every violated check with
+        its number of findings and the smallest of them; ``report`` has all.
         """
-        found = _union(c.where(F.col("severity") == quality.ERROR) for c in self.checks)
-        totals = [] if found is None else found.groupBy("check").count().orderBy("check").collect()
-        if totals:
-            kinds = ", ".join(f"{r['check']} ({r['count']})" for r in totals)
-            raise SpeciationError(f"speciation stopped: {kinds}; first findings", found.limit(20).collect())
+        if self.report is None:
+            return self
+        first = F.min(F.struct(*[c for c in quality.REPORT_COLUMNS if c != "check"])).alias("first")
+        errors = self.report.where(F.col("severity") == quality.ERROR).groupBy("check")
+        failed = errors.agg(F.count("*").alias("findings"), first).orderBy("check").collect()
+        if failed:
+            kinds = ", ".join(f"{r['check']} ({r['findings']})" for r in failed)
+            rows = [Row(check=r["check"], findings=r["findings"], **r["first"].asDict()) for r in failed]
+            raise SpeciationError(f"speciation stopped: {kinds}; the first of each", rows)
         return self
 
     def summary(self) -> DataFrame:
@@ -420,7 +423,7 @@ def _batch_results(batch: Batch, with_report: bool) -> Results:
     if with_report:
         checks.append(quality.duplicate_keys(splits, KEYS["gspro"], "duplicate_split"))
     return Results(
-        batch.scenarios, splits, conversions, header, volatility, metadata, _union(checks), tuple(checks)
+        batch.scenarios, splits, conversions, header, volatility, metadata, _union(checks)
     )
 
 
@@ -453,7 +456,6 @@ def run_scenarios(
         _union(r.volatility for r in done),
         _union(r.metadata for r in done),
         _union(r.report for r in done),
-        tuple(c for r in done for c in r.checks),
     )
 
 
