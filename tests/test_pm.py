@@ -168,6 +168,16 @@ def test_mechanism_checks(spark, table):
         speciate(spark, run, tables.with_(species=tables.species.where("specie_id <> '626'"))).gate()
 
 
+def test_gate_names_every_failed_check(spark, table):
+    tables = _tables(spark, table, [("a", "626", 20), ("a", "2669", 8)])
+    tables = tables.with_(species=tables.species.where("specie_id not in ('626', '797')"))
+    run = Scenario("run", mech_basis="AE6", run_type="CRITERIA", aqm="CMAQ", output="PM")
+    with pytest.raises(SpeciationError) as raised:
+        speciate(spark, run, tables).gate()
+    found = {r["check"]: r["findings"] for r in raised.value.rows}
+    assert found["pm_species"] == 2 and found["pm_duplicate_species"] == 1
+
+
 def test_existing_derived_species_stop_the_run(spark, table):
     tables = _tables(spark, table, [("a", "626", 20), ("a", "2669", 8)])
     run = Scenario("run", mech_basis="AE6", run_type="CRITERIA", aqm="CMAQ", output="PM")
