@@ -20,7 +20,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is identified; NULL texts, texts without a letter and low scores go."""
+    """Documents whose language is identified; NULL texts, texts without a letter, low scores and texts unlike all learned ones go."""
     return langid.keep_identified(docs)
 
 

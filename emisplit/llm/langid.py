@@ -8,14 +8,16 @@ As the model is linear after the average, prediction uses each bucket's product
 with the softmax weights, which is the same sum at a fraction of the reads.
 
 Scores are calibrated with a temperature fitted on a part of the sample that
-training never saw; the rejection threshold is a low quantile of the scores of
-right answers there.
+training never saw. So are the two rejection thresholds, fractions of a low quantile
+that right answers there reach: of the score, and of the share of subwords that
+training has seen. The largest of k probabilities is 1 / k at least and says nothing of
+texts unlike all that was learned; those have few subwords in common with it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -76,19 +78,33 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=1, keepdims=True)
 
 
+def shares(known: np.ndarray, bucket: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Share of each text's subwords that are known; 1 for texts without any."""
+    out, counts = np.ones(len(first) - 1), np.diff(first)
+    some = np.flatnonzero(counts)
+    if len(some):
+        out[some] = np.add.reduceat(known[bucket], first[some], dtype=np.int64) / counts[some]
+    return out
+
+
 @dataclass(frozen=True)
 class Model:
-    """``table`` has each bucket's share of the logits; ``temperature`` calibrates them."""
+    """``table`` has each bucket's share of the logits; ``temperature`` calibrates them.
+
+    ``known`` marks the buckets training has seen; texts with a score below ``threshold`` or
+    a share of known subwords below ``least_known`` are rejected.
+    """
 
     langs: tuple[str, ...]
     table: np.ndarray
     bias: np.ndarray
     temperature: float
     threshold: float
+    known: np.ndarray
+    least_known: float
 
-    def logits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        bucket, first = subwords(data, offsets)
-        out = np.zeros((len(offsets) - 1, len(self.langs)), np.float64)
+    def logits(self, bucket: np.ndarray, first: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(first) - 1, len(self.langs)), np.float64)
         counts = np.diff(first)
         some = np.flatnonzero(counts)
         if len(some):
@@ -96,8 +112,11 @@ class Model:
                 out[some, j] = np.add.reduceat(self.table[:, j][bucket], first[some]) / counts[some]
         return out + self.bias
 
-    def probabilities(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        return _softmax(self.logits(data, offsets) / self.temperature)
+    def judge(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities of the languages, and whether a text is unlike all of them."""
+        bucket, first = subwords(data, offsets)
+        p = _softmax(self.logits(bucket, first) / self.temperature)
+        return p, (p.max(axis=1) < self.threshold) | (shares(self.known, bucket, first) < self.least_known)
 
 
 def fit(
@@ -106,7 +125,7 @@ def fit(
     """Train on labelled texts; every fifth, by position, calibrates instead."""
     names = tuple(sorted(set(langs)))
     if not names:
-        return Model((), np.zeros((2 << _BITS, 0), np.float32), np.zeros(0), 1.0, 0.0)
+        return Model((), np.zeros((2 << _BITS, 0), np.float32), np.zeros(0), 1.0, 0.0, np.zeros(2 << _BITS, bool), 0.0)
     labels = np.array([names.index(x) for x in langs])
     raw = [np.frombuffer(t.encode(), np.uint8) for t in texts]
     used = [np.unique(subwords(r, np.array([0, len(r)]))[0], return_counts=True) for r in raw]
@@ -131,10 +150,14 @@ def fit(
             bias -= 0.01 * step * error
             # Long texts spread a step over many subwords; scale it so that the average moves by about one step.
             embed[bucket] -= step * min(1 / float(share @ share), 64.0) * share[:, None] * back
-    model = Model(names, embed @ weight, bias.astype(np.float64), 1.0, 0.0)
+    seen = np.zeros(2 << _BITS, np.int64)
+    for i in train:
+        seen[used[i][0]] += 1
+    model = Model(names, embed @ weight, bias.astype(np.float64), 1.0, 0.0, seen > 0, 0.0)
     checks = np.flatnonzero(kept) if kept.any() else train
     data = np.concatenate([raw[i] for i in checks])
-    logits = model.logits(data, np.concatenate([[0], np.cumsum([len(raw[i]) for i in checks])]))
+    bucket, first = subwords(data, np.concatenate([[0], np.cumsum([len(raw[i]) for i in checks])]))
+    logits = model.logits(bucket, first)
     truth = labels[checks]
 
     def loss(t: float) -> float:
@@ -142,10 +165,13 @@ def fit(
 
     temperature = min(np.geomspace(0.05, 20, 61), key=loss)
     p = _softmax(logits / temperature)
-    right = p.max(axis=1)[p.argmax(axis=1) == truth]
-    # Half the score that all but one in a thousand right answers reach, and not above an even guess.
-    threshold = min(0.5 * float(np.quantile(right, 0.001)), 1 / len(names)) if len(right) else 0.0
-    return Model(names, model.table, model.bias, float(temperature), threshold)
+    right = p.argmax(axis=1) == truth
+    if not right.any():
+        return replace(model, temperature=float(temperature))
+    # Half of what all but one in a hundred right answers reach. Texts that training saw know a subword if another one has it.
+    share = shares(model.known if kept.any() else seen > 1, bucket, first)
+    lows = [0.5 * float(np.quantile(x[right], 0.01, method="lower")) for x in (p.max(axis=1), share)]
+    return replace(model, temperature=float(temperature), threshold=lows[0], least_known=lows[1])
 
 
 def train(docs: DataFrame, per_lang: int = 500, most_langs: int = 400, seed: int = 5) -> Model:
@@ -172,7 +198,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     The whole text counts. Texts that are NULL, empty or without a letter get
     ``und`` with score 0 and are rejected, as are texts scored below the
-    model's threshold. Rows with equal ids are predicted one by one. NULL ids
+    model's threshold and those with too few subwords that training has seen. Rows with equal ids are predicted one by one. NULL ids
     count as held out. A model without languages rejects everything. Language
     and other columns are not looked at.
     """
@@ -187,12 +213,12 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             data, offsets = buffer(batch.column("text"))
             letters = batch.column("__letter").to_numpy(zero_copy_only=False).astype(bool) & bool(m.langs)
             if m.langs:
-                p = m.probabilities(data, offsets)
+                p, unlike = m.judge(data, offsets)
                 best, score = p.argmax(axis=1), np.where(letters, p.max(axis=1), 0.0)
             else:
-                best, score = np.zeros(batch.num_rows, int), np.zeros(batch.num_rows)
+                best, score, unlike = np.zeros(batch.num_rows, int), np.zeros(batch.num_rows), np.ones(batch.num_rows, bool)
             lang = [m.langs[i] if ok else UNKNOWN for i, ok in zip(best, letters, strict=True)]
-            rejected = ~letters | (score < m.threshold)
+            rejected = ~letters | unlike
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(lang), pa.array(score), pa.array(rejected)],
                 schema=names,

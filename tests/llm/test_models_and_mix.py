@@ -38,6 +38,20 @@ def test_held_out_accuracy(spark):
     assert again == got
 
 
+def test_texts_unlike_all_learned_ones_are_rejected(spark):
+    rng = random.Random(6)
+    texts, langs = _languages(rng, 400)
+    word = lambda letters: "".join(rng.choices(letters, k=rng.randrange(3, 9)))
+    alphabets = ["абвгдежзийклмнопрст", [chr(0x4E00 + i) for i in range(900)], "αβγδεζηθικλμ", "qxjwvzyp"]
+    strange = [" ".join(word(a) for _ in range(n)) for a in alphabets for n in (8, 40, 200) for _ in range(3)]
+    docs = documents(spark, texts + strange, langs=langs + [None] * len(strange))
+    rejected = {r["doc_id"] for r in langid.identify(docs).where("rejected").collect()}
+    assert set(range(400, 400 + len(strange))) <= rejected
+    assert len(rejected) <= len(strange) + 2
+    kept = {r["doc_id"] for r in langid.keep_identified(docs).collect()}
+    assert kept == set(range(len(texts + strange))) - rejected
+
+
 def test_identify_odd_and_no_rows(spark):
     docs = odd_documents(spark)
     got = langid.identify(docs).collect()
