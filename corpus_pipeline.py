@@ -33,8 +33,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
-    Of rows that share that id one stays: the smallest text. Documents without an id go with
-    their group if it has an id, else all but none of them can be told apart and they stay.
+    Of rows that share that id one stays, as does one of rows that are equal in id and text: the
+    smallest in the other columns. Documents without an id go with their group if it has an id; else
+    one of them stays.
     """
     marked = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
     judged = minhash.near_duplicates(marked.select(F.col("__row").alias("doc_id"), "text", F.col("doc_id").alias("true_id")))
@@ -42,7 +43,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = judged.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")).distinct()
     placed = stored(marked.select("__row", F.col("doc_id").alias("__id")).distinct().join(groups, "__row"), "groups")
     first = placed.groupBy("__group").agg(F.min_by("__row", F.struct(F.col("__id").isNull(), "__id", "__row")).alias("__row"))
-    return marked.join(first.select("__row"), "__row", "left_semi").select(*docs.columns)
+    chosen = marked.join(first.select("__row"), "__row", "left_semi")
+    # Copies of a row meet as one row per task, as the smallest is taken before the shuffle.
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    one = chosen.groupBy("__row").agg(F.min(F.struct(*others, "doc_id", "text")).alias("__one"))
+    return one.select(*[F.col("__one")[c].alias(c) for c in docs.columns])
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -173,6 +173,19 @@ def test_pipeline_stages_follow_from_each_other(spark, tmp_path):
     assert {r["doc_id"] for r in mixed} <= ids[3] and len(mixed) > 50
 
 
+def test_one_of_equal_rows_stays_in_near_duplicates(spark):
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(4))
+    rows = [(5, a, "s2"), *[(5, a, "s1")] * 30, (None, a + " x", "s"), *[(None, b, "s")] * 20, (None, b + " x", "s"), (9, c, None), (9, d, None)]
+    docs = documents(spark, [t for _, t, _ in rows], [i for i, _, _ in rows], [x for _, _, x in rows]).repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns and got.schema["doc_id"].dataType == docs.schema["doc_id"].dataType
+    kept = sorted((str(r["doc_id"]), r["text"], r["source"]) for r in got.collect())
+    assert [k for k in kept if k[0] != "None"] == sorted([("5", a, "s1"), ("9", c, None), ("9", d, None)], key=str)
+    (alone,) = [k for k in kept if k[0] == "None"]
+    assert alone[1] in (b, b + " x")
+
+
 def test_pipeline_of_odd_rows(spark, tmp_path):
     odd_documents(spark).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
