@@ -1,7 +1,7 @@
 """Mix sources to target weights with a multivariate-hypergeometric splitting tree.
 
-Each source's documents are dealt into blocks by a hash of their id, and the
-blocks are permuted. A source's target is met by whole passes over its blocks
+Each source's documents are dealt into blocks by a hash of their id, or of the text
+where they have none, and the blocks are permuted. A source's target is met by whole passes over its blocks
 plus a run of the permuted blocks, so quotas are exact numbers of blocks. The
 quotas of all sources are split among output shards by a binary tree: every
 node draws its left child's share from a multivariate hypergeometric
@@ -78,36 +78,16 @@ def split(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def mix(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    weights: tuple[float, ...] = WEIGHTS,
-    shards: int = 16,
-    blocks: int = 1024,
-    seed: int = 11,
-) -> DataFrame:
-    """What the mixture takes of each document.
+def _block(id_column: str, blocks: int, seed: int) -> Column:
+    """Block of a document by its id; of one without an id by its text."""
+    by_text = F.xxhash64(F.col(id_column), F.col("text"), F.lit(seed))
+    hashed = F.when(F.col(id_column).isNull(), by_text).otherwise(F.xxhash64(F.col(id_column), F.lit(seed)))
+    return F.pmod(hashed, F.lit(blocks)).cast("int")
 
-    Returns ``doc_id, size, source_size, target, taken, draws``, a row per row
-    of ``docs``. ``draws`` lists the shard of every copy taken. ``blocks`` is
-    the number of blocks per source: the taken words of a source differ from its target
-    by about a block at most. Results depend on the rows and ``seed`` alone.
 
-    NULL sources are one source, the last; NULL or empty texts have size 0 and
-    take no words, though their blocks are drawn; a source without words has
-    target 0. Rows with equal or NULL ids share a block. No rows give no rows.
-    Other columns of ``docs`` are not looked at.
-    """
-    spark = docs.sparkSession
-    sized = stored(
-        docs.select(
-            F.col(id_column).alias("doc_id"),
-            F.col("source").cast("string").alias("source"),
-            F.pmod(F.xxhash64(F.col(id_column), F.lit(seed)), F.lit(blocks)).cast("int").alias("block"),
-            word_count(F.col("text")).alias("size"),
-        ),
-        "sizes",
-    )
+def _placed(sized: DataFrame, weights: tuple[float, ...], shards: int, seed: int) -> DataFrame:
+    """``source, block, source_size, target, copies, draws`` of every block of ``sized``."""
+    spark = sized.sparkSession
     by_block = sized.groupBy("source", "block").agg(F.sum("size").alias("block_size"))
     found = sized.groupBy("source").agg(F.sum("size").alias("source_size")).collect()
     found.sort(key=lambda r: (r.source is None, (r.source or "").encode()))
@@ -142,27 +122,67 @@ def mix(
         lambda c: F.size(F.filter("bounds", lambda x: x <= c * F.col("n_blocks") + F.col("place"))),
     )
     none = F.array().cast("array<int>")
-    placed = placed.select(
+    return placed.select(
         "source", "block", "source_size", "target", "copies", F.when(F.col("copies") > 0, shard).otherwise(none).alias("draws")
     )
+
+
+def _sized(docs: DataFrame, id_column: str, blocks: int, seed: int) -> DataFrame:
+    rows = docs.select(
+        F.col(id_column).alias("doc_id"),
+        F.col("source").cast("string").alias("source"),
+        _block(id_column, blocks, seed).alias("block"),
+        word_count(F.col("text")).alias("size"),
+    )
+    return stored(rows, "sizes")
+
+
+def mix(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    weights: tuple[float, ...] = WEIGHTS,
+    shards: int = 16,
+    blocks: int = 1024,
+    seed: int = 11,
+) -> DataFrame:
+    """What the mixture takes of each document.
+
+    Returns ``doc_id, size, source_size, target, taken, draws``, a row per row
+    of ``docs``. ``draws`` lists the shard of every copy taken. ``blocks`` is
+    the number of blocks per source: the taken words of a source differ from its target
+    by about a block at most. Results depend on the rows and ``seed`` alone.
+
+    NULL sources are one source, the last; NULL or empty texts have size 0 and
+    take no words, though their blocks are drawn; a source without words has
+    target 0. Rows with equal ids share a block, as do rows without an id that have
+    equal texts. No rows give no rows. Other columns of ``docs`` are not looked at.
+    """
+    sized = _sized(docs, id_column, blocks, seed)
+    placed = _placed(sized, weights, shards, seed)
     joined = sized.join(placed, same(sized, placed, "source", "block"))
     return joined.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "draws"
     )
 
 
-def mixture(docs: DataFrame, id_column: str = "doc_id", seed: int = 11, **options) -> DataFrame:
+def mixture(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    weights: tuple[float, ...] = WEIGHTS,
+    shards: int = 16,
+    blocks: int = 1024,
+    seed: int = 11,
+) -> DataFrame:
     """The mixture itself: ``docs`` with a row per copy taken, plus ``mix_shard`` and ``mix_order``.
 
     Rows come ordered by shard and, inside a shard, by a seeded hash; a shard
-    may span several partitions. Documents without an id can't be drawn.
-    Rows with equal ids must be equal documents; each is taken once per draw.
+    may span several partitions. Every row is taken as often as ``mix`` says of it, whether
+    or not it has an id or shares it with others.
     """
-    taken = mix(docs, id_column, seed=seed, **options).where("size(draws) > 0").select("doc_id", "draws")
-    taken = taken.dropDuplicates(["doc_id"]).select(
-        F.col("doc_id").alias("mix_id"), F.posexplode("draws").alias("mix_copy", "mix_shard")
-    )
-    rows = docs.join(taken, docs[id_column] == taken["mix_id"])
-    order = F.xxhash64(docs[id_column], F.col("mix_copy"), F.lit(seed + 2))
-    rows = rows.select(*[docs[c] for c in docs.columns], "mix_shard", order.alias("mix_order"))
+    placed = _placed(_sized(docs, id_column, blocks, seed), weights, shards, seed).where("copies > 0")
+    drawn = placed.select(F.col("source").alias("__source"), F.col("block").alias("__block"), F.posexplode("draws").alias("__copy", "mix_shard"))
+    hashed = F.xxhash64(F.col(id_column), F.col("text"), F.lit(seed + 2))
+    rows = docs.withColumns({"__from": F.col("source").cast("string"), "__in": _block(id_column, blocks, seed), "__hash": hashed})
+    rows = rows.join(drawn, F.col("__from").eqNullSafe(F.col("__source")) & (F.col("__in") == F.col("__block")))
+    rows = rows.select(*docs.columns, "mix_shard", F.xxhash64("__hash", "__copy").alias("mix_order"))
     return rows.repartitionByRange("mix_shard", "mix_order").sortWithinPartitions("mix_shard", "mix_order")

@@ -117,6 +117,26 @@ def test_mix_of_odd_and_no_rows(spark):
     assert {r["target"] for r in mixing.mix(documents(spark, [None, ""])).collect()} == {0.0}
 
 
+def test_mixture_takes_rows_without_ids_and_with_shared_ids(spark):
+    rng = random.Random(12)
+    texts = [f"t{i} " + "w " * rng.randrange(60) for i in range(900)]
+    ids = [None if i % 3 == 0 else i // 2 for i in range(900)]
+    sources = [rng.choice(["a", "b", None]) for _ in texts]
+    docs = documents(spark, texts, ids, sources)
+    planned: dict = {}
+    for r in mixing.mix(docs, shards=4).collect():
+        planned[r["source_size"], r["target"]] = planned.get((r["source_size"], r["target"]), 0) + r["taken"]
+    rows = mixing.mixture(docs, shards=4).collect()
+    assert {r["text"] for r in rows if r["doc_id"] is None} and all(r["text"] in texts for r in rows)
+    for name in ("a", "b", None):
+        size = sum(len(t.split()) for t, s in zip(texts, sources, strict=True) if s == name)
+        words = sum(len(r["text"].split()) for r in rows if r["source"] == name)
+        ((_, goal),) = [k for k in planned if k[0] == size]
+        assert words == planned[size, goal] and abs(words - goal) <= 200
+    again = mixing.mixture(docs.repartition(7), shards=4).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, again))
+
+
 def _pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string, value string, archive string")
 
