@@ -33,9 +33,10 @@ WORDS = 5
 PERCENT = 75
 ROWS = 3
 TABLES = 20
-#: Nodes of a bucket up to which they are compared pair by pair, and shingles in a chunk beyond.
+#: Nodes of a bucket up to which they are compared pair by pair, and shingles and nodes in a chunk beyond.
 LIGHT = 32
 CHUNK_ITEMS = 1 << 17
+CHUNK_NODES = 1 << 11
 
 _SEEDS = seeds(2 * TABLES * ROWS, 4242)
 _FACTORS = seeds(2 * TABLES * ROWS, 2424)
@@ -131,9 +132,10 @@ def _shared_items(left: pa.ListArray, right: pa.ListArray) -> np.ndarray:
     column = np.where(many > 1, np.cumsum(many > 1) - 1, -1)[place]
     row = np.repeat(np.arange(len(left) + len(right)), np.concatenate(counts))
     total = np.zeros((len(left), len(right)), np.float64)
-    for low in range(0, int(column.max(initial=-1)) + 1, 4096):
+    shared = int(column.max(initial=-1)) + 1
+    for low in range(0, shared, 4096):
         inside = (column >= low) & (column < low + 4096)
-        grid = np.zeros((len(left) + len(right), 4096), np.float32)
+        grid = np.zeros((len(left) + len(right), min(4096, shared - low)), np.float32)
         grid[row[inside], column[inside] - low] = 1
         total += grid[: len(left)] @ grid[len(left) :].T
     return total
@@ -188,11 +190,21 @@ def light_pairs(placed: DataFrame) -> DataFrame:
     return stored(pairs.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct(), "apart")
 
 
+def dealt(nodes: DataFrame, place: list[str]) -> DataFrame:
+    """``nodes`` with ``chunk``: the nodes of a ``place`` dealt by a hash into chunks.
+
+    A chunk has about ``CHUNK_ITEMS`` shingles and ``CHUNK_NODES`` nodes at most, so the grid of
+    two chunks is bounded for sets of any size.
+    """
+    most = F.greatest(F.sum("n") / CHUNK_ITEMS, F.count("*") / CHUNK_NODES)
+    chunks = nodes.groupBy(*place).agg(F.ceil(most).alias("chunks"))
+    return nodes.join(stored(chunks, "chunks"), place).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
+
+
 def heavy_links(placed: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between different components among nodes that buckets of more than ``LIGHT`` nodes connect.
 
-    The nodes of a group of overlapping buckets are dealt by a hash into chunks of
-    about ``CHUNK_ITEMS`` shingles, apart by set size and by whether they belong to the group's largest
+    The nodes of a group of overlapping buckets are dealt into chunks, apart by set size and by whether they belong to the group's largest
     component. Chunks meet in pairs where sizes allow a link, except two of the
     largest component; a pair of chunks is compared at once and gives links only, so no pairs of
     nodes are written.
@@ -205,10 +217,9 @@ def heavy_links(placed: DataFrame, sets: DataFrame) -> DataFrame:
     step = F.floor(F.log("n") / F.log(F.lit(100 / PERCENT)) + 1e-9)
     nodes = nodes.join(largest, "group").select("node", "n", "root", "group", (F.col("root") == F.col("top")).alias("main"), step.alias("step"))
     place = ["group", "main", "step"]
-    chunks = nodes.groupBy(*place).agg(F.ceil(F.sum("n") / CHUNK_ITEMS).alias("chunks"))
-    dealt = nodes.join(stored(chunks, "chunks"), place).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
+    chunked = dealt(nodes, place)
     place.append("chunk")
-    payload = dealt.join(sets.select("node", "items"), "node").groupBy(*place).agg(F.collect_list(F.struct("node", "root", "items")).alias("sets"))
+    payload = chunked.join(sets.select("node", "items"), "node").groupBy(*place).agg(F.collect_list(F.struct("node", "root", "items")).alias("sets"))
     payload = stored(payload, "payload")
     names = payload.select(*place).withColumn("id", F.xxhash64(*place))
     left, right = names.alias("l"), names.alias("r")

@@ -126,6 +126,21 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, light):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_chunks_of_short_texts_are_bounded_in_nodes(spark):
+    nodes = spark.range(3 * minhash.CHUNK_NODES).selectExpr("id as node", "2L as n", "1L as group")
+    sizes = [r["count"] for r in minhash.dealt(nodes, ["group"]).groupBy("group", "chunk").count().collect()]
+    assert len(sizes) == 3 and sum(sizes) == 3 * minhash.CHUNK_NODES and max(sizes) < 1.2 * minhash.CHUNK_NODES
+
+
+def test_short_lines_with_a_common_start_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "LIGHT", 2)
+    monkeypatch.setattr(minhash, "CHUNK_NODES", 16)
+    texts = [f"please sign in to continue {'x' * (i % 97)}{i}" for i in range(150)]
+    texts += [f"{texts[i]} now and then or at any other time" for i in range(20)]
+    got = minhash.near_duplicates(documents(spark, texts)).orderBy("doc_id").collect()
+    assert [r["component_id"] for r in got] == _components(_sets(texts))
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 140)] + [(200, 200)]
     rng = random.Random(1)
