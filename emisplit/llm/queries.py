@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emisplit.llm import decontaminate, hamming_search, html_extract, langid, line_chunks, minhash, mixing, secret_scan, sentence_spans, warc
+from emisplit.llm import decontaminate, hamming_search, html_extract, langid, license_scan, line_chunks, minhash, mixing
+from emisplit.llm import secret_scan, sentence_spans, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +68,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_hamming_topk": op1_hamming_topk,
@@ -79,6 +84,7 @@ def queries() -> dict[str, Query]:
         "op8_decontaminate": op8_decontaminate,
         "op9_langid": op9_langid,
         "op10_mixing": op10_mixing,
+        "op12_license": op12_license,
     }
 
 
@@ -222,5 +228,55 @@ from d left join hit using (doc_id) left join items using (doc_id)
 """
 
 
+_OP12 = r"""
+with t as (
+  select label, string_split(words, ' ') as w, exact, string_split(must, ' ') as must from (values
+    {templates}
+  ) v(label, words, exact, must)
+), known as (
+  select row_number() over () as template, *, len(w) - 2 as runs from t
+), asked as (
+  select template, at, w[at + 1] || ' ' || w[at + 2] || ' ' || w[at + 3] as gram
+  from (select template, w, unnest(range(0, len(w) - 2)) as at from known)
+), d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+), grams as (
+  select doc_id, place, w[place + 1] || ' ' || w[place + 2] || ' ' || w[place + 3] as gram
+  from (select doc_id, w, unnest(range(0, len(w) - 2)) as place from d where len(w) > 2)
+), lines as (
+  select doc_id, template, place - at as diagonal, list(at) as ats from grams join asked using (gram) group by all
+), judged as (
+  select *, case when exact or diagonal - lag(diagonal) over (partition by doc_id, template order by diagonal) <= 4 is not true
+                 then 1 else 0 end as opens
+  from lines join known using (template) where len(ats) >= case when exact then runs else 2 end
+), islands as (
+  select *, sum(opens) over (partition by doc_id, template order by diagonal) as island from judged
+), spans as (
+  select doc_id, label, exact, min(diagonal + list_min(ats)) as first,
+         len(list_distinct(flatten(list(ats)))) / any_value(runs) as cover
+  from islands group by doc_id, template, label, exact, must, w, island
+  having len(list_distinct(flatten(list(ats)))) >= 0.75 * any_value(runs)
+     and (exact or list_contains(list_transform(flatten(list(ats)), lambda at: w[at + 1 : at + 3]), must))
+), found as (
+  select doc_id, count(*) filter (exact) as n_base, min(first) filter (exact) as first_word, max(first) filter (exact) as last_word,
+         array_to_string(list_sort(list(distinct label) filter (exact)), ',') as base_labels,
+         array_to_string(list_sort(list(distinct label)), ',') as labels, max(cover) as score
+  from spans group by doc_id
+)
+select d.doc_id, len(d.w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word,
+       last_word::bigint as last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+       coalesce(score, 0)::double as score
+from d left join found using (doc_id)
+"""
+
+
+def _op12() -> str:
+    rows = [(label, words, "true", "") for label, words in license_scan.PHRASES]
+    rows += [(label, words, "false", must) for label, words, must in license_scan.NOTICES]
+    return _OP12.replace("{templates}", ",\n    ".join(f"('{a}', '{b}', {c}, '{d}')" for a, b, c, d in rows))
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_hamming_topk": _OP1, "op3_sentence_spans": _OP3, "op4_line_dedup": _OP4, "op6_warc": _OP6, "op7_minhash": _OP7, "op8_decontaminate": _OP8}
+    return {"op1_hamming_topk": _OP1, "op3_sentence_spans": _OP3, "op4_line_dedup": _OP4, "op6_warc": _OP6, "op7_minhash": _OP7, "op8_decontaminate": _OP8, "op12_license": _op12()}
