@@ -230,14 +230,14 @@ from d left join hit using (doc_id) left join items using (doc_id)
 
 _OP12 = r"""
 with t as (
-  select label, string_split(words, ' ') as w, exact, string_split(must, ' ') as must from (values
+  select label, string_split(words, ' ') as w, exact, must from (values
     {templates}
   ) v(label, words, exact, must)
 ), known as (
   select row_number() over () as template, *, len(w) - 2 as runs from t
 ), asked as (
-  select template, at, w[at + 1] || ' ' || w[at + 2] || ' ' || w[at + 3] as gram
-  from (select template, w, unnest(range(0, len(w) - 2)) as at from known)
+  select template, q, w[q + 1] || ' ' || w[q + 2] || ' ' || w[q + 3] as gram
+  from (select template, w, unnest(range(0, len(w) - 2)) as q from known)
 ), d as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
@@ -246,7 +246,7 @@ with t as (
   select doc_id, place, w[place + 1] || ' ' || w[place + 2] || ' ' || w[place + 3] as gram
   from (select doc_id, w, unnest(range(0, len(w) - 2)) as place from d where len(w) > 2)
 ), lines as (
-  select doc_id, template, place - at as diagonal, list(at) as ats from grams join asked using (gram) group by all
+  select doc_id, template, place - q as diagonal, list(q) as ats from grams join asked using (gram) group by all
 ), judged as (
   select *, case when exact or diagonal - lag(diagonal) over (partition by doc_id, template order by diagonal) <= 4 is not true
                  then 1 else 0 end as opens
@@ -258,7 +258,7 @@ with t as (
          len(list_distinct(flatten(list(ats)))) / any_value(runs) as cover
   from islands group by doc_id, template, label, exact, must, w, island
   having len(list_distinct(flatten(list(ats)))) >= 0.75 * any_value(runs)
-     and (exact or list_contains(list_transform(flatten(list(ats)), lambda at: w[at + 1 : at + 3]), must))
+     and (exact or list_contains(list_transform(flatten(list(ats)), lambda q: array_to_string(w[q + 1 : q + 3], ' ')), must))
 ), found as (
   select doc_id, count(*) filter (exact) as n_base, min(first) filter (exact) as first_word, max(first) filter (exact) as last_word,
          array_to_string(list_sort(list(distinct label) filter (exact)), ',') as base_labels,
