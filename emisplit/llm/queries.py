@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emisplit.llm import decontaminate, hamming_search, html_extract, langid, license_scan, line_chunks, minhash, mixing
-from emisplit.llm import secret_scan, sentence_spans, warc
+from emisplit.llm import conversation_repair, decontaminate, hamming_search, html_extract, langid, license_scan, line_chunks, minhash, mixing
+from emisplit.llm import prefix_trie, secret_scan, sentence_spans, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,10 +68,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_tree(_table(spark, sf_dir, "conversations"))
+
+
 def op12_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damaged(turns), turns)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_hamming_topk": op1_hamming_topk,
@@ -84,7 +93,9 @@ def queries() -> dict[str, Query]:
         "op8_decontaminate": op8_decontaminate,
         "op9_langid": op9_langid,
         "op10_mixing": op10_mixing,
+        "op11_prefix_trie": op11_prefix_trie,
         "op12_license": op12_license,
+        "op13_repair": op13_repair,
     }
 
 
@@ -228,6 +239,46 @@ from d left join hit using (doc_id) left join items using (doc_id)
 """
 
 
+#: CRC-32 of an ASCII text, bit by bit.
+_CRC = """xor(list_reduce(list_transform(string_split({text}, ''), lambda x: unicode(x)::bigint),
+           lambda c, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::bigint[],
+                                    lambda x, k: case when x % 2 = 1 then xor(x >> 1, 3988292384::bigint) else x >> 1 end, xor(c, b)),
+           4294967295::bigint), 4294967295::bigint)"""
+
+_OP11 = r"""
+with own as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as i
+  from conversations where conv_id is not null
+), lists as (
+  select conv_id, list(struct_pack(role := role, text := text) order by i) as l from own group by conv_id
+), heads as (
+  select conv_id, l, conv_id - conv_id % 5 as base, {crc} % 9 as h from lists
+), built as (
+  select c.conv_id, list_concat(coalesce(list_slice(b.l, 1, c.h), []), coalesce(list_slice(c.l, c.h + 1, len(c.l)), [])) as s
+  from heads c left join lists b on b.conv_id = c.base
+), prefixes as (
+  select conv_id, d, list_slice(s, 1, d) as k, len(s) = d as ends from (select conv_id, s, unnest(range(0, len(s) + 1)) as d from built)
+), nodes as (
+  select k, d as depth, min(conv_id) as conv_id, count(*) as n_convs,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256,
+         case when d > 0 then strlen(k[d].text) else 0 end as bytes
+  from prefixes group by k, d
+), kids as (
+  select list_slice(k, 1, depth - 1) as k, count(*) as n from nodes where depth > 0 group by 1
+), above as (
+  select list_slice(k, 1, unnest(range(0, depth + 1))) as k, k as below from nodes
+), sums as (
+  select a.k, count(*) filter (c.n is null) as n_leaves, sum((b.n_convs - 1) * b.bytes) as saved
+  from above a join nodes b on b.k = a.below left join kids c on c.k = a.below group by a.k
+)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs::bigint as n_convs, coalesce(c.n, 0)::bigint as n_children,
+       n_leaves::bigint as n_leaves, saved::bigint as saved_tokens, n.ends_sha256
+from nodes n join sums s on s.k = n.k left join kids c on c.k = n.k
+left join nodes p on n.depth > 0 and p.k = list_slice(n.k, 1, n.depth - 1)
+"""
+
+
 _OP12 = r"""
 with t as (
   select label, string_split(words, ' ') as w, exact, must from (values
@@ -272,6 +323,91 @@ from d left join found using (doc_id)
 """
 
 
+# Forward over the turns with the best (cost, edits, lines) per state, where the query goes backward.
+_OP13 = r"""
+with recursive fates as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {crc} % 20 as fate from conversations
+), damaged as (
+  select conv_id, turn, case when fate = 4 then 'user' else role end as role,
+         case when fate = 1 then '' when fate = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+         unnest(range(case when fate = 3 then 2 else 1 end)) as copy
+  from fates where fate <> 0
+), placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from damaged
+), copied as (
+  select *, row_number() over (partition by conv_id, role, text order by i) > 1 as again from placed
+), faults as (
+  select conv_id, i, turn, role, text, left(role, 1) as r,
+         case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank' when again then 'duplicate'
+              when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') then 'truncated' else '' end as fault,
+         i > 1 and not coalesce(lag(left(role, 1)) over (partition by conv_id order by i) || left(role, 1), '') in ('su', 'ua', 'au') as illegal
+  from copied
+), counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+         count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+         count(*) filter (illegal) as illegal
+  from faults group by conv_id
+), walk as (
+  select conv_id, 0::bigint as i, {start} as s
+  from (select distinct conv_id from conversations)
+  union all
+  select conv_id, i, [s[1], s[2], {put2}, {put3}] as s from (
+    select conv_id, i, [s[1], s[2], s[3], s[4], {put2}] as s from (
+      select w.conv_id, f.i, [
+        {n0}, {n1}, {n2}, {n3}
+      ] as s
+      from walk w join faults f on f.conv_id is not distinct from w.conv_id and f.i = w.i + 1
+    )
+  )
+), ended as (
+  select conv_id, list_sort([s[1], s[4]])[1] as best from walk
+  qualify row_number() over (partition by conv_id order by i desc) = 1
+)
+select e.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+       coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, best.cost::bigint as cost,
+       best.audit as audit, sha256(array_to_string(best.lines, chr(10))) as repaired_sha256
+from ended e left join counted c on c.conv_id is not distinct from e.conv_id
+"""
+
+
+def _op13() -> str:
+    def made(old: str, cost: str, edit: str, line: str | None, when: str = "true") -> str:
+        lines = f"list_append({old}.lines, {line})" if line else f"{old}.lines"
+        return (
+            f"struct_pack(cost := case when {when} then {old}.cost + {cost} else 1000000000 end,"
+            f" audit := {old}.audit || '{edit}', lines := {lines})"
+        )
+
+    least = lambda *ways: "list_sort([" + ", ".join(ways) + "])[1]"
+    kept = "f.fault in ('', 'truncated')"
+    extra = "(f.fault = 'truncated')::int"
+    own = "f.role || ':' || f.text"
+    gone = [made(f"s[{i}]", "3", "D", None) for i in (1, 2, 3, 4)]
+    keep = lambda i, r: made(f"s[{i}]", extra, "K", own, f"f.r = '{r}' and {kept}")
+    other = lambda i, r: made(f"s[{i}]", f"2 + {extra}", "R", f"'{r}:' || f.text", kept)
+    put = lambda i, r: made(f"s[{i}]", "2", "I", f"'{r}:'")
+    state = lambda cost, audit, lines: f"struct_pack(cost := {cost}, audit := '{audit}', lines := {lines}::varchar[])"
+    start = ", ".join(
+        [state(0, "", "[]"), state(1000000000, "", "[]"), state(2, "I", "['user:']"), state(4, "II", "['user:', 'assistant:']")]
+    )
+    parts = {
+        "crc": _CRC.replace("{text}", "coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')"),
+        "start": f"[{start}]",
+        "n0": gone[0],
+        "n1": least(gone[1], keep(1, "s")),
+        "n2": least(gone[2], *[w(i, r) for w, r in ((keep, "u"), (other, "user")) for i in (1, 2, 4)]),
+        "n3": least(gone[3], keep(3, "a"), other(3, "assistant")),
+    }
+    sql = _OP13
+    for name, text in parts.items():
+        sql = sql.replace("{" + name + "}", text)
+    # First a user's turn put in, then an assistant's after it.
+    first, second = least("s[3]", put(1, "user"), put(2, "user"), put(4, "user")), least("s[4]", put(5, "assistant"))
+    outer, inner = sql.index("{put2}"), sql.rindex("{put2}")
+    sql = sql[:inner] + first + sql[inner + 6 :]
+    return (sql[:outer] + "s[5]" + sql[outer + 6 :]).replace("{put3}", second)
+
+
 def _op12() -> str:
     rows = [(label, words, "true", "") for label, words in license_scan.PHRASES]
     rows += [(label, words, "false", must) for label, words, must in license_scan.NOTICES]
@@ -279,4 +415,4 @@ def _op12() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_hamming_topk": _OP1, "op3_sentence_spans": _OP3, "op4_line_dedup": _OP4, "op6_warc": _OP6, "op7_minhash": _OP7, "op8_decontaminate": _OP8, "op12_license": _op12()}
+    return {"op1_hamming_topk": _OP1, "op3_sentence_spans": _OP3, "op4_line_dedup": _OP4, "op6_warc": _OP6, "op7_minhash": _OP7, "op8_decontaminate": _OP8, "op11_prefix_trie": _OP11.replace("{crc}", _CRC.replace("{text}", "conv_id::varchar")), "op12_license": _op12(), "op13_repair": _op13()}
