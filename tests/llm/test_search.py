@@ -148,3 +148,79 @@ def test_scan_of_odd_and_no_rows(spark):
     rows = secret_scan.find(docs).collect()
     assert len(rows) == docs.count() and {r["spans"] for r in rows} == {""}
     assert secret_scan.find(docs.limit(0)).collect() == []
+
+
+def _plain_base(text):
+    """Base findings by trying every start of every kind, without regular expressions."""
+    keys, found = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_.=-", []
+    low = text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+
+    def run(at, allowed):
+        end = at
+        while end < len(text) and text[end] in allowed:
+            end += 1
+        return end
+
+    at = 0
+    while at < len(text):
+        end = None
+        for word in ("password", "passwd", "secret", "token", "apikey", "api_key"):
+            if end is None and low.startswith(word, at):
+                i = at + len(word)
+                i += text[i : i + 1] in ('"', "'") and i < len(text)
+                i = run(i, " ")
+                if text[i : i + 1] and text[i] in ":=":
+                    i = run(i + 1, " ")
+                    i += text[i : i + 1] in ('"', "'") and i < len(text)
+                    stop = run(i, keys)
+                    if stop > i:
+                        end = stop
+                        if stop - i >= 8:
+                            found.append((at, 0, stop))
+        at = end or at + 1
+    for kind, first, allowed, least in ((1, "AKIA", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16), (2, "", "0123456789abcdef", 32)):
+        at = 0
+        while at < len(text):
+            end = run(at + len(first), allowed) if text.startswith(first, at) else at
+            if end > at + len(first):
+                if end - at >= least:
+                    found.append((at, kind, end))
+                at = end
+            else:
+                at += 1
+    return sorted(found)
+
+
+def _tricky_texts(rng, n):
+    pieces = ["secret", "token", "Api_Key", "passwd", "password", "=", ":", " ", "  ", '"', "'", "AKIA", "abcdefgh", "deadbeef" * 4, "0" * 31]
+    pieces += ["the secre", "t", "oken=", "é", "X9Y8Z7W6V5U4T3S2", "\n", "short", "+/_.-"]
+    return ["".join(rng.choices(pieces, k=rng.randrange(0, 14))) for _ in range(n)]
+
+
+def test_base_findings_match_a_search_without_patterns():
+    rng = random.Random(31)
+    texts = _tricky_texts(rng, 3000) + ["the secre", "token=abcdefgh here"]
+    assert sum(bool(_plain_base(t)) for t in texts) > 500
+    for text in texts:
+        assert secret_scan.base_findings(text) == _plain_base(text), text
+
+
+def test_base_spans_do_not_depend_on_the_rows_around(spark):
+    """Rows whose ends and starts make keywords together, cut into batches of any size."""
+    rng = random.Random(32)
+    texts = ["the secre", "token=abcdefgh here", "passwo", "rd=abcdefgh1", "", None, "sec", "ret: abcdefgh"] * 3 + _tricky_texts(rng, 200)
+    want = [(len(f), secret_scan.written(f)) for f in (_plain_base(t or "") for t in texts)]
+    for size in ("1", "3", "1000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            rows = secret_scan.find(documents(spark, texts).coalesce(1)).orderBy("doc_id").collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        got = [(r["n_assign"] + r["n_access"] + r["n_hex"], ",".join(x for x in r["spans"].split(",") if not x.startswith("cnn"))) for r in rows]
+        assert got == want
+
+
+def test_candidates_are_runs_that_do_not_look_like_words():
+    text = "ordinary Capitals well-known.words x1234567 aB3 innerCap AKEYHERE under_score base64+/= short1"
+    found = [text[s:e] for s, e in secret_scan.candidates(text)]
+    assert found == ["x1234567", "innerCap", "AKEYHERE", "under_score", "base64+/="]
