@@ -6,7 +6,7 @@ import re
 import pytest
 
 from emisplit.llm import line_chunks, minhash, sentence_spans
-from emisplit.llm.components import components
+from emisplit.llm.components import components, contracted
 
 from .helpers import documents, odd_documents
 
@@ -167,3 +167,24 @@ def test_no_rows(spark):
     docs = odd_documents(spark).limit(0)
     for rows in (sentence_spans.dedup_spans(docs), line_chunks.dedup_lines(docs), minhash.near_duplicates(docs)):
         assert rows.collect() == []
+
+
+def test_contracted_edges_are_stars_of_the_same_components():
+    import numpy as np
+
+    rng = random.Random(8)
+    for n in (1, 3, 10, 60, 400):
+        edges = [(rng.randrange(n * 2), rng.randrange(n * 2)) for _ in range(n)]
+        edges += [(i, i + 1) for i in range(0, n // 2)]  # a path
+        group = {}
+
+        def find(x):
+            while group.setdefault(x, x) != x:
+                x = group[x]
+            return x
+
+        for a, b in edges:
+            x, y = find(a), find(b)
+            group[max(x, y)] = min(x, y)
+        got = dict(zip(*(c.tolist() for c in contracted(*np.array(edges).T))))
+        assert got == {x: find(x) for x in list(group) if find(x) != x}
