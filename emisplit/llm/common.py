@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +59,28 @@ def forget(rows: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def shielded(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator on documents that keeps their columns, whatever they are called.
+
+    Operators name their own columns ``__...``; a user's column of such a name bears another one meanwhile.
+    """
+
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        odd = {c: f"user column {i}" for i, c in enumerate(docs.columns) if c.startswith("__")}
+        if not odd:
+            return operator(docs, *args, **options)
+        return operator(docs.withColumnsRenamed(odd), *args, **options).withColumnsRenamed({v: k for k, v in odd.items()})
+
+    return run
+
+
+def ordered_by(rows: DataFrame, *columns: str) -> Column:
+    """A struct that orders rows by the given columns, maps by their JSON."""
+    plain = lambda name: "map<" not in rows.schema[name].dataType.simpleString()
+    return F.struct(*[F.col(c) if plain(c) else F.to_json(F.struct(c)).alias(c) for c in columns])
+
+
 def same(left: DataFrame, right: DataFrame, *columns: str) -> Column:
     """Join condition on equal columns, NULL equal to NULL."""
     condition = F.lit(True)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emisplit.llm.common import buffer, slices
+from emisplit.llm.common import buffer, shielded, slices
 from emisplit.llm.words import ALNUM, hashed_words, shingles
 
 WINDOW = 10
@@ -284,6 +284,7 @@ def _united(results: list[DataFrame]) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_hit", "hits", "items", again.alias("copy")).drop("copy")
 
 
+@shielded
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a hit word, with the columns of ``docs``.
 

@@ -24,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emisplit.llm.common import buffer, slices
+from emisplit.llm.common import buffer, shielded, slices
 
 UNKNOWN = "und"
 _BITS = 17
+#: Bytes of text that a task looks at together; arrays take about seventy times as much.
+_SLICE = 1 << 19
 
 # Bytes of a text as subwords see them: letters in lower case, bytes of non-ASCII characters, all else blank.
 _FOLD = np.full(256, 0x20, np.uint8)
@@ -51,6 +53,9 @@ def subwords(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     blank = folded == 0x20
     keep = ~blank
     keep[1:] |= ~blank[:-1]  # of several blanks the first stays
+    # A text begins with its first letter, whatever text stands before it.
+    begin = offsets[:-1][offsets[:-1] < len(data)]
+    keep[begin] = ~blank[begin]
     starts = np.concatenate([[0], np.cumsum(keep)])[offsets]
     folded = folded[keep].astype(np.uint32)
     row = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(starts))
@@ -179,13 +184,15 @@ def train(docs: DataFrame, per_lang: int = 500, most_langs: int = 400, seed: int
 
     The sample is drawn by a hash of the id among documents that are not held
     out, have a language and a letter; it is the only part of this operator
-    that does not see all rows. The ``most_langs`` most frequent languages are
-    learned (ties by name).
+    that does not see all rows. All languages are learned; more than ``most_langs`` would make a model
+    too large to send to every task, and raise.
     """
     rows = docs.select("doc_id", "text", "lang").where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs).collect()
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs + 1).collect()
     if not counts:
         return fit([], [])
+    if len(counts) > most_langs:
+        raise ValueError(f"more than {most_langs} languages to learn: raise most_langs, or name fewer languages")
     part = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / (1 << 30)
     quota = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], per_lang / r["count"])])
     chosen = rows.where(part < quota[F.col("lang")]).where(has_letter(F.col("text")))
@@ -209,7 +216,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch in (s for b in batches for s in slices(b, "text")):
+        for batch in (s for b in batches for s in slices(b, "text", _SLICE)):
             data, offsets = buffer(batch.column("text"))
             letters = batch.column("__letter").to_numpy(zero_copy_only=False).astype(bool) & bool(m.langs)
             if m.langs:
@@ -238,6 +245,7 @@ def identify(docs: DataFrame, per_lang: int = 500) -> DataFrame:
     return predict(docs, train(docs, per_lang))
 
 
+@shielded
 def keep_identified(docs: DataFrame, per_lang: int = 500) -> DataFrame:
     """The rows of ``docs`` whose language is not rejected, with the columns of ``docs``.
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emisplit.llm.common import stored
+from emisplit.llm.common import shielded, stored
 from emisplit.session import tune
 
 
@@ -98,6 +98,7 @@ def repeated(docs: DataFrame, window: int = 2, divisor: int = 3) -> DataFrame:
     )
 
 
+@shielded
 def dedup_lines(docs: DataFrame, window: int = 2, divisor: int = 3) -> DataFrame:
     """``docs`` without repeated chunks of lines; plus ``removed_lines``, ``removed_chunks``.
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emisplit.llm.common import buffer, slices, stored
+from emisplit.llm.common import buffer, ordered_by, shielded, slices, stored
 from emisplit.llm.components import components, nearest_roots
 from emisplit.llm.words import SPACED, hashed_words, mixed, seeds, shingles
 from emisplit.session import tune
@@ -288,3 +288,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept")
     )
+
+
+@shielded
+def representatives(docs: DataFrame) -> DataFrame:
+    """One row of each group of near duplicates, with the columns of ``docs``: the one with the smallest id.
+
+    Of rows that share that id one stays, as does one of rows that are equal in id and text: the
+    smallest in the other columns. Documents without an id go with their group if it has an id; else
+    one of them stays. Rows without shingles are groups of their own, but for equal ones. No rows give no rows.
+    """
+    marked = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    judged = near_duplicates(marked.select(F.col("__row").alias("doc_id"), "text"))
+    # Rows are judged under a hash of id and text; the group's smallest true id stays.
+    groups = judged.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")).distinct()
+    placed = stored(marked.select("__row", F.col("doc_id").alias("__id")).distinct().join(groups, "__row"), "groups")
+    first = placed.groupBy("__group").agg(F.min_by("__row", F.struct(F.col("__id").isNull(), "__id", "__row")).alias("__row"))
+    chosen = marked.join(first.select("__row"), "__row", "left_semi")
+    # Copies of a row meet as one row per task, as the smallest is taken before the shuffle.
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    whole = F.struct(*docs.columns)
+    smallest = F.min_by(whole, ordered_by(docs, *others)) if others else F.first(whole)
+    one = chosen.groupBy("__row").agg(smallest.alias("__one"))
+    return one.select(*[F.col("__one")[c].alias(c) for c in docs.columns])

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emisplit.llm.common import SPACES, same, stored
+from emisplit.llm.common import SPACES, same, shielded, stored
 
 #: Weights of the sources in order of their names, repeating.
 WEIGHTS = (1, 2, 3)
@@ -165,6 +165,7 @@ def mix(
     )
 
 
+@shielded
 def mixture(
     docs: DataFrame,
     id_column: str = "doc_id",

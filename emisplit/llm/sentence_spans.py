@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emisplit.llm.common import stored
+from emisplit.llm.common import shielded, stored
 from emisplit.session import tune
 
 #: Sentences in a span, and the least length of a span in characters.
@@ -66,6 +66,7 @@ def repeated(rows: DataFrame) -> DataFrame:
     return keyed.join(firsts, ["h1", "h2"]).where("place != kept").select("place.row", "place.first")
 
 
+@shielded
 def dedup_spans(docs: DataFrame) -> DataFrame:
     """``docs`` without repeated spans; plus ``n_sentences`` and ``removed_sentences``.
 

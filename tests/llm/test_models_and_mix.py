@@ -6,9 +6,11 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from emisplit.llm import langid, mixing, warc
+from emisplit.llm.sentence_spans import dedup_spans
 
 from .helpers import ODD_TEXTS, documents, odd_documents
 
@@ -210,3 +212,48 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
     odd_documents(spark).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert {r["text"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} <= set(ODD_TEXTS)
+
+
+def test_a_text_is_judged_alike_alone_and_among_others():
+    import numpy as np
+
+    rng = random.Random(17)
+    pieces = ["Hello there", '"quoted" text', "  leading", "trailing  ", "abc", "", "123", "\n\nnew lines", "é à ü", "--", "a", "word " * 50]
+    texts = ["abc", '"Hello there', " x", *(rng.choice(pieces) + rng.choice(pieces) for _ in range(300))]
+    raw = [t.encode() for t in texts]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+    bucket, first = langid.subwords(data, offsets)
+    for i, r in enumerate(raw):
+        alone, _ = langid.subwords(np.frombuffer(r, np.uint8), np.array([0, len(r)]))
+        assert sorted(alone.tolist()) == sorted(bucket[first[i] : first[i + 1]].tolist()), texts[i]
+
+
+def test_too_many_languages_are_an_error(spark):
+    docs = documents(spark, [f"text number {i}" for i in range(40)], langs=[f"l{i}" for i in range(40)])
+    assert len(langid.train(docs, 5, most_langs=40).langs) > 20
+    with pytest.raises(ValueError, match="languages"):
+        langid.train(docs, 5, most_langs=20)
+
+
+def test_pipeline_keeps_user_columns_of_any_name_and_kind(spark, tmp_path):
+    rng = random.Random(12)
+    texts, langs = _languages(rng, 60)
+    docs = documents(spark, [t + f"\nend {i} of this text" for i, t in enumerate(texts)], langs=langs)
+    odd = ["__row", "__gone", "__hash", "__judged", "__from", "__in", "__done", "__id", "__group", "__one"]
+    mine = {c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in odd}
+    docs = docs.withColumns(mine).withColumn("pairs", F.create_map(F.lit("k"), F.col("doc_id")))
+    docs = docs.unionByName(docs.where("doc_id < 5"))
+    spark.createDataFrame([(1, "no such words in any text here at all today")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, str(tmp_path))
+        rows = docs.select("doc_id", "pairs", *odd).collect()
+        assert len(rows) > 20, name
+        assert all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in odd) and all(r["pairs"] == {"k": r["doc_id"]} for r in rows), name
+    assert dedup_spans(docs.select("doc_id", "text", "__row")).columns[:3] == ["doc_id", "text", "__row"]
+
+
+def test_pipeline_without_documents(spark, tmp_path):
+    documents(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "a b c")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
