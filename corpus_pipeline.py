@@ -25,38 +25,23 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated chunks of lines; those with nothing but blanks left go."""
+    """Documents without repeated chunks of lines; those with nothing but blanks left go, NULL texts too. Ids may be NULL or shared."""
     rows = line_chunks.dedup_lines(docs).select(*docs.columns)
     return rows.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id.
-
-    Of rows that share that id one stays, as does one of rows that are equal in id and text: the
-    smallest in the other columns. Documents without an id go with their group if it has an id; else
-    one of them stays.
-    """
-    marked = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
-    judged = minhash.near_duplicates(marked.select(F.col("__row").alias("doc_id"), "text", F.col("doc_id").alias("true_id")))
-    # Rows are judged under a hash of id and text; the group's smallest true id stays.
-    groups = judged.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")).distinct()
-    placed = stored(marked.select("__row", F.col("doc_id").alias("__id")).distinct().join(groups, "__row"), "groups")
-    first = placed.groupBy("__group").agg(F.min_by("__row", F.struct(F.col("__id").isNull(), "__id", "__row")).alias("__row"))
-    chosen = marked.join(first.select("__row"), "__row", "left_semi")
-    # Copies of a row meet as one row per task, as the smallest is taken before the shuffle.
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    one = chosen.groupBy("__row").agg(F.min(F.struct(*others, "doc_id", "text")).alias("__one"))
-    return one.select(*[F.col("__one")[c].alias(c) for c in docs.columns])
+    """One document of each group of near duplicates: the one with the smallest id. Documents without an id go with their group."""
+    return minhash.representatives(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
+    """Documents that hold no window of a benchmark item; all of them if there is none. Ids may be NULL or shared."""
     return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture: a row per copy taken, with its output shard and its place there."""
+    """The mixture: a row per copy taken, with its output shard and its place there. Ids may be NULL or shared; no rows give none."""
     return mixing.mixture(docs)
 
 
