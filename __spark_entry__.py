@@ -18,13 +18,16 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracles  # noqa: E402
-from emisplit import Scenario, Tables, bridge  # noqa: E402
+from emisplit import Scenario, SpeciationError, Tables, bridge  # noqa: E402
+from emisplit.functions import inline_table  # noqa: E402
 from emisplit.operators import gas, mechanism, pm, quality, toxics, vbs  # noqa: E402
 from emisplit.operators.volatility import volatility_class  # noqa: E402
+from emisplit.plans.metadata import metadata_rows  # noqa: E402
 from emisplit.plans.speciation import Batch, GasPlan, PmPlan, Results, run_scenarios  # noqa: E402
 from emisplit.session import tune  # noqa: E402
-from emisplit.sinks.text import gscnv_lines, gspro_lines, volatility_lines  # noqa: E402
+from emisplit.sinks.text import gscnv_lines, gspro_lines, volatility_lines, write_lines  # noqa: E402
 from emisplit.sources import control, files, lines  # noqa: E402
+from emisplit.staging import new_folder  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -251,10 +254,7 @@ def invtable_lines(spark, sf_dir):
 
 def csv_weights(spark, sf_dir):
     """Weights written as quoted text lines and parsed back."""
-    rest = [F.lit("0.5").alias("uncertainty")]
-    rest += [F.lit("x, y").alias(c) for c in ("unc_method", "analytic_method", "include_in_sum")]
-    rows = bridge.gas_weights(tune(spark), sf_dir).select("profile_id", "specie_id", "percent", *rest)
-    parsed = lines.parse_csv(bridge.csv_lines(rows), "profile_weights")
+    parsed = lines.parse_csv(_weight_lines(spark, sf_dir), "profile_weights")
     return parsed.select("profile_id", "specie_id", F.col("percent").cast("double").alias("percent"))
 
 
@@ -295,19 +295,99 @@ def control_runs(spark, sf_dir):
     )
 
 
+def _weight_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = [F.lit("0.5").alias("uncertainty")]
+    rest += [F.lit("x, y").alias(c) for c in ("unc_method", "analytic_method", "include_in_sum")]
+    rows = bridge.gas_weights(tune(spark), sf_dir).select("profile_id", "specie_id", "percent", *rest)
+    return bridge.csv_lines(rows)
+
+
+def _text_files(lines: DataFrame, name: str) -> str:
+    path = new_folder(lines.sparkSession, name)
+    lines.write.text(path)
+    return path
+
+
+def loaded_weights(spark, sf_dir):
+    """Weights written as text files and loaded from there with all checks."""
+    path = _text_files(_weight_lines(spark, sf_dir), "weights")
+    rows = files.load(spark, {"profile_weights": path})["profile_weights"]
+    return rows.select("profile_id", "specie_id", F.col("percent").cast("double").alias("percent"))
+
+
+def load_report(spark, sf_dir):
+    """Everything that keeps faulty weight files from being loaded. The number of a line depends on how files were cut."""
+    path = _text_files(bridge.faulty_weight_lines(tune(spark), sf_dir), "faulty")
+    try:
+        files.load(spark, {"profile_weights": path})
+    except SpeciationError as error:
+        return error.report.select("table", F.col("line").isNotNull().alias("has_line"), "problem", "text")
+    raise AssertionError("faulty lines were loaded")
+
+
+def metadata_sources(spark, sf_dir):
+    """The name a header would record for each page, its address taken for a path."""
+    pages = bridge.read(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("keyword"), F.col("url").alias("path"))
+    return files.recorded_sources(pages)
+
+
+def _run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return control.scenario_table(control.parse_control(bridge.control_lines(spark, sf_dir)))
+
+
+def header_rows(spark, sf_dir):
+    """Headers of one run per customer: gas, particulate and static output, all run types and both models."""
+    runs = _run_table(tune(spark), sf_dir)
+    recorded = [("GAS_PROFILES", "gas.csv"), ("PM_PROFILES", "pm.csv"), ("CAMX_FCRS", "fcrs.lst")]
+    recorded += [("VBS_IVOC_FACTORS", "ivoc.csv"), ("VBS_SVOC_FACTORS", "svoc.csv")]
+    more = inline_table(spark, recorded, "keyword string, dataval string").withColumn("version", F.lit(None).cast("string"))
+    flags = mechanism.scenario_flags(runs.select("scenario_id", "mechanism"), bridge.mechanism_description(spark))
+    rows = metadata_rows(bridge.metadata(spark).unionByName(more), runs, flags)
+    return rows.select("scenario_id", "keyword", "dataval")
+
+
+def gspro_files(spark, sf_dir):
+    """Lines of split factors as they stand in the files of a run, read back in order."""
+    folder = f"{new_folder(spark, 'out')}/gspro"
+    write_lines(gspro_lines(_integrate_results(spark, sf_dir)), folder)
+    return spark.read.text(folder).select("scenario_id", F.col("value").alias("line"))
+
+
 # ---------------------------------------------------------------- checks
 
 
+def required_settings(spark, sf_dir):
+    return quality.missing_settings(_run_table(tune(spark), sf_dir))
+
+
+def pm_run_types(spark, sf_dir):
+    return quality.unsupported_pm_runs(_run_table(tune(spark), sf_dir))
+
+
+def quality_pm_mechanism(spark, sf_dir):
+    """Brands whose particulate mechanism has not exactly one computed pollutant."""
+    mechanisms = bridge.brand_mechanisms(tune(spark), sf_dir)
+    runs = mechanisms.select(F.col("mechanism").alias("scenario_id"), "mechanism").distinct()
+    return quality.computed_species_count(mechanisms, runs).where("computed <> 1")
+
+
+def empty_outputs(spark, sf_dir):
+    """Nations, as runs, that the accounts in debt of suppliers give no row."""
+    runs = bridge.read(tune(spark), sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("scenario_id"))
+    rows = bridge.read(spark, sf_dir, "supplier").where("s_acctbal < 0")
+    return quality.empty_outputs(runs, rows.select(F.col("s_nationkey").cast("string").alias("scenario_id")))
+
+
 def quality_tolerance(spark, sf_dir):
     plan = _crit(spark, sf_dir)
-    sums = gas.profile_sums(plan.raw())
+    sums = gas.judged_sums(plan.judged())
     rows = quality.out_of_tolerance(sums, gas.gas_profiles(plan.batch.tables.profiles), 5.0)
     return _doubles(rows, "sum_pct")
 
 
 def quality_missing_mw(spark, sf_dir):
     plan = _crit(spark, sf_dir)
-    rows = gas.has_invalid_mw(gas.raw_weights(plan.input_weights(), plan.batch.tables.species))
+    rows = plan.judged().where(F.col("fate") == gas.NO_MASS)
     return _doubles(rows.select("profile_id", "specie_id", "percent"), "percent")
 
 
@@ -476,6 +556,15 @@ def queries() -> dict[str, Query]:
         "plain_process": plain_process,
         "duplicate_weights": duplicate_weights,
         "control_runs": control_runs,
+        "loaded_weights": loaded_weights,
+        "load_report": load_report,
+        "metadata_sources": metadata_sources,
+        "header_rows": header_rows,
+        "gspro_files": gspro_files,
+        "required_settings": required_settings,
+        "pm_run_types": pm_run_types,
+        "quality_pm_mechanism": quality_pm_mechanism,
+        "empty_outputs": empty_outputs,
         "quality_tolerance": quality_tolerance,
         "quality_missing_mw": quality_missing_mw,
         "quality_unmapped_in_profiles": quality_unmapped_in_profiles,

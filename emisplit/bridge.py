@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emisplit.functions import inline_table, salted, totals
+from emisplit.functions import inline_table, splittable
 from emisplit.operators.pm import PM_TYPES
 from emisplit.plans.tables import Tables
 from emisplit.schemas import INVTABLE_WIDTHS, SHARED, schema
@@ -65,11 +65,12 @@ COLUMNS = {
         "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, l_discount double, "
         "l_returnflag string"
     ),
-    "supplier": "s_suppkey bigint, s_nationkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int, s_acctbal double",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string",
-    "customer": "c_name string, c_nationkey int, c_mktsegment string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "documents": "doc_id bigint, text string",
+    "pages": "page_id bigint, url string",
 }
 
 
@@ -110,11 +111,12 @@ def species(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _shares(rows: DataFrame, specie: str, factor: Column) -> DataFrame:
-    """Percent of each species in the quantity of its order."""
-    orders = totals(salted(rows, specie), ["l_orderkey"], order_quantity=(F.sum, F.col("quantity")))
+def _shares(rows: DataFrame, lineitem: DataFrame, factor: Column) -> DataFrame:
+    """Percent of each species in the quantity of its order; quantities are whole numbers."""
+    orders = lineitem.groupBy(_key("l_orderkey").alias("profile_id")).agg(F.sum("l_quantity").alias("order_quantity"))
+    shares = rows.withColumn("profile_id", _key("l_orderkey")).join(splittable(orders, "profile_id"), "profile_id")
     percent = F.round(F.lit(100.0) * F.col("quantity") / F.col("order_quantity") * factor, 6)
-    return orders.withColumn("percent", percent.cast("decimal(12,6)"))
+    return shares.withColumn("percent", percent.cast("decimal(12,6)"))
 
 
 def gas_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,9 +125,7 @@ def gas_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     factor = F.when(order % 7 == 0, 0.9).when(order % 11 == 0, 1.1).otherwise(1.0)
     lineitem = read(spark, sf_dir, "lineitem")
     rows = lineitem.groupBy("l_orderkey", "l_partkey").agg(F.sum("l_quantity").alias("quantity"))
-    return _shares(rows, "l_partkey", factor).select(
-        _key("l_orderkey").alias("profile_id"), _key("l_partkey").alias("specie_id"), "percent"
-    )
+    return _shares(rows, lineitem, factor).select("profile_id", _key("l_partkey").alias("specie_id"), "percent")
 
 
 def pm_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,10 +144,10 @@ def pm_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = read(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.substring("o_orderpriority", 1, 1).alias("kind")
     )
-    weights = _shares(rows, "position", factor).join(kinds, "l_orderkey", "left")
+    weights = _shares(rows, lineitem, factor).join(kinds, "l_orderkey", "left")
     weights = weights.withColumn("specie_id", F.get(names, F.col("position")))
     is_own = (F.col("specie_id") == "2669") & F.coalesce(F.col("kind") == "3", F.lit(False))
-    return weights.where(~is_own).select(_key("l_orderkey").alias("profile_id"), "specie_id", "percent")
+    return weights.where(~is_own).select("profile_id", "specie_id", "percent")
 
 
 def mechanism(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,6 +270,51 @@ def process_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select(line.alias("value"))
 
 
+def control_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Control lines of one run per customer, of all kinds of output, some with settings missing."""
+
+    def setting(keyword: str, choices: dict, pick: Column) -> Column:
+        """A line with one of the choices, or a comment."""
+        value = F.lit("")
+        for number, choice in choices.items():
+            value = F.when(pick == number, choice).otherwise(value)
+        return F.when(value != "", F.concat(F.lit(keyword + ","), value)).otherwise("# none")
+
+    customer, nation = F.col("c_custkey"), F.col("c_nationkey")
+    written = F.array(
+        setting("MECH_BASIS", {1: "M_A", 2: "ae6", 3: "m_b"}, customer % 4),
+        setting("RUN_TYPE", {1: "CRITERIA", 2: "Vbs", 3: "HAPLIST", 4: "INTEGRATE", 5: "NOINTEGRATE"}, nation % 6),
+        setting("AQM", {1: "CMAQ", 2: "CMAQ", 3: "CAMx", 4: "CAMX"}, customer % 5),
+        setting("OUTPUT", {1: "VOC", 2: "PM", 3: "STATIC", 4: "VOC+PM"}, nation % 5),
+        setting("PRO_FILE", {0: "own.csv"}, customer % 7),
+        setting("PROC_FILE", {0: "modes.csv"}, customer % 11),
+    )
+    return read(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("run_name"), F.posexplode(written).alias("position", "value")
+    )
+
+
+def brand_mechanisms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Particulate mechanisms, one per brand, with one, several or no computed pollutants."""
+    return read(spark, sf_dir, "part").select(
+        F.col("p_brand").alias("mechanism"),
+        F.when(F.col("p_partkey") % 7 == 0, "").otherwise(_key("p_partkey")).alias("specie_id"),
+        F.concat(F.lit("P"), _key("p_size")).alias("aqm_poll"),
+        F.lit(False).alias("qualify"),
+        ((F.col("p_partkey") % 7 == 0) & (F.col("p_size") < 5)).alias("compute"),
+    )
+
+
+def faulty_weight_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight lines of which some have a number that is none, some too few fields, and some come twice."""
+    order = F.col("profile_id").cast("bigint")
+    percent = F.when(order % 50 == 1, F.concat(F.lit("x"), "percent")).otherwise(F.col("percent").cast("string"))
+    short = F.concat_ws(",", "profile_id", "specie_id", "percent")
+    line = F.when(order % 75 == 2, short).otherwise(F.concat_ws(",", "profile_id", "specie_id", percent, F.lit("0.5,,,")))
+    copies = F.explode(F.sequence(F.lit(1), F.when(order % 60 == 3, 3).otherwise(1)))
+    return gas_weights(spark, sf_dir).select(line.alias("value"), copies.alias("copy")).select("value")
+
+
 def pm_mechanism(spark: SparkSession) -> DataFrame:
     rows = []
     for name, mapping in (("AE6", AE6), ("AE8", AE8)):

@@ -1,7 +1,8 @@
 """Attach a per-group total to every row of the group, at any group size.
 
 Percent-of-total arithmetic needs the sum of a group next to each of its rows.
-A group may hold any part of all rows, so no task may have to hold one. Rows
+For groups of up to ``WHOLE`` rows that is a window over the group, and a chain of totals over the same
+group or parts of it takes one shuffle. A group may hold any part of all rows, so no task may have to hold a larger one. Its rows
 carry a ``salt``, a hash that cuts their group into up to ``SALTS`` shares, and
 ``totals`` works on shares:
 
@@ -9,9 +10,8 @@ carry a ``salt``, a hash that cuts their group into up to ``SALTS`` shares, and
 2. the leaders of a group meet, at most ``SALTS`` rows, and add up the shares;
 3. the leaders return to their shares and hand the total to the other rows.
 
-The plan is the same for groups of all sizes. It reads its input once, so a
-chain of totals grows by the same three windows with every total, and the
-first window of a total reuses the partitioning the one before it left.
+Either plan reads its input once. A chain on shares grows by the same three windows with every total, and the
+first window of a total reuses the partitioning the one before it left. ``emisplit.staging`` tells the groups apart.
 """
 
 from __future__ import annotations
@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 #: in one task, and the factor by which a task's part of it is smaller.
 SALTS = 4096
 
+#: Largest group that a window takes whole.
+WHOLE = 100_000
+
 #: An aggregate that also combines its own partial results, and what it is of.
 Total = tuple[Callable[[Column], Column], Column]
 
@@ -37,10 +40,13 @@ def salted(rows: DataFrame, column: str) -> DataFrame:
 def totals(rows: DataFrame, keys: list[str], **aggregates: Total) -> DataFrame:
     """Add to each row the aggregates over all rows with the same ``keys``.
 
-    ``rows`` have a ``salt``. A share is led by its smallest row, which a
+    ``rows`` with a ``salt`` are taken share by share. A share is led by its smallest row, which a
     recomputed task finds again; rows that are equal in all columns can take
     each other's place.
     """
+    if "salt" not in rows.columns:
+        group = Window.partitionBy(*keys)
+        return rows.select("*", *[combine(of).over(group).alias(name) for name, (combine, of) in aggregates.items()])
     others = [c for c in rows.columns if c not in (*keys, "salt")]
     ordered = Window.partitionBy(*keys, "salt").orderBy(*others)
     share = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -60,6 +66,11 @@ def totals(rows: DataFrame, keys: list[str], **aggregates: Total) -> DataFrame:
     return combined.select(*rows.columns, *[F.max(name).over(back).alias(name) for name in aggregates])
 
 
+def carried(rows: DataFrame, *columns: str) -> list[str]:
+    """``columns``, and the salt of rows that have one."""
+    return [*columns, *(["salt"] if "salt" in rows.columns else [])]
+
+
 def splittable(rows: DataFrame, key: str) -> DataFrame:
     """Give an aggregated join side a shuffle of its own.
 

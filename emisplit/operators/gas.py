@@ -1,8 +1,7 @@
 """Gas speciation: profile weights to split factors.
 
 The weights are the large table. Its rows carry what the chain needs
-(``WEIGHT_COLUMNS``), with the salt that ``emisplit.functions.grouping`` splits
-large profiles by.
+(``WEIGHT_COLUMNS``), and in large profiles the salt that ``emisplit.functions.grouping`` splits them by.
 """
 
 from __future__ import annotations
@@ -10,11 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emisplit.functions import double, store, totals
+from emisplit.functions import carried, double, store, totals
 
 GAS_TYPES = ("GAS", "GAS-VBS")
 
-WEIGHT_COLUMNS = ["profile_id", "specie_id", "percent", "volatile_mw", "non_voctog", "listed", "salt"]
+WEIGHT_COLUMNS = ["profile_id", "specie_id", "percent", "volatile_mw", "non_voctog", "listed"]
+
+#: What becomes of a row of the input weights: it counts, its species has no valid molar mass, its profile is out of tolerance.
+KEPT, NO_MASS, OUTSIDE = "kept", "no mass", "outside"
 
 MODEL_KEYS = ["profile_id", "scenario_id", "aqm_poll"]
 
@@ -45,18 +47,6 @@ def raw_weights(weights: DataFrame, species: DataFrame) -> DataFrame:
     )
 
 
-def has_valid_mw(rows: DataFrame) -> DataFrame:
-    return rows.where("volatile_mw > 0")
-
-
-def has_invalid_mw(rows: DataFrame) -> DataFrame:
-    return rows.where("volatile_mw is null or volatile_mw <= 0")
-
-
-def profile_sums(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("profile_id", "listed").agg(store(F.sum("percent"), 12, 8).alias("sum_pct"))
-
-
 def in_tolerance(tolerance: float):
     total = double("sum_pct")
     return (total >= 100.0 - tolerance) & (total <= 100.0 + tolerance)
@@ -66,11 +56,29 @@ def share_of_100(total: str):
     return store(F.col("percent") / F.col(total) * 100, 15, 8)
 
 
-def renormalise(rows: DataFrame, tolerance: float) -> DataFrame:
-    """Drop profiles out of tolerance and scale the others to 100 percent."""
-    summed = totals(rows, ["profile_id"], total=(F.sum, F.col("percent"))).withColumn("sum_pct", store("total", 12, 8))
-    kept = summed.where(in_tolerance(tolerance) | ~F.col("listed"))
-    return kept.withColumn("percent", share_of_100("sum_pct")).select(WEIGHT_COLUMNS)
+def judged(rows: DataFrame, tolerance: float) -> DataFrame:
+    """Scale profiles to 100 percent, and tell which rows count.
+
+    ``sum_pct`` is the sum over the profile's species with a valid mass. Only rows that count are scaled:
+    those of species without a mass, and of listed profiles out of tolerance, are kept for the reports.
+    """
+    valid = F.coalesce(F.col("volatile_mw") > 0, F.lit(False))
+    summed = totals(rows, ["profile_id"], total=(F.sum, F.when(valid, F.col("percent")))).withColumn("sum_pct", store("total", 12, 8))
+    fate = F.when(~valid, NO_MASS).when(in_tolerance(tolerance) | ~F.col("listed"), KEPT).otherwise(OUTSIDE)
+    fated = summed.withColumn("fate", fate)
+    scaled = F.when(F.col("fate") == KEPT, share_of_100("sum_pct")).otherwise(F.col("percent"))
+    return fated.withColumn("percent", scaled).select(carried(rows, *WEIGHT_COLUMNS, "sum_pct", "fate"))
+
+
+def kept(rows: DataFrame) -> DataFrame:
+    """The rows of ``judged`` weights that count."""
+    return rows.where(F.col("fate") == KEPT).select(carried(rows, *WEIGHT_COLUMNS))
+
+
+def judged_sums(rows: DataFrame) -> DataFrame:
+    """Sum per profile of ``judged`` weights."""
+    valid = rows.where(F.col("fate") != NO_MASS)
+    return valid.groupBy("profile_id", "listed").agg(F.max("sum_pct").alias("sum_pct"))
 
 
 def weight_moles(rows: DataFrame) -> DataFrame:
@@ -86,16 +94,14 @@ def moles_by_species(rows: DataFrame, mapping: DataFrame) -> DataFrame:
     mass = store(F.col("percent") / 100 * F.col("moles_per_mole"), 24, 18)
     per_gram = mass / F.col("weight_mw")
     per_mole = F.col("moles_pct") * F.col("moles_per_mole")
-    weights = rows.select(
-        "profile_id", "specie_id", "percent", F.col("volatile_mw").alias("weight_mw"), "moles_pct", "salt"
-    )
+    weights = rows.withColumnRenamed("volatile_mw", "weight_mw")
+    weights = weights.select(carried(rows, "profile_id", "specie_id", "percent", "weight_mw", "moles_pct"))
     return weights.join(mapping, "specie_id").select(
         *MODEL_KEYS,
         "specie_id",
         store(per_gram, 15, 8).alias("moles_per_gram"),
         store(per_mole, 15, 8).alias("moles_per_mole_em"),
-        "gram_per_mole",
-        "salt",
+        *carried(weights, "gram_per_mole"),
     )
 
 

@@ -15,9 +15,16 @@ from emisplit.functions import null_as, splittable, store
 UNKNOWN = "UNK"
 
 
+#: Stands between the names of a batch's scenarios; no name holds it.
+_BETWEEN = "\x1f"
+
+
 def per_scenario(rows: DataFrame, ids: list[str]) -> DataFrame:
-    """Repeat each row for every scenario of the batch."""
-    return rows.select("*", F.explode(F.array(*[F.lit(i) for i in ids])).alias("scenario_id"))
+    """Repeat each row for every scenario of the batch.
+
+    The names are one literal, so the plan has the same size for any number of scenarios.
+    """
+    return rows.select("*", F.explode(F.split(F.lit(_BETWEEN.join(ids)), _BETWEEN)).alias("scenario_id"))
 
 
 def mechanism_rows(mechanism: DataFrame, runs: DataFrame) -> DataFrame:

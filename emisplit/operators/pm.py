@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emisplit.functions import splittable, store, totals
+from emisplit.functions import carried, splittable, store, totals
 from emisplit.functions.grouping import Total
 
 # Species ids (fixed values).
@@ -194,10 +194,12 @@ def _fill_species(rows: DataFrame, o2m: DataFrame) -> DataFrame:
             amount = f"CAST(oxide_{ion} * {ratio[0]} AS DECIMAL(26,18)) / {ratio[1]}"
             added.append((ion, f"CASE WHEN NOT has_{ion} AND NOT has_{atom} THEN {amount} END"))
 
+    salt = "".join(f", '{c}', {c}" for c in carried(rows))
+
     def row(specie_id: str, percent: str) -> str:
         return (
             "named_struct('profile_id', profile_id, 'profile_type', profile_type, "
-            f"'specie_id', {specie_id}, 'percent', CAST({percent} AS DECIMAL(15,8)), 'salt', salt)"
+            f"'specie_id', {specie_id}, 'percent', CAST({percent} AS DECIMAL(15,8)){salt})"
         )
 
     own = row(*_resolved())
@@ -256,7 +258,7 @@ def _scale_over_101(rows: DataFrame) -> DataFrame:
 
     lowest = F.least(scaled("low_organic", F.lit(True)), scaled("low_other", F.lit(False)))
     return sums.select(
-        "profile_id", "profile_type", "specie_id", scaled("percent", organic).alias("percent"), lowest.alias("lowest"), "salt"
+        "profile_id", "profile_type", "specie_id", scaled("percent", organic).alias("percent"), *carried(rows), lowest.alias("lowest")
     )
 
 

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emisplit.functions import null_as
+from emisplit.functions import null_as, splittable
 from emisplit.operators.mechanism import per_scenario
 from emisplit.operators.pm import VBS_TYPE, is_over_100
 from emisplit.operators.vbs import BINS
@@ -51,6 +51,44 @@ def union_findings(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def missing_settings(runs: DataFrame) -> DataFrame:
+    """Settings that the output of a run of the scenario table needs and that it lacks."""
+    output = F.coalesce("output", F.lit(""))
+
+    def lacks(setting: str, column: str, outputs: Column) -> Column:
+        return F.struct(F.lit(setting).alias("setting"), (F.col(column).isNull() & outputs).alias("lacks"))
+
+    needed = F.array(
+        lacks("AQM", "aqm", F.lit(True)),
+        lacks("MECH_BASIS", "mechanism", output.isin("", "VOC", "PM")),
+        lacks("RUN_TYPE", "kind", output.isin("", "VOC")),
+    )
+    return runs.select("scenario_id", F.inline(needed)).where("lacks").select("scenario_id", "setting")
+
+
+def check_required(runs: DataFrame) -> DataFrame:
+    message = F.concat(F.lit("not set: "), "setting")
+    return finding(missing_settings(runs), ERROR, "required_setting", message)
+
+
+def unsupported_pm_runs(runs: DataFrame) -> DataFrame:
+    """Runs with particulate output whose run type has none."""
+    wrong = F.coalesce(~F.col("kind").isin("CRITERIA", "VBS"), F.lit(True))
+    return runs.where(F.col("outputs").contains("PM") & wrong).select("scenario_id", "kind")
+
+
+def check_pm_run_type(runs: DataFrame) -> DataFrame:
+    message = F.concat_ws(" ", F.lit("no particulate output for RUN_TYPE"), "kind")
+    return finding(unsupported_pm_runs(runs), ERROR, "pm_run_type", message)
+
+
+def empty_outputs(runs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Runs of the scenario table that ``rows`` has nothing for."""
+    # Without a shuffle of its own an aggregated side would keep a hot run whole.
+    present = splittable(rows.select("scenario_id").distinct(), "scenario_id")
+    return runs.select("scenario_id").join(present, "scenario_id", "left_anti")
+
+
 def long_names(invtable: DataFrame, *, pm: bool = False, limits: tuple[int, int, int] = NAME_LIMITS) -> DataFrame:
     """Inventory names that would exceed the width of an output name.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emisplit.functions import store, totals
+from emisplit.functions import carried, store, totals
 from emisplit.operators.gas import WEIGHT_COLUMNS
 
 #: Species id of methane (fixed value).
@@ -52,7 +52,7 @@ def insert_ivoc(rows: DataFrame, factors: DataFrame) -> DataFrame:
     ).otherwise(F.col("percent"))
     moved = store(F.col("nmogfraction") * F.coalesce("nmog", F.lit(0)), 15, 8)
     own = F.struct(
-        "profile_id", "specie_id", scaled.alias("percent"), "volatile_mw", "non_voctog", "listed", "salt"
+        "profile_id", "specie_id", scaled.alias("percent"), *carried(rows, "volatile_mw", "non_voctog", "listed")
     )
     new = F.struct(
         "profile_id",
@@ -60,12 +60,11 @@ def insert_ivoc(rows: DataFrame, factors: DataFrame) -> DataFrame:
         moved.alias("percent"),
         F.col("ivoc_mw").alias("volatile_mw"),
         F.when(F.col("ivoc_mw").isNotNull(), F.lit(False)).alias("non_voctog"),
-        "listed",
-        "salt",
+        *carried(rows, "listed"),
     )
     first = F.col("specie_id") == F.col("lead")
     out = F.when(first & has_factor, F.array(own, new)).otherwise(F.array(own))
-    return summed.select(F.inline(out)).select(WEIGHT_COLUMNS)
+    return summed.select(F.inline(out)).select(carried(rows, *WEIGHT_COLUMNS))
 
 
 def svoc_bins(factors: DataFrame, aqm: str) -> DataFrame:

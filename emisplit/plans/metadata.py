@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emisplit.functions import inline_table, null_as
-from emisplit.plans.scenario import CRITERIA, HAPLIST, VBS, Scenario
+from emisplit.functions import null_as
+from emisplit.plans.scenario import CRITERIA, HAPLIST, VBS
 
 NOT_APPLICABLE = "Not Applicable"
 
@@ -14,75 +14,59 @@ NOT_APPLICABLE = "Not Applicable"
 CAMX_NOTE = "PM CAMx CF carries additional POC compound for model performance evaluation"
 
 
-def _given(scenario: Scenario) -> dict[str, str | None]:
-    """Header values that come from the scenario itself."""
-    values = {"AQM": scenario.model, "MECH": scenario.mechanism}
-    if scenario.wants_gas:
-        values["RUN_TYPE"] = scenario.kind
-        if scenario.kind != HAPLIST and scenario.pro_file is not None:
-            values["GAS_PROFILES"] = scenario.pro_file
-        if scenario.proc_file is not None:
-            values["PROCESS"] = scenario.proc_file
-    if scenario.wants_pm:
-        values["RUN_TYPE"] = scenario.kind or CRITERIA
-    return values
+def _asks(output: str) -> Column:
+    """Whether a run's output setting names this one; no setting asks for gas only."""
+    named = F.col("outputs").contains(output)
+    return F.coalesce(named, F.lit(output == "VOC"))
 
 
-def _sources(scenario: Scenario, profiles_source: bool) -> list[str]:
-    """Keywords that keep the recorded source file."""
-    keys = ["INVTABLE"]
-    if profiles_source and scenario.pro_file is None:
-        keys.append("PROFILES")
-    if scenario.wants_gas:
-        if scenario.kind != HAPLIST and scenario.pro_file is None:
-            keys.append("GAS_PROFILES")
-        keys.append("CARBONS")
-        if scenario.kind == VBS:
-            keys.append("VBS_IVOC_FACTORS")
-    if scenario.wants_pm:
-        keys.append("PM_PROFILES")
-        if scenario.mechanism == "AE6" and scenario.model == "CAMX":
-            keys.append("CAMX_FCRS")
-        if (scenario.kind or CRITERIA) == VBS:
-            keys.append("VBS_SVOC_FACTORS")
-    if scenario.wants_static:
-        keys.append("STATIC")
-    return keys
+def _is_camx_ae6() -> Column:
+    return F.coalesce((F.col("mechanism") == "AE6") & (F.col("aqm") == "CAMX"), F.lit(False))
 
 
-def metadata_rows(
-    metadata: DataFrame, scenarios: tuple[Scenario, ...], flags: DataFrame, *, profiles_source: bool = False
-) -> DataFrame:
-    """Keyword and value rows per scenario.
+def header_values(profiles_source: bool = False) -> Column:
+    """What the header says for ``keyword``, from a run's settings and the recorded source file ``dataval``."""
+    gas, particulate = _asks("VOC"), _asks("PM")
+    kind, pm_kind = F.coalesce("kind", F.lit("")), F.coalesce("kind", F.lit(CRITERIA))
+    own_profiles = F.col("pro_file").isNotNull()
+    keyword, recorded = F.col("keyword"), F.col("dataval")
+    choices = [
+        ("AQM", F.lit(True), F.col("aqm")),
+        ("MECH", F.lit(True), F.col("mechanism")),
+        ("RUN_TYPE", particulate, pm_kind),
+        ("RUN_TYPE", gas, F.col("kind")),
+        ("GAS_PROFILES", gas & (kind != HAPLIST) & own_profiles, F.col("pro_file")),
+        ("GAS_PROFILES", gas & (kind != HAPLIST), recorded),
+        ("PROCESS", gas & F.col("proc_file").isNotNull(), F.col("proc_file")),
+        ("INVTABLE", F.lit(True), recorded),
+        ("PROFILES", F.lit(profiles_source) & ~own_profiles, recorded),
+        ("CARBONS", gas, recorded),
+        ("VBS_IVOC_FACTORS", gas & (kind == VBS), recorded),
+        ("PM_PROFILES", particulate, recorded),
+        ("CAMX_FCRS", particulate & _is_camx_ae6(), recorded),
+        ("VBS_SVOC_FACTORS", particulate & (pm_kind == VBS), recorded),
+        ("STATIC", _asks("STATIC"), recorded),
+    ]
+    value = F.when(F.lit(False), F.lit(""))
+    for name, applies, said in choices:
+        value = value.when((keyword == name) & applies, said)
+    return value.otherwise(NOT_APPLICABLE)
+
+
+def metadata_rows(metadata: DataFrame, runs: DataFrame, flags: DataFrame, *, profiles_source: bool = False) -> DataFrame:
+    """Keyword and value rows of every run of the scenario table ``runs``.
 
     Every recorded keyword appears; the ones a run does not use say so. The
     source of the profile weights is among those unless ``profiles_source``
-    asks for it. Header and scenario list are both small by construction.
+    asks for it. The header has one row per keyword of a fixed list, so each run meets it whole.
     """
-    spark = metadata.sparkSession
-    choices = []
-    for s in scenarios:
-        given = _given(s)
-        sources = [k for k in _sources(s, profiles_source) if k not in given]
-        choices.append((s.run_name, given, sources))
-    rows = [(name, key, value, False) for name, given, _ in choices for key, value in given.items()]
-    rows += [(name, key, None, True) for name, _, sources in choices for key in sources]
-    chosen = inline_table(spark, rows, "scenario_id string, keyword string, given string, from_source boolean")
-    ids = F.explode(F.array(*[F.lit(s.run_name) for s in scenarios])).alias("scenario_id")
-    value = (
-        F.when(F.col("from_source"), F.col("dataval"))
-        .when(F.col("from_source").isNotNull(), F.col("given"))
-        .otherwise(NOT_APPLICABLE)
-    )
-    header = (
-        metadata.select("keyword", "dataval", ids)
-        .join(F.broadcast(chosen), ["scenario_id", "keyword"], "left")
-        .select("scenario_id", "keyword", value.alias("dataval"), null_as("string").alias("version"))
-    )
-    camx = [(s.run_name,) for s in scenarios if s.wants_pm and s.mechanism == "AE6" and s.model == "CAMX"]
-    notes = inline_table(spark, camx, "scenario_id string").select(
-        "scenario_id", F.lit(CAMX_NOTE).alias("dataval")
+    # The recorded keywords travel as one row to the runs.
+    recorded = metadata.groupBy(F.lit(0).alias("all")).agg(F.collect_list(F.struct("keyword", "dataval")).alias("header"))
+    named = runs.withColumn("all", F.lit(0) * F.length("scenario_id")).join(recorded, "all")
+    header = named.select("*", F.inline("header")).select(
+        "scenario_id", "keyword", header_values(profiles_source).alias("dataval"), null_as("string").alias("version")
     )
+    notes = runs.where(_asks("PM") & _is_camx_ae6()).select("scenario_id", F.lit(CAMX_NOTE).alias("dataval"))
     comments = flags.where("nonsoaflag = 'N'").select("scenario_id", F.substring("comment", 1, 250).alias("dataval"))
     extra = notes.unionByName(comments).select(
         "scenario_id", F.lit("NOTE").alias("keyword"), "dataval", null_as("string").alias("version")

@@ -24,6 +24,9 @@ SETTINGS = (
     "TOLERANCE",
 )
 
+#: The scenario table: settings as they take effect, a row per run; ``output`` is as written.
+RUN_COLUMNS = "scenario_id string, mechanism string, aqm string, kind string, outputs string, output string, pro_file string, proc_file string"
+
 CRITERIA = "CRITERIA"
 INTEGRATE = "INTEGRATE"
 NOINTEGRATE = "NOINTEGRATE"

@@ -3,26 +3,30 @@
 Scenarios that share run type, model, tolerance and input tables form a batch.
 A batch is one plan keyed by ``scenario_id``: weights are selected, summed and
 scaled once, and only the mechanism join multiplies the rows by scenario.
-Planning starts no job: work begins when an output is read or ``Results.gate`` is called.
+
+The scaled weights are written before anything else is planned (``emisplit.staging``), once for each
+selection and tolerance, whatever run types, models and mechanisms use them. All outputs and reports start from
+there; they are planned only, and work begins when one is read or ``Results.gate`` is called.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from emisplit.errors import SpeciationError
-from emisplit.functions import inline_table, salted
+from emisplit.functions import inline_table
 from emisplit.operators import gas, mechanism, outputs, pm, quality, toxics, vbs
 from emisplit.operators.volatility import volatility_class
 from emisplit.plans.metadata import metadata_rows
-from emisplit.plans.scenario import CRITERIA, HAP_RUNS, HAPLIST, INTEGRATE, NOINTEGRATE, VBS, Scenario
+from emisplit.plans.scenario import CRITERIA, HAP_RUNS, HAPLIST, INTEGRATE, NOINTEGRATE, RUN_COLUMNS, VBS, Scenario
 from emisplit.plans.tables import Tables
 from emisplit.schemas import KEYS
+from emisplit.staging import Staged, Stages, staged, written
 
 
 @dataclass(frozen=True)
@@ -34,6 +38,7 @@ class Batch:
     tables: Tables
     case_insensitive: bool = False
     profiles_source: bool = False
+    stages: Stages = field(default_factory=Stages)
 
     @property
     def first(self) -> Scenario:
@@ -45,8 +50,12 @@ class Batch:
 
     @property
     def runs(self) -> DataFrame:
-        rows = [(s.run_name, s.mechanism, s.model, s.mechanism == pm.VBS_MECHANISM) for s in self.scenarios]
-        return inline_table(self.spark, rows, "scenario_id string, mechanism string, aqm string, takes_vbs boolean")
+        """The scenario table: a row of effective settings per scenario."""
+        rows = [
+            (s.run_name, s.mechanism, s.model, s.kind, s.outputs, s.output, s.pro_file, s.proc_file, s.mechanism == pm.VBS_MECHANISM)
+            for s in self.scenarios
+        ]
+        return inline_table(self.spark, rows, f"{RUN_COLUMNS}, takes_vbs boolean")
 
     @property
     def flags(self) -> DataFrame:
@@ -138,12 +147,30 @@ class GasPlan:
             return gas.select_user_weights(t.profiles, t.user_profile_wts)
         return gas.select_gas(t.profiles, t.profile_weights)
 
-    def raw(self) -> DataFrame:
-        """Positive weights of known species with a valid molar mass."""
-        return gas.has_valid_mw(gas.raw_weights(self.input_weights(), self.batch.tables.species))
+    def staged(self) -> Staged:
+        """Judged weights of the run's selection and tolerance, written by the first run that needs them."""
+        t, tolerance = self.batch.tables, self.batch.first.tolerance_pct
+
+        def write() -> Staged:
+            rows = gas.raw_weights(self.input_weights(), t.species)
+            given = t.profile_weights if t.user_profile_wts is None else t.user_profile_wts
+            counts = {name: F.count_if(F.col("fate") == name) for name in (gas.NO_MASS, gas.OUTSIDE)}
+            return staged(given, rows, lambda part: gas.judged(part, tolerance), "gas_weights", counts)
+
+        given = [t.profiles, t.species, t.user_profile_wts, None if t.user_profile_wts is not None else t.profile_weights]
+        return self.batch.stages.get(("gas", tolerance), given, write)
+
+    def judged(self) -> DataFrame:
+        return self.staged().rows()
 
     def normalised_weights(self) -> DataFrame:
-        scaled = gas.renormalise(salted(self.raw(), "specie_id"), self.batch.first.tolerance_pct)
+        return self.staged().each(self._normalised)
+
+    def working_weights(self) -> DataFrame:
+        return self.staged().each(self._working)
+
+    def _normalised(self, part: DataFrame) -> DataFrame:
+        scaled = gas.kept(part)
         if self.kind != VBS:
             return scaled
         t = self.batch.tables
@@ -152,8 +179,8 @@ class GasPlan:
         )
         return vbs.insert_ivoc(scaled, factors)
 
-    def working_weights(self) -> DataFrame:
-        scaled = self.normalised_weights()
+    def _working(self, part: DataFrame) -> DataFrame:
+        scaled = self._normalised(part)
         hap_species = self.haps().select("specie_id").distinct() if self.kind in HAP_RUNS else None
         if self.kind == INTEGRATE:
             return toxics.integrate_weights(scaled, hap_species)
@@ -161,12 +188,15 @@ class GasPlan:
             return toxics.nointegrate_weights(scaled, hap_species, self.toxics())
         return scaled
 
-    def moles_by_species(self) -> DataFrame:
-        weights = self.working_weights().where("percent is not null")
+    def _moles(self, part: DataFrame) -> DataFrame:
+        weights = self._working(part).where("percent is not null")
         return gas.moles_by_species(gas.weight_moles(weights), self.mapping())
 
+    def moles_by_species(self) -> DataFrame:
+        return self.staged().each(self._moles)
+
     def model_species(self) -> DataFrame:
-        return gas.model_species(self.moles_by_species())
+        return self.staged().each(lambda part: gas.model_species(self._moles(part)))
 
     # outputs
 
@@ -243,19 +273,17 @@ class GasPlan:
         found.append(quality.check_carbons(mech, self.carbon_rows()))
         found.append(quality.report_unmapped(unmapped))
         if self.kind != HAPLIST:
-            weights = gas.raw_weights(self.input_weights(), t.species)
-            found += [
-                quality.report_missing_mw(gas.has_invalid_mw(weights), ids),
-                quality.report_tolerance(
-                    gas.profile_sums(self.raw()),
-                    gas.gas_profiles(t.profiles),
-                    self.batch.first.tolerance_pct,
-                    ids,
-                ),
-                quality.report_unmapped_in_profiles(self.normalised_weights(), unmapped, t.species),
-            ]
+            rows, counts = self.judged(), self.staged().counts
+            # What the staging counted as none needs no plan.
+            if counts[gas.NO_MASS]:
+                found.append(quality.report_missing_mw(rows.where(F.col("fate") == gas.NO_MASS), ids))
+            if counts[gas.OUTSIDE]:
+                profiles, tolerance = gas.gas_profiles(t.profiles), self.batch.first.tolerance_pct
+                found.append(quality.report_tolerance(gas.judged_sums(rows), profiles, tolerance, ids))
+            found.append(quality.report_unmapped_in_profiles(self.normalised_weights(), unmapped, t.species))
             if self.kind == VBS:
-                found.append(quality.report_ivoc_without_weights(t.vbs_ivoc_factors, self.raw(), ids))
+                weighed = rows.where(F.col("fate") != gas.NO_MASS)
+                found.append(quality.report_ivoc_without_weights(t.vbs_ivoc_factors, weighed, ids))
         return found
 
     def listed_toxics(self) -> DataFrame:
@@ -290,17 +318,29 @@ class PmPlan:
             return pm.pm_user_weights(t.profiles, t.user_profile_wts)
         return pm.pm_raw_weights(t.profiles, t.profile_weights)
 
-    def _filled(self) -> DataFrame:
-        return pm.fill_gaps(salted(self.raw(), "specie_id"), self.batch.tables.o2m_ratios)
+    def staged(self) -> Staged:
+        """Gap-filled weights of the run's selection, written by the first run that needs them."""
+        t = self.batch.tables
+
+        def write() -> Staged:
+            given = t.profile_weights if t.user_profile_wts is None else t.user_profile_wts
+            counts = {"negative": F.count_if(F.col("percent") < 0)}
+            return staged(given, self.raw(), lambda part: pm.fill_gaps(part, t.o2m_ratios), "pm_weights", counts)
+
+        given = [t.profiles, t.o2m_ratios, t.user_profile_wts, None if t.user_profile_wts is not None else t.profile_weights]
+        return self.batch.stages.get(("pm",), given, write)
 
     def gap_filled_weights(self) -> DataFrame:
-        return self._filled().drop("salt", "lowest")
+        return self.staged().rows().drop("lowest")
+
+    def _in_mechanism(self, part: DataFrame) -> DataFrame:
+        return pm.mechanism_weights(part, self.mechanism_rows())
 
     def mechanism_weights(self) -> DataFrame:
-        return pm.mechanism_weights(self._filled(), self.mechanism_rows())
+        return self.staged().each(self._in_mechanism)
 
     def base_fractions(self) -> DataFrame:
-        return pm.pm_fractions(self.mechanism_weights())
+        return self.staged().each(lambda part: pm.pm_fractions(self._in_mechanism(part)))
 
     def fractions(self) -> DataFrame:
         rows, t, run = self.base_fractions(), self.batch.tables, self.batch.first
@@ -324,8 +364,9 @@ class PmPlan:
             quality.check_pm_species(self.mechanism_rows(), t.species),
             quality.duplicate_keys(filled, ["profile_id", "specie_id"], "pm_duplicate_species"),
             quality.report_over_100(weights, self.profiles()),
-            quality.report_negative(weights, filled, self.profiles()),
         ]
+        if self.staged().counts["negative"]:
+            found.append(quality.report_negative(weights, filled, self.profiles()))
         if self.batch.first.kind == VBS:
             found.append(quality.check_svoc_cover(self.profiles(), t.vbs_svoc_factors, runs))
             found.append(quality.check_svoc_sums(t.vbs_svoc_factors, ids))
@@ -345,7 +386,19 @@ class Results:
     header: DataFrame | None
     volatility: DataFrame | None
     metadata: DataFrame | None
-    report: DataFrame | None
+    checks: DataFrame | None
+
+    @property
+    def report(self) -> DataFrame | None:
+        """Every finding of the input checks and of the check of the splits' key."""
+        if self.checks is None:
+            return None
+        return self.checks.unionByName(quality.duplicate_keys(self.splits, KEYS["gspro"], "duplicate_split"))
+
+    def written(self) -> "Results":
+        """The same results with splits and conversions written once, so that checks and sinks read what is there."""
+        parts = {name: getattr(self, name) for name in ("splits", "conversions")}
+        return replace(self, **{name: written(rows, name)[0] for name, rows in parts.items() if rows is not None})
 
     def gate(self) -> "Results":
         """Raise when input checks or the key of the splits are violated.
@@ -353,7 +406,7 @@ class Results:
         One job looks at all checks. The error names every violated check with
         its number of findings and the smallest of them; ``report`` has all.
         """
-        if self.report is None:
+        if self.checks is None:
             return self
         first = F.min(F.struct(*[c for c in quality.REPORT_COLUMNS if c != "check"])).alias("first")
         errors = self.report.where(F.col("severity") == quality.ERROR).groupBy("check")
@@ -390,7 +443,8 @@ def _batches(
             place, scenario.outputs, scenario.kind, scenario.model, scenario.tolerance_pct, camx_ae6,
         )
         groups.setdefault(key, []).append(scenario)
-    return [Batch(spark, tuple(g), tables[k[0]], case_insensitive, profiles_source) for k, g in groups.items()]
+    stages = Stages()
+    return [Batch(spark, tuple(g), tables[k[0]], case_insensitive, profiles_source, stages) for k, g in groups.items()]
 
 
 def _batch_results(batch: Batch, with_report: bool) -> Results:
@@ -419,12 +473,13 @@ def _batch_results(batch: Batch, with_report: bool) -> Results:
     splits = outputs.drop_unknown(splits, batch.flags)
     metadata = None
     if t.metadata is not None:
-        metadata = metadata_rows(t.metadata, batch.scenarios, batch.flags, profiles_source=batch.profiles_source)
-    if with_report:
-        checks.append(quality.duplicate_keys(splits, KEYS["gspro"], "duplicate_split"))
-    return Results(
-        batch.scenarios, splits, conversions, header, volatility, metadata, _union(checks)
-    )
+        metadata = metadata_rows(t.metadata, batch.runs, batch.flags, profiles_source=batch.profiles_source)
+    checks = _union(checks) if checks or not with_report else _no_findings(splits)
+    return Results(batch.scenarios, splits, conversions, header, volatility, metadata, checks)
+
+
+def _no_findings(splits: DataFrame) -> DataFrame:
+    return quality.finding(splits.where(F.lit(False)), quality.ERROR, "none", "")
 
 
 def run_scenarios(
@@ -435,7 +490,7 @@ def run_scenarios(
     case_insensitive_mechanism: bool = False,
     profiles_source: bool = False,
 ) -> Results:
-    """Plan any number of scenarios; names must differ.
+    """Write the weights that the scenarios need, and plan the rest; any number of scenarios, names must differ.
 
     The two last options deviate on request: mechanism descriptions are found
     in any case, and the header names the source of the profile weights.
@@ -455,7 +510,7 @@ def run_scenarios(
         _union(r.header for r in done),
         _union(r.volatility for r in done),
         _union(r.metadata for r in done),
-        _union(r.report for r in done),
+        _union(r.checks for r in done),
     )
 
 

@@ -7,13 +7,17 @@ gathered into one task or on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emisplit.errors import SpeciationError
-from emisplit.functions import double
+from emisplit.functions import double, inline_table
 from emisplit.plans.scenario import Scenario
 from emisplit.plans.speciation import Results
+from emisplit.staging import hadoop, moved, observed, subfolders
 
 #: Split factors below this are written in scientific notation (fixed value).
 SCIENTIFIC_BELOW = 0.0099
@@ -119,8 +123,9 @@ def gspro_lines(results: Results, prefix: str = "#") -> DataFrame:
 
 def _written(rows: DataFrame, scenarios: tuple[Scenario, ...]) -> DataFrame:
     """Rows of the scenarios whose settings ask for conversion output."""
-    ids = [s.run_name for s in scenarios if s.writes_conversions]
-    return rows.where(F.col("scenario_id").isin(*ids) if ids else F.lit(False))
+    asked = [(s.run_name,) for s in scenarios if s.writes_conversions]
+    listed = inline_table(rows.sparkSession, asked, "scenario_id string")
+    return rows.join(F.broadcast(listed), "scenario_id", "left_semi")
 
 
 def conversion_lines(conversions: DataFrame) -> DataFrame:
@@ -152,15 +157,62 @@ def assert_not_empty(rows: DataFrame, what: str) -> DataFrame:
     return rows
 
 
+def _roots(spark: SparkSession, path: str, targets: dict[str, str]) -> dict[str, list[str]]:
+    """Folder to stage in, and the scenarios whose target is elsewhere: one folder for each file system."""
+    system = lambda p: str(hadoop(spark, p)[1].getUri())
+    roots: dict[str, list[str]] = {path: []}
+    for scenario_id, target in targets.items():
+        root = next((r for r in roots if system(r) == system(target)), target)
+        roots.setdefault(root, []).append(scenario_id)
+    return roots
+
+
+class LineFiles:
+    """Ordered lines of many scenarios, written in one job and moved to their targets by ``commit``.
+
+    A scenario's lines are part files that give the file when read by name. Until ``commit`` no target changes;
+    a target takes the place of what was there.
+    """
+
+    def __init__(self, lines: DataFrame, path: str, targets: dict[str, str] | None = None):
+        self.spark, self.path, self.targets = lines.sparkSession, path, targets or {}
+        self.folders, self.data = [], 0
+        roots = _roots(self.spark, path, self.targets)
+        elsewhere = [(s,) for root, ids in roots.items() if root != path for s in ids]
+        for root, ids in roots.items():
+            # Usually all targets are in one file system and this is one job.
+            listed = elsewhere if root == path else [(s,) for s in ids]
+            mine = lines
+            if elsewhere:
+                names = F.broadcast(inline_table(self.spark, listed, "scenario_id string"))
+                mine = lines.join(names, "scenario_id", "left_anti" if root == path else "left_semi")
+            self._stage(mine, root)
+
+    def _stage(self, lines: DataFrame, root: str) -> None:
+        folder = f"{root.rstrip('/')}/../.staged-{uuid.uuid4().hex}"
+        ordered = lines.orderBy("scenario_id", *_ORDER)
+        # Counted above the sort, whose sampling reads what is below it twice.
+        ordered, seen = observed(ordered, {"data": F.count_if(F.col("section") == 2)})
+        ordered.select("scenario_id", "line").write.partitionBy("scenario_id").text(folder)
+        self.data += seen.get.get("data") or 0
+        self.folders.append(folder)
+
+    def commit(self) -> None:
+        for folder in self.folders:
+            for name in subfolders(self.spark, folder):
+                scenario_id = unquote(name.removeprefix("scenario_id="))
+                moved(self.spark, f"{folder}/{name}", self.targets.get(scenario_id, f"{self.path}/{name}"))
+        self.drop()
+
+    def drop(self) -> None:
+        for folder in self.folders:
+            where, system = hadoop(self.spark, folder)
+            system.delete(where, True)
+
+
 def write_lines(lines: DataFrame, path: str, targets: dict[str, str] | None = None) -> None:
     """One ordered directory per scenario: the one ``targets`` names for it, else one below ``path``."""
-    own = targets or {}
-    rest = lines.where(~F.col("scenario_id").isin(*own)) if own else lines
-    ordered = rest.orderBy("scenario_id", *_ORDER).select("scenario_id", "line")
-    ordered.write.mode("overwrite").partitionBy("scenario_id").text(path)
-    for scenario_id, target in own.items():
-        mine = lines.where(F.col("scenario_id") == scenario_id)
-        mine.orderBy(*_ORDER).select("line").write.mode("overwrite").text(target)
+    LineFiles(lines, path, targets).commit()
 
 
 def _targets(results: Results, setting: str) -> dict[str, str]:
@@ -168,24 +220,35 @@ def _targets(results: Results, setting: str) -> dict[str, str]:
 
 
 def write_outputs(results: Results, path: str, prefix: str = "#") -> None:
-    """All text files of a set of scenarios, after the gate has passed.
+    """All text files of a set of scenarios, after the gate has passed: all of them or none.
 
-    A scenario's SPLITS_OUT and CNV_OUT name its targets; without them its
+    Results are computed once and the files are written once, to a staging folder next to ``path``; when every kind
+    of file has data they are moved to their targets. A scenario's SPLITS_OUT and CNV_OUT name its targets; without them its
     files go to folders below ``path``.
     """
-    results.gate()
-    splits = assert_not_empty(gspro_lines(results, prefix), "split factors")
-    write_lines(splits, f"{path}/gspro", _targets(results, "splits_out"))
-    if not any(s.writes_conversions for s in results.scenarios):
-        return
-    conversions = gscnv_lines(results, prefix)
-    if conversions is None:
-        raise SpeciationError("no data to write: conversion factors")
-    assert_not_empty(conversions.where("section = 2"), "conversion factors")
-    write_lines(conversions, f"{path}/gscnv", _targets(results, "cnv_out"))
-    if results.volatility is not None:
-        classes = volatility_lines(_written(results.volatility, results.scenarios))
-        write_lines(assert_not_empty(classes, "volatility classes"), f"{path}/volatility")
+    results = results.written().gate()
+    kinds = [("split factors", gspro_lines(results, prefix), "gspro", "splits_out")]
+    if any(s.writes_conversions for s in results.scenarios):
+        conversions = gscnv_lines(results, prefix)
+        if conversions is None:
+            raise SpeciationError("no data to write: conversion factors")
+        kinds.append(("conversion factors", conversions, "gscnv", "cnv_out"))
+        if results.volatility is not None:
+            classes = volatility_lines(_written(results.volatility, results.scenarios))
+            kinds.append(("volatility classes", classes, "volatility", None))
+    staged: list[LineFiles] = []
+    try:
+        for what, lines, name, setting in kinds:
+            staged.append(LineFiles(lines, f"{path}/{name}", _targets(results, setting) if setting else None))
+            # Header lines count as data of the splits, as they are written to the file.
+            if not staged[-1].data and (name != "gspro" or lines.isEmpty()):
+                raise SpeciationError(f"no data to write: {what}")
+    except Exception:
+        for files in staged:
+            files.drop()
+        raise
+    for files in staged:
+        files.commit()
 
 
 def write_tables(results: Results, path: str) -> None:

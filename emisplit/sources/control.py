@@ -6,20 +6,12 @@ import os
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emisplit.plans.scenario import SETTINGS, Scenario
 from emisplit.plans.tables import Tables
-from emisplit.schemas import KEYS
-from emisplit.sources.files import (
-    assert_filled,
-    assert_unique,
-    read_primary,
-    read_process,
-    read_toxics,
-    read_user_weights,
-)
+from emisplit.sources.files import load_user_files
 
 
 def parse_control(lines: DataFrame) -> DataFrame:
@@ -50,6 +42,18 @@ def parse_control(lines: DataFrame) -> DataFrame:
     )
 
 
+def scenario_table(runs: DataFrame) -> DataFrame:
+    """The scenario table of parsed control lines, an empty setting being none."""
+
+    def setting(name: str) -> Column:
+        return F.when(F.col(name) != "", F.col(name))
+
+    upper = {"mechanism": "MECH_BASIS", "aqm": "AQM", "kind": "RUN_TYPE", "outputs": "OUTPUT"}
+    columns = [F.upper(setting(name)).alias(column) for column, name in upper.items()]
+    columns += [setting(name).alias(name.lower()) for name in ("OUTPUT", "PRO_FILE", "PROC_FILE")]
+    return runs.select(F.col("run_name").alias("scenario_id"), *columns)
+
+
 def scenarios_from(runs: DataFrame) -> list[Scenario]:
     """Scenario objects of a run table; one small row per requested run."""
     return [
@@ -71,18 +75,14 @@ def read_scenarios(spark: SparkSession, paths: Mapping[str, str]) -> list[Scenar
 
 def with_user_files(spark: SparkSession, scenario: Scenario, tables: Tables) -> Tables:
     """The tables of a run, with the user files its settings name."""
-    readers = {
-        "toxics": (scenario.tox_file, read_toxics),
-        "gas_process": (scenario.proc_file, read_process),
-        "primary": (scenario.primary_file, read_primary),
-        "user_profile_wts": (scenario.pro_file, read_user_weights),
+    named = {
+        "toxics": scenario.tox_file,
+        "gas_process": scenario.proc_file,
+        "primary": scenario.primary_file,
+        "user_profile_wts": scenario.pro_file,
     }
-    found = {}
-    for table, (path, reader) in readers.items():
-        if path:
-            rows = assert_filled(reader(spark, path), table)
-            found[table] = assert_unique(rows, KEYS[table], table) if table in KEYS else rows
-    return tables.with_(**found) if found else tables
+    paths = {table: path for table, path in named.items() if path}
+    return tables.with_(**load_user_files(spark, paths)) if paths else tables
 
 
 def scenario_from_environment(run_name: str, environ: Mapping[str, str] | None = None) -> Scenario:

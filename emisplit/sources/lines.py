@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,6 +71,66 @@ def parse_invtable(lines: DataFrame) -> DataFrame:
     )
 
 
+#: What ``judged_lines`` keeps of a line besides its fields.
+PLACE = ("file", "block", "mark")
+
+
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """File lines with their place: the file, the byte its block starts at, and a number that grows within a block."""
+    return lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("mark"),
+    )
+
+
+def judged_lines(lines: DataFrame, table: str, *, plain: bool = False) -> DataFrame:
+    """The fields of ``table``, ``problem`` (NULL for a good line), and the other columns of ``lines``.
+
+    ``plain`` lines are split at commas and have no quoting or comments. A bad line has a problem for a wrong number of fields or else for each field that is
+    no value of its type; an empty text is a value of text columns only.
+    """
+    fields = schema(table).fields
+    others = [F.col(c) for c in lines.columns]
+    if table == "invtable":
+        starts = accumulate(INVTABLE_WIDTHS, initial=1)
+        texts = [F.regexp_replace(F.substring("value", s, w), r"^\s+|\s+$", "") for s, w in zip(starts, INVTABLE_WIDTHS)]
+        rows, wrong = _without_comments(lines).select(*others, F.array(*texts).alias("texts")), F.lit(False)
+    elif plain:
+        rows = lines.select(*others, F.split("value", ",").alias("texts"))
+        wrong = F.size("texts") != len(fields)
+    else:
+        ddl = ", ".join(f"`{f.name}` string" for f in fields) + ", `bad line` string"
+        options = {"mode": "PERMISSIVE", "escape": '"', "nullValue": "\u0001", "columnNameOfCorruptRecord": "bad line"}
+        parsed = _without_comments(lines).select(*others, F.from_csv("value", ddl, options).alias("row"))
+        rows = parsed.select(*others, F.array(*[F.col("row")[f.name] for f in fields]).alias("texts"), F.col("row")["bad line"].alias("bad line"))
+        wrong = F.col("`bad line`").isNotNull()
+    rows = rows.withColumn("wrong", wrong)
+    named, problems = [], [F.when(F.col("wrong"), f"expected {len(fields)} fields")]
+    for i, f in enumerate(fields):
+        bare = F.coalesce(F.regexp_replace(F.get("texts", F.lit(i)), '"', ""), F.lit(""))
+        if isinstance(f.dataType, T.StringType):
+            named.append(bare.alias(f.name))
+            continue
+        value = F.trim(bare).try_cast(f.dataType)
+        named.append(value.alias(f.name))
+        kind = f"{f.name} is no {f.dataType.simpleString()}: "
+        problems.append(F.when(~F.col("wrong") & value.isNull(), F.concat(F.lit(kind), bare)))
+    problem = F.concat_ws("; ", *problems)
+    return rows.select(*named, F.when(problem != "", problem).alias("problem"), *others)
+
+
+def line_numbers(found: DataFrame, lines: DataFrame) -> DataFrame:
+    """``found`` rows of ``numbered_lines`` with ``line``, their number in their file from 1 on."""
+    blocks = lines.groupBy("file", "block").agg(F.min("mark").alias("first"), F.count("*").alias("many"))
+    # One row per block of a file, which has many lines.
+    so_far = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = blocks.select("file", "block", "first", F.coalesce(F.sum("many").over(so_far), F.lit(0)).alias("before"))
+    line = F.col("before") + F.col("mark") - F.col("first") + 1
+    return found.join(before, ["file", "block"]).withColumn("line", line).drop("block", "mark", "first", "before")
+
+
 def parse_process_modes(lines: DataFrame) -> DataFrame:
     """Profile and process mode pairs of a ``;`` separated cross-reference.
 

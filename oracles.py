@@ -509,6 +509,20 @@ def _fraction_rows(scenario: str, table: str) -> str:
        {_real("f10", 10)} AS split_factor, CAST(1 AS DOUBLE) AS divisor, {_real("f10", 10)} AS mass_fraction FROM {table}"""
 
 
+# ---------------------------------------------------------------- scenario table
+
+_RUNS = """runs AS (
+  SELECT *, coalesce(output LIKE '%VOC%', true) AS gas, coalesce(output LIKE '%PM%', false) AS pm FROM (
+    SELECT c_name,
+           CASE c_custkey % 4 WHEN 1 THEN 'M_A' WHEN 2 THEN 'AE6' WHEN 3 THEN 'M_B' END AS mech,
+           CASE c_nationkey % 6 WHEN 1 THEN 'CRITERIA' WHEN 2 THEN 'VBS' WHEN 3 THEN 'HAPLIST' WHEN 4 THEN 'INTEGRATE'
+                WHEN 5 THEN 'NOINTEGRATE' END AS kind,
+           CASE c_custkey % 5 WHEN 1 THEN 'CMAQ' WHEN 2 THEN 'CMAQ' WHEN 3 THEN 'CAMX' WHEN 4 THEN 'CAMX' END AS aqm,
+           CASE c_nationkey % 5 WHEN 1 THEN 'VOC' WHEN 2 THEN 'PM' WHEN 3 THEN 'STATIC' WHEN 4 THEN 'VOC+PM' END AS output,
+           CASE WHEN c_custkey % 7 = 0 THEN 'own.csv' END AS pro,
+           CASE WHEN c_custkey % 11 = 0 THEN 'modes.csv' END AS proc
+    FROM customer))"""
+
 # ---------------------------------------------------------------- statements
 
 _TABLES = _with(PROFILES, SPECIES, GAS_WEIGHTS, MECHANISM, INVENTORY, IVOC, GAS_RAW)
@@ -621,6 +635,67 @@ FROM lineitem GROUP BY l_orderkey, l_partkey HAVING count(*) > 1"""
 SELECT c_name AS run_name, 'M_' || upper(substr(c_mktsegment, 1, 1)) AS mechanism, 'CRITERIA' AS run_type,
        'CMAQ' AS aqm, CAST(c_nationkey AS VARCHAR) AS tolerance FROM customer"""
 
+    sql["loaded_weights"] = sql["csv_weights"]
+    sql["load_report"] = _with(GAS_WEIGHTS) + """,
+given AS (
+  SELECT profile_id, specie_id, percent, CAST(profile_id AS BIGINT) AS o FROM gas_weights)
+SELECT 'profile_weights' AS "table", true AS has_line, 'expected 7 fields' AS problem,
+       profile_id || ',' || specie_id || ',' || percent AS text FROM given, range(CASE WHEN o % 60 = 3 THEN 3 ELSE 1 END)
+WHERE o % 75 = 2
+UNION ALL
+SELECT 'profile_weights', true, 'percent is no decimal(12,6): x' || percent,
+       profile_id || ',' || specie_id || ',x' || percent || ',0.5,,,' FROM given WHERE o % 75 <> 2 AND o % 50 = 1
+UNION ALL
+SELECT 'profile_weights', false, '3 rows with one key', profile_id || ',' || specie_id FROM given
+WHERE o % 75 <> 2 AND o % 50 <> 1 AND o % 60 = 3"""
+    sql["metadata_sources"] = """
+SELECT CAST(page_id AS VARCHAR) AS keyword, regexp_replace(url, '^[^/]*/', '') AS dataval FROM pages"""
+    sql["required_settings"] = f"""
+WITH {_RUNS}
+SELECT c_name AS scenario_id, 'AQM' AS setting FROM runs WHERE aqm IS NULL
+UNION ALL SELECT c_name, 'MECH_BASIS' FROM runs WHERE mech IS NULL AND coalesce(output, 'VOC') IN ('VOC', 'PM')
+UNION ALL SELECT c_name, 'RUN_TYPE' FROM runs WHERE kind IS NULL AND coalesce(output, 'VOC') = 'VOC'"""
+    sql["pm_run_types"] = f"""
+WITH {_RUNS}
+SELECT c_name AS scenario_id, kind FROM runs
+WHERE output LIKE '%PM%' AND coalesce(kind, '') NOT IN ('CRITERIA', 'VBS')"""
+    sql["header_rows"] = f"""
+WITH {_RUNS},
+header AS (
+  SELECT * FROM (VALUES ('AQM', NULL), ('MECH', NULL), ('RUN_TYPE', NULL), ('PROCESS', NULL), ('INVTABLE', 'part.parquet'),
+    ('PROFILES', 'lineitem.parquet'), ('CARBONS', 'part.parquet'), ('STATIC', 'nation.parquet'), ('GAS_PROFILES', 'gas.csv'),
+    ('PM_PROFILES', 'pm.csv'), ('CAMX_FCRS', 'fcrs.lst'), ('VBS_IVOC_FACTORS', 'ivoc.csv'), ('VBS_SVOC_FACTORS', 'svoc.csv')
+  ) v(keyword, source)),
+-- As the settings are worked through one after the other, the last rule that applies wins.
+said AS (
+  SELECT c_name, keyword, 'Not Applicable' AS dataval, 0 AS step FROM runs, header
+  UNION ALL SELECT c_name, 'AQM', aqm, 1 FROM runs
+  UNION ALL SELECT c_name, 'MECH', mech, 1 FROM runs
+  UNION ALL SELECT c_name, keyword, source, 1 FROM runs, header WHERE keyword = 'INVTABLE'
+  UNION ALL SELECT c_name, 'RUN_TYPE', kind, 1 FROM runs WHERE gas
+  UNION ALL SELECT c_name, keyword, coalesce(pro, source), 1 FROM runs, header
+    WHERE keyword = 'GAS_PROFILES' AND gas AND coalesce(kind, '') <> 'HAPLIST'
+  UNION ALL SELECT c_name, keyword, source, 1 FROM runs, header WHERE keyword = 'CARBONS' AND gas
+  UNION ALL SELECT c_name, keyword, source, 1 FROM runs, header WHERE keyword = 'VBS_IVOC_FACTORS' AND gas AND kind = 'VBS'
+  UNION ALL SELECT c_name, 'RUN_TYPE', coalesce(kind, 'CRITERIA'), 2 FROM runs WHERE pm
+  UNION ALL SELECT c_name, keyword, source, 1 FROM runs, header WHERE keyword = 'PM_PROFILES' AND pm
+  UNION ALL SELECT c_name, keyword, source, 1 FROM runs, header WHERE keyword = 'CAMX_FCRS' AND pm AND mech = 'AE6' AND aqm = 'CAMX'
+  UNION ALL SELECT c_name, keyword, source, 1 FROM runs, header WHERE keyword = 'VBS_SVOC_FACTORS' AND pm AND kind = 'VBS'
+  UNION ALL SELECT c_name, keyword, source, 1 FROM runs, header WHERE keyword = 'STATIC' AND output LIKE '%STATIC%'
+  UNION ALL SELECT c_name, 'PROCESS', proc, 1 FROM runs WHERE gas AND proc IS NOT NULL)
+SELECT c_name AS scenario_id, keyword, arg_max(struct_pack(v := dataval), step).v AS dataval FROM said GROUP BY c_name, keyword
+UNION ALL
+SELECT c_name, 'NOTE', 'PM CAMx CF carries additional POC compound for model performance evaluation' FROM runs
+WHERE pm AND mech = 'AE6' AND aqm = 'CAMX'
+UNION ALL
+SELECT c_name, 'NOTE', 'unknown species are not written' FROM runs WHERE mech = 'M_B'"""
+    sql["quality_pm_mechanism"] = """
+SELECT p_brand AS scenario_id, count(*) FILTER (WHERE p_partkey % 7 = 0 AND p_size < 5) AS computed
+FROM part GROUP BY p_brand HAVING count(*) FILTER (WHERE p_partkey % 7 = 0 AND p_size < 5) <> 1"""
+    sql["empty_outputs"] = """
+SELECT CAST(n_nationkey AS VARCHAR) AS scenario_id FROM nation
+WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal < 0)"""
+
     sql["quality_tolerance"] = _TABLES + """
 SELECT s.profile_id, CAST(s.sum8 AS DOUBLE) / 1e8 AS sum_pct, substr(p.profile_name, 1, 50) AS profile_name
 FROM gas_sums s JOIN profiles p USING (profile_id) WHERE s.sum8 NOT BETWEEN 9500000000 AND 10500000000"""
@@ -693,6 +768,7 @@ UNION ALL
 SELECT 'integrate', 2, printf('%-20s %-20s %-20s %12.8f ', 'NONHAPVOC', 'NONHAPTOG', profile_id,
        CAST(coalesce(c.factor10, 0) AS DOUBLE) / 1e10)
 FROM (SELECT DISTINCT profile_id FROM gas_norm) g LEFT JOIN cnv c USING (profile_id)"""
+    sql["gspro_files"] = f"SELECT scenario_id, line FROM ({sql['gspro_lines']})"
     sql["volatility_lines"] = (
         f"SELECT specie_id || chr(9) || specie_name || chr(9) || voc_class AS line FROM ({sql['volatility_class']})"
     )

@@ -23,13 +23,14 @@ def test_inline_table_keeps_types(spark):
     assert inline_table(spark, [], "a string").count() == 0
 
 
-@pytest.mark.parametrize("salts", [1, 2, 4096])
+@pytest.mark.parametrize("salts", [None, 1, 2, 4096])
 def test_totals_agree_at_any_number_of_shares(table, salts, monkeypatch):
-    """Repeated rows, a NULL key, NULL values and groups without a value included."""
+    """Repeated rows, a NULL key, NULL values and groups without a value included; None is a window over the group."""
     monkeypatch.setattr(grouping, "SALTS", salts)
+    cut = lambda rows: salted(rows, "v") if salts else rows
     data = [("a", i % 4) for i in range(9)] + [("b", 7), ("c", 1), ("c", 2), (None, 5), (None, 6), ("d", None)]
     rows = table(data, "k string, v int")
-    got = totals(salted(rows, "v"), ["k"], total=(F.sum, F.col("v")), low=(F.min, F.col("v")), top=(F.max, F.struct("v")))
+    got = totals(cut(rows), ["k"], total=(F.sum, F.col("v")), low=(F.min, F.col("v")), top=(F.max, F.struct("v")))
     again = totals(got.withColumn("w", F.col("v") * F.col("total")), ["k"], again=(F.sum, F.col("w")))
     want = []
     for key, value in data:
@@ -38,7 +39,7 @@ def test_totals_agree_at_any_number_of_shares(table, salts, monkeypatch):
         want.append((key, value, total, min(group, default=None), total * total if group else None))
     rows = [tuple(r) for r in again.select("k", "v", "total", "low", "again").collect()]
     assert sorted(rows, key=str) == sorted(want, key=str)
-    assert totals(salted(table([], "k string, v int"), "v"), ["k"], n=(F.sum, F.col("v"))).count() == 0
+    assert totals(cut(table([], "k string, v int")), ["k"], n=(F.sum, F.col("v"))).count() == 0
 
 
 def test_totals_keep_the_decimal_type(table):

@@ -234,8 +234,9 @@ def test_conversion_factors_and_modes(spark, tables, table):
 
 
 @pytest.mark.parametrize("kind", ["CRITERIA", "INTEGRATE", "VBS"])
-@pytest.mark.parametrize("salts", [1, 2])
-def test_any_split_of_profiles_gives_the_same_result(spark, tables, toxics, table, kind, salts, monkeypatch):
+@pytest.mark.parametrize("whole, salts", [(0, 1), (0, 2), (2, 2)])
+def test_any_split_of_profiles_gives_the_same_result(spark, tables, toxics, table, kind, whole, salts, monkeypatch):
+    """All profiles in shares, or only those of more than two rows."""
     extra = tables.with_(
         toxics=toxics,
         vbs_ivoc_factors=table(
@@ -247,7 +248,10 @@ def test_any_split_of_profiles_gives_the_same_result(spark, tables, toxics, tabl
     columns = ("profile_id", "eminv_poll", "aqm_poll", "split_factor", "divisor")
     want = values(plan(spark, extra, kind).splits(), *columns)
     monkeypatch.setattr(grouping, "SALTS", salts)
-    assert want and values(plan(spark, extra, kind).splits(), *columns) == want
+    monkeypatch.setattr(grouping, "WHOLE", whole)
+    cut = plan(spark, extra, kind)
+    assert cut.staged().shares.count() and bool(cut.staged().whole.count()) == bool(whole)
+    assert want and values(cut.splits(), *columns) == want
 
 
 def test_scenarios_share_a_batch(spark, tables):

@@ -4,7 +4,7 @@ from dataclasses import replace
 import pytest
 
 from conftest import values
-from emisplit import Scenario, SpeciationError, Tables, bridge
+from emisplit import Scenario, SpeciationError, Tables, bridge, staging
 from emisplit.operators import mechanism, outputs
 from emisplit.operators.volatility import volatility_class
 from emisplit.plans.speciation import Batch, run_scenarios, speciate
@@ -126,6 +126,36 @@ def test_text_files_of_a_run(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "tables" / "splits")).count() == len(body)
 
 
+def test_targets_change_together_or_not_at_all(spark, table, tmp_path):
+    rows = [(s, f"{i:04d}", "TOG", "PAR", 0.5, 14.5, 0.5) for s in ("a", "b:1", "c") for i in range(5)]
+    lines = text.split_lines(table(rows, SPLITS)).select(text._LINE_COLUMNS)
+    out, own = str(tmp_path / "gspro"), str(tmp_path / "own" / "b")
+    os.makedirs(own)
+    (tmp_path / "own" / "b" / "old").write_text("old")
+
+    def seen():
+        return {os.path.relpath(d, tmp_path): sorted(f for f in files if not f.startswith((".", "_"))) for d, _, files in os.walk(tmp_path) if files}
+
+    written = text.LineFiles(lines, out, {"b:1": own})
+    assert written.data == 15 and seen()["own/b"] == ["old"] and not os.path.exists(out)
+    written.commit()
+    after = seen()
+    assert set(after) == {"own/b", "gspro/scenario_id=a", "gspro/scenario_id=c"} and "old" not in after["own/b"]
+    assert sum(len(open(tmp_path / "own/b" / f).read().splitlines()) for f in after["own/b"]) == 5
+    dropped = text.LineFiles(lines, out)
+    dropped.drop()
+    assert seen() == after
+
+
+def test_a_run_without_conversions_leaves_no_file(spark, tmp_path):
+    tables = bridge.gas_tables(spark, SF)
+    tables = tables.with_(profile_weights=tables.profile_weights.where("false"), metadata=bridge.metadata(spark))
+    results = speciate(spark, Scenario("run", mech_basis="M_A", run_type="CRITERIA", aqm="CMAQ", output="VOC"), tables)
+    with pytest.raises(SpeciationError, match="conversion factors"):
+        text.write_outputs(results, str(tmp_path / "out"))
+    assert [f for _, _, files in os.walk(tmp_path) for f in files if not f.startswith(".")] == []
+
+
 def test_pm_metadata(spark, table):
     meta = table(
         [("AQM", "Not Applicable"), ("RUN_TYPE", "x"), ("CAMX_FCRS", "fcrs.lst"), ("STATIC", "static.csv")],
@@ -134,7 +164,8 @@ def test_pm_metadata(spark, table):
     from emisplit.plans.metadata import metadata_rows
 
     run = Scenario("r", mech_basis="AE6", run_type="CRITERIA", aqm="CAMx", output="PM")
-    rows = metadata_rows(meta, (run,), Batch(spark, (run,), Tables()).flags)
+    batch = Batch(spark, (run,), Tables())
+    rows = metadata_rows(meta, batch.runs, batch.flags)
     got = dict(values(rows, "keyword", "dataval"))
     assert got["AQM"] == "CAMX" and got["CAMX_FCRS"] == "fcrs.lst" and got["STATIC"] == "Not Applicable"
     assert got["NOTE"].startswith("PM CAMx CF")
@@ -151,18 +182,43 @@ def test_conversion_files_depend_on_output():
     assert not Scenario("a", output="VOC", run_type="haplist").writes_conversions
 
 
-def test_planning_starts_no_job(spark):
-    runs = [
-        (Scenario(kind, mech_basis="M_A", run_type=kind, aqm="CMAQ", output="VOC"), bridge.gas_tables(spark, SF))
-        for kind in ("CRITERIA", "VBS")
-    ]
-    pm = Scenario("pm", mech_basis="AE6", run_type="CRITERIA", aqm="CMAQ", output="PM")
-    spark.sparkContext.setJobGroup("planning", "")
-    try:
-        run_scenarios(spark, [*runs, (pm, bridge.pm_tables(spark, SF))])
-        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
-    finally:
-        spark.sparkContext.setJobGroup("tests", "")
+def test_weights_are_written_once_and_nothing_else_runs(spark):
+    """Two jobs' worth of staging (sizes, weights) for gas and for particulates, whatever the number of runs."""
+    gas = bridge.gas_tables(spark, SF)
+    integrated = gas.with_(toxics=bridge.toxics(spark, SF))
+    kinds = ["CRITERIA", "VBS", "NOINTEGRATE", "INTEGRATE"]
+    runs = [(Scenario(kind, mech_basis="M_A", run_type=kind, aqm="CMAQ", output="VOC"), integrated if "INT" in kind else gas) for kind in kinds]
+    pm = [(Scenario(f"pm{i}", mech_basis=m, run_type="CRITERIA", aqm="CMAQ", output="PM"), bridge.pm_tables(spark, SF)) for i, m in enumerate(("AE6", "AE8"))]
+    made = []
+    real = staging.staged
+
+    def counting(*args, **kwargs):
+        made.append(args[3])
+        return real(*args, **kwargs)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("emisplit.plans.speciation.staged", counting)
+        results = run_scenarios(spark, [*runs, *pm], with_report=False)
+        assert made == ["gas_weights", "pm_weights"]
+        spark.sparkContext.setJobGroup("planning", "")
+        try:
+            assert results.splits and results.conversions
+            assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+        finally:
+            spark.sparkContext.setJobGroup("tests", "")
+    assert results.summary().count() == 6
+
+
+def test_many_runs_have_the_plan_of_few(spark):
+    def nodes(n):
+        tables = bridge.gas_tables(spark, SF).with_(metadata=bridge.metadata(spark))
+        runs = [(Scenario(f"run{i}", mech_basis="M_A", run_type="CRITERIA", aqm="CMAQ", output="VOC"), tables) for i in range(n)]
+        results = run_scenarios(spark, runs)
+        tables = (results.splits, results.conversions, results.metadata, results.report, text.gscnv_lines(results))
+        plans = [t._jdf.queryExecution().optimizedPlan() for t in tables]
+        return [p.treeString().count("\n") for p in plans], [p.expressions().size() for p in plans]
+
+    assert nodes(3) == nodes(300)
 
 
 def test_equal_tables_share_a_plan(spark):

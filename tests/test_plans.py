@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from emisplit.functions import salted, splittable, totals
+from emisplit.functions import grouping, salted, splittable, totals
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,7 +23,7 @@ def test_no_products_and_no_python(spark, name):
 
 
 def test_scan_reads_what_it_needs(spark):
-    plan = _plan(contract.queries()["pm_fractions"](spark, SF))
+    plan = _plan(contract.queries()["csv_weights"](spark, SF))
     lineitem = [s for s in re.findall(r"ReadSchema: (\S+)", plan) if "l_" in s]
     assert lineitem and all("l_suppkey" not in s and "l_discount" not in s for s in lineitem)
 
@@ -42,26 +42,49 @@ def static_plans(spark):
 CHAINS = ["gas_model_species", "gas_split_factors", "gas_vbs_splits", "pm_gap_filled_weights", "pm_fractions"]
 
 
-@pytest.mark.parametrize("name", [*CHAINS, "pm_vbs_fractions", "pm_camx_vbs_fractions", "gas_voc_to_tog_modes"])
-def test_one_chain_reads_the_weights_once(spark, static_plans, name):
-    """However many totals a chain has, its input is in the plan once."""
+def _shuffles(plan):
+    return [re.sub(r"#\d+L?", "", keys) for keys in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)]
+
+
+@pytest.mark.parametrize("name", [*CHAINS, "pm_vbs_fractions", "pm_camx_vbs_fractions", "gas_voc_to_tog_modes", "run_report", "gas_integrate_splits"])
+def test_outputs_start_from_written_weights(spark, static_plans, name):
+    """No output or report reads the source of the weights again."""
     plan = _plan(contract.queries()[name](spark, SF))
-    assert len([s for s in re.findall(r"ReadSchema: (\S+)", plan) if "l_orderkey" in s]) == 1
+    assert not [s for s in re.findall(r"ReadSchema: (\S+)", plan) if "l_orderkey" in s]
 
 
-@pytest.mark.parametrize("name", CHAINS)
-def test_no_window_needs_a_whole_profile(spark, static_plans, name):
-    """Totals are taken over shares of a profile and their leaders only."""
+@pytest.mark.parametrize("name", [*CHAINS, "gas_integrate_splits"])
+def test_weights_are_not_shuffled_by_profile(spark, static_plans, name):
+    """Totals per profile, and per profile and model species, work in the buckets the weights are written in."""
+    plan = _plan(contract.queries()[name](spark, SF))
+    shuffles = _shuffles(plan)
+    # The factors of the volatility basis set are brought to the weights.
+    assert shuffles.count("profile_id") <= (name == "gas_vbs_splits")
+    # Rows that were shuffled by species go back once, and model species of a scenario once more.
+    after = [k for k in shuffles if "profile_id" in k and k != "profile_id"]
+    assert len(after) <= 2
+    if name != "gas_integrate_splits":
+        assert len(re.findall(r"\bExchange\b", plan)) <= 10
+
+
+@pytest.mark.parametrize("name", ["gas_split_factors", "pm_fractions"])
+def test_a_large_profile_is_cut_into_shares(spark, static_plans, name, monkeypatch):
+    """With every profile large, no window takes one whole."""
+    monkeypatch.setattr(grouping, "WHOLE", 0)
     plan = _plan(contract.queries()[name](spark, SF))
     groups = [
         re.sub(r"#\d+", "", keys)
         for keys in re.findall(r"Window \[.*?windowspecdefinition\((.*?#\d+(?:, \w+#\d+)*)[ ,]", plan)
-        if "profile_id" in keys or "l_orderkey" in keys
+        if "profile_id" in keys
     ]
-    assert len(groups) >= 6
-    # The identity rows' window is over one row per model species.
-    shared = [g for g in groups if not re.match(r"profile_id, scenario_id(, aqm_poll)?$", g)]
-    assert shared and all("salt" in g or "place" in g for g in shared)
+    assert any("salt" in g for g in groups) and any("place" in g for g in groups)
+
+
+def test_sizes_of_profiles_are_combined_before_the_shuffle(spark):
+    rows = spark.range(0, 1000).selectExpr("cast(id % 3 as string) as profile_id", "id")
+    sizes = rows.groupBy("profile_id").count()
+    plan = _plan(sizes)
+    assert plan.count("HashAggregate") == 2
 
 
 @pytest.fixture

@@ -185,11 +185,14 @@ def test_existing_derived_species_stop_the_run(spark, table):
         speciate(spark, run, tables).gate()
 
 
-@pytest.mark.parametrize("salts", [1, 2])
-def test_any_split_of_profiles_gives_the_same_result(spark, table, salts, monkeypatch):
+@pytest.mark.parametrize("whole, salts", [(0, 1), (0, 2), (2, 2)])
+def test_any_split_of_profiles_gives_the_same_result(spark, table, whole, salts, monkeypatch):
     rows = [("a", "626", 50), ("a", "797", 60), ("a", "700", 1), ("a", "669", 2), ("b", "797", 10), ("b", "2847", 7)]
     tables = _tables(spark, table, rows)
     columns = ("profile_id", "aqm_poll", "fraction")
     want = values(_plan(spark, tables).fractions(), *columns)
     monkeypatch.setattr(grouping, "SALTS", salts)
-    assert want and values(_plan(spark, tables).fractions(), *columns) == want
+    monkeypatch.setattr(grouping, "WHOLE", whole)
+    cut = _plan(spark, tables)
+    assert cut.staged().shares.count() and bool(cut.staged().whole.count()) == bool(whole)
+    assert want and values(cut.fractions(), *columns) == want

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from conftest import values
 from emisplit.errors import SpeciationError
+from emisplit.operators import quality
 from emisplit.sources import control, files, lines
 from emisplit.plans.scenario import Scenario
 from emisplit.plans.tables import Tables
@@ -64,6 +65,73 @@ def test_unique_ignores_null_key_parts(table):
     assert files.assert_unique(rows, ["a", "b"]) is rows
 
 
+def test_all_duplicates_are_counted_and_reported(table):
+    rows = table([(f"{i // 2:02d}",) for i in range(60)] + [("x",)], "a string")
+    with pytest.raises(SpeciationError) as raised:
+        files.assert_unique(rows, ["a"], "t")
+    assert raised.value.rows[0]["findings"] == 30 and raised.value.rows[0]["a"] == "00"
+    assert raised.value.report.count() == 30
+
+
+def test_a_bad_last_line_leaves_no_table_and_a_report_of_all(spark, tmp_path):
+    carbons = _write(tmp_path / "c.csv", "# head\nM,A,1\nM,B,x\nM,C,2\n" + "".join(f"M,D{i},3\n" for i in range(5000)) + "M,E\n")
+    species = _write(tmp_path / "camx.csv", "1\n2\n1\n")
+    paths = {"carbons": carbons, "camx_fcrs": species, "o2m_ratios": _write(tmp_path / "o.csv", "1,Ag,0.5\n")}
+    folder = tmp_path / "loaded"
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        with pytest.raises(SpeciationError, match="nothing loaded") as raised:
+            files.load(spark, paths, folder=str(folder))
+        found = sorted(tuple(r) for r in raised.value.report.fillna(-1).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == [
+        ("camx_fcrs", -1, "2 rows with one key", "1"),
+        ("carbons", 3, "num_carbons is no decimal(5,2): x", "M,B,x"),
+        ("carbons", 5005, "expected 3 fields", "M,E"),
+    ]
+    assert not folder.exists()
+    assert {r["table"]: r["findings"] for r in raised.value.rows} == {"carbons": 2, "camx_fcrs": 1}
+    _write(tmp_path / "c.csv", "M,A,1\n")
+    _write(tmp_path / "camx.csv", "1\n2\n")
+    loaded = files.load(spark, paths, folder=str(folder))
+    assert sorted(p.name for p in folder.iterdir()) == ["camx_fcrs", "carbons", "o2m_ratios"]
+    assert values(loaded["carbons"], "aqm_poll", "num_carbons") == [("A", 1.0)]
+    assert spark.read.parquet(str(folder / "camx_fcrs")).count() == 2
+
+
+def test_key_check_of_a_loaded_table_needs_no_shuffle(spark, tmp_path):
+    carbons = _write(tmp_path / "c.csv", "M,A,1\nM,B,2\n")
+    loaded = files.load(spark, {"carbons": carbons})["carbons"]
+    plan = files.duplicates(loaded, ["mechanism", "aqm_poll"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SelectedBucketsCount" in plan
+
+
+@pytest.mark.parametrize("text", ["695,Ag", "695,Ag,0.1,more", "695,Ag,", "695,Ag,x", '"695,Ag,0.1'])
+def test_judged_lines_agree_with_the_strict_parser(spark, text):
+    given = spark.createDataFrame([(text,), ("# comment",), (' "7" ,"A, b", 0.5',)], "value string")
+    judged = {r["value"]: r for r in lines.judged_lines(given, "o2m_ratios").collect()}
+    assert judged[text]["problem"] and len(judged) == 2
+    with pytest.raises(Exception):
+        lines.parse_csv(given.where(F.col("value") == text), "o2m_ratios").collect()
+    good = given.where(F.col("value").startswith(" "))
+    strict = lines.parse_csv(good, "o2m_ratios")
+    assert lines.judged_lines(good, "o2m_ratios").select(strict.columns).collect() == strict.collect()
+
+
+def test_scenario_table_and_its_checks(spark):
+    text = ["AQM,CMAQ", "OUTPUT,PM", "run_type,haplist"]
+    rows = spark.createDataFrame([("r1", t) for t in text] + [("r2", "OUTPUT,voc"), ("r2", "AQM, "), ("r3", "AQM,x")], "run_name string, value string")
+    runs = control.scenario_table(control.parse_control(rows))
+    assert values(quality.missing_settings(runs), "scenario_id", "setting") == [
+        ("r1", "MECH_BASIS"), ("r2", "AQM"), ("r3", "MECH_BASIS"), ("r3", "RUN_TYPE"),
+    ]
+    assert values(quality.unsupported_pm_runs(runs), "scenario_id", "kind") == [("r1", "HAPLIST")]
+    assert [r["check"] for r in quality.check_pm_run_type(runs).collect()] == ["pm_run_type"]
+    assert quality.check_required(runs).count() == 4
+    assert values(quality.empty_outputs(runs, runs.where("scenario_id = 'r2'")), "scenario_id") == [("r1",), ("r3",)]
+
+
 def test_plain_split_has_no_quoting(spark, tmp_path):
     rows = files.read_primary(spark, _write(tmp_path / "p.csv", '"BENZENE",BENZ_PRI, 0.5,Y\n#X,Y,1,N\n'))
     assert values(rows, "aqminv_poll", "aqm_add", "split_factor", "writeflag") == [
