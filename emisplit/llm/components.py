@@ -75,7 +75,8 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
     if small:
         moved = moved.unionByName(low.select(F.col("u").alias("x"), F.col("low").alias("y")))
     moved = moved.where("x != y")
-    return contract(moved.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")))
+    # What several tasks would say again goes before they contract: each gives no more edges than it has.
+    return contract(moved.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
 
 
 def _is_forest(edges: DataFrame) -> bool:
@@ -104,7 +105,7 @@ def components(edges: DataFrame) -> DataFrame:
     shared folder; rounds end when only stars are left, after about the
     logarithm of the longest path of contracted edges. Loops and repeated edges don't matter.
     """
-    now = stored(contract(edges.where("a != b")), "edges")
+    now = stored(contract(edges.where("a != b")).distinct(), "edges")
     while not _is_forest(now):
         after = stored(_star(_star(now, small=False), small=True), "edges")
         forget(now)
