@@ -36,11 +36,14 @@ _FOUND_ARROW = pa.schema([("query", pa.int64()), ("code", pa.int64()), ("distanc
 
 
 def sign_code(vector: Column, bits: int = 64) -> Column:
-    """The signs of the first ``bits`` dimensions as a long: bit i is set if dimension i is positive.
+    """The signs of up to ``bits`` dimensions as a long: bit i is set if dimension i is positive.
 
-    Missing and NULL dimensions count as not positive; a NULL vector has no code.
+    Missing and NULL dimensions count as not positive; a NULL vector has no code. A vector of more dimensions
+    raises, as a part of it would give other neighbours.
     """
     doubles = vector.cast("array<double>")
+    wide = F.concat(F.lit(f"a code holds {bits} dimensions, a vector has "), F.size(doubles).cast("string"))
+    doubles = F.when(F.size(doubles) > bits, F.raise_error(wide)).otherwise(doubles)
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
     bit = lambda x, i: F.when((i < bits) & (x > 0) & ~F.isnan(x), F.call_function("shiftleft", one, i)).otherwise(zero)
     return F.aggregate(F.transform(doubles, bit), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))

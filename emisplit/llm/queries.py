@@ -65,7 +65,9 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    """With ``draws``: the output shard of every copy of the document that the mix takes."""
+    rows = mixing.mix(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "draws")
 
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:

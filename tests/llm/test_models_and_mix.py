@@ -257,3 +257,24 @@ def test_pipeline_without_documents(spark, tmp_path):
     documents(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, "a b c")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_draws_of_the_query_follow_the_splitting_tree(spark, tmp_path):
+    """Blocks drawn per source and shard are the quotas of the tree, whatever the documents in them."""
+    from emisplit.llm import queries
+
+    rng = random.Random(21)
+    texts = ["w " * rng.randrange(1, 40) for _ in range(900)]
+    sources = [rng.choice(["a", "a", "b", None]) for _ in texts]
+    documents(spark, texts, sources=sources).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = queries.op10_mixing(spark, str(tmp_path)).collect()
+    assert all(r["taken"] == r["size"] * len(r["draws"]) for r in rows)
+    shards = [s for r in rows for s in r["draws"]]
+    assert set(shards) <= set(range(16)) and len(set(shards)) > 8
+    sized = mixing._sized(documents(spark, texts, sources=sources), "doc_id", 64, 11)
+    placed = mixing._placed(sized, mixing.WEIGHTS, 4, 11).collect()
+    quotas = {s: sum(r["copies"] for r in placed if r["source"] == s) for s in ("a", "b", None)}
+    dealt = {s: [sum(x == i for r in placed if r["source"] == s for x in r["draws"]) for i in range(4)] for s in quotas}
+    assert {s: sum(d) for s, d in dealt.items()} == quotas
+    want = mixing.split(np.array([quotas[s] for s in ("a", "b", None)]), 4, 11)
+    assert [dealt[s] for s in ("a", "b", None)] == want.tolist()

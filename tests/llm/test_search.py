@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from emisplit.llm import decontaminate, hamming_search, secret_scan
 
@@ -224,3 +225,11 @@ def test_candidates_are_runs_that_do_not_look_like_words():
     text = "ordinary Capitals well-known.words x1234567 aB3 innerCap AKEYHERE under_score base64+/= short1"
     found = [text[s:e] for s, e in secret_scan.candidates(text)]
     assert found == ["x1234567", "innerCap", "AKEYHERE", "under_score", "base64+/="]
+
+
+def test_vectors_wider_than_a_code_raise(spark):
+    wide = spark.createDataFrame([(1, [0.5] * 65)], "vec_id long, embedding array<float>")
+    with pytest.raises(Exception, match="65"):
+        wide.select(hamming_search.sign_code(F.col("embedding"))).collect()
+    code = wide.select(hamming_search.sign_code(F.slice("embedding", 1, 64))).first()[0]
+    assert code == -1
