@@ -40,7 +40,7 @@ def salted(rows: DataFrame, column: str) -> DataFrame:
 def totals(rows: DataFrame, keys: list[str], **aggregates: Total) -> DataFrame:
     """Add to each row the aggregates over all rows with the same ``keys``.
 
-    ``rows`` with a ``salt`` are taken share by share. A share is led by its smallest row, which a
+    ``rows`` with a ``salt`` are taken share by share. A share is led by the row with the smallest hash, which a
     recomputed task finds again; rows that are equal in all columns can take
     each other's place.
     """
@@ -48,7 +48,7 @@ def totals(rows: DataFrame, keys: list[str], **aggregates: Total) -> DataFrame:
         group = Window.partitionBy(*keys)
         return rows.select("*", *[combine(of).over(group).alias(name) for name, (combine, of) in aggregates.items()])
     others = [c for c in rows.columns if c not in (*keys, "salt")]
-    ordered = Window.partitionBy(*keys, "salt").orderBy(*others)
+    ordered = Window.partitionBy(*keys, "salt").orderBy(F.xxhash64(*others))
     share = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     shares = rows.select(
         "*",

@@ -147,10 +147,9 @@ class Staged:
 def _large(weights: DataFrame) -> DataFrame | None:
     """Profiles of ``weights`` with more rows than a window should take, or None; counted before the shuffle."""
     sizes = weights.groupBy("profile_id").agg(F.count("*").alias("rows"))
-    found, seen = written(
-        sizes.where(F.col("rows") > grouping.WHOLE).select("profile_id"), "large", profiles=F.count("*")
-    )
-    return found if seen.get("profiles") else None
+    if (sizes.agg(F.max("rows")).first()[0] or 0) <= grouping.WHOLE:
+        return None
+    return written(sizes.where(F.col("rows") > grouping.WHOLE).select("profile_id"), "large")[0]
 
 
 def staged(weights: DataFrame, rows: DataFrame, chain: Callable[[DataFrame], DataFrame], name: str, metrics: dict[str, Column]) -> Staged:

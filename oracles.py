@@ -360,6 +360,7 @@ svoc AS (
         FROM profiles WHERE profile_type LIKE 'PM%') b WHERE b.fraction <> 0)"""
 
 
+# Ion, atom and oxide of each element, with the masses of element and oxide.
 _PM_ELEMENTS = (
     ("2302", "669", None, None),
     ("785", "696", None, None),
@@ -388,6 +389,7 @@ def _element_steps() -> list[str]:
   WHERE r.specie_id = '{oxide}' AND r.p8 > 0"""
         steps.append(f"{name} AS ({body})")
         last = name
+    # The atoms and oxides that ions replace.
     steps.append(
         f"f_atoms AS (SELECT * FROM {last} WHERE specie_id NOT IN ('329','525','669','696','795','2847','2852'))"
     )
@@ -468,6 +470,7 @@ base_fractions AS (
   SELECT profile_id, 'PMOTHR', 10000000000 - sum8 FROM kept_sums WHERE sum8 < 10000000000)"""
 
 
+# The model species that CAMx sums, keeps and renames.
 _CAMX = f"""
 camx_fractions AS (
   SELECT profile_id, 'POA' AS aqm_poll, {_div("sum(f10)", "100")} * 100 AS f10
