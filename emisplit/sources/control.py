@@ -18,7 +18,8 @@ def parse_control(lines: DataFrame) -> DataFrame:
     """One row per run from ``(run_name, position, value)`` control lines.
 
     Of a keyword written twice the first value counts; ``position`` orders the
-    lines of a run and may be left out where no keyword repeats. Blank lines, lines starting with ``#`` and unknown keywords are ignored.
+    lines of a run and may be left out where no keyword repeats. Blank lines, lines starting with ``#`` and unknown keywords are ignored;
+    a run that has nothing else is a run without settings.
     The value is the second comma field; anything after it is dropped.
     """
     ends = r"^\s+|\s+$"
@@ -27,19 +28,16 @@ def parse_control(lines: DataFrame) -> DataFrame:
         F.col("position") if "position" in lines.columns else F.lit(0).alias("position"),
         F.regexp_replace("value", ends, "").alias("line"),
         F.split("value", ",").alias("f"),
-    ).where((F.col("line") != "") & ~F.col("line").startswith("#"))
+    )
+    keyword = F.upper(F.regexp_replace(F.col("f")[0], ends, ""))
     settings = fields.select(
         "run_name",
         "position",
-        F.upper(F.regexp_replace(F.col("f")[0], ends, "")).alias("keyword"),
+        F.when(~F.col("line").startswith("#") & keyword.isin(*SETTINGS), keyword).alias("keyword"),
         F.regexp_replace(F.coalesce(F.get("f", F.lit(1)), F.lit("")), ends, "").alias("dataval"),
     )
-    return (
-        settings.where(F.col("keyword").isin(*SETTINGS))
-        .groupBy("run_name")
-        .pivot("keyword", list(SETTINGS))
-        .agg(F.min(F.struct("position", "dataval"))["dataval"])
-    )
+    first = F.min(F.struct("position", "dataval"))["dataval"]
+    return settings.groupBy("run_name").pivot("keyword", list(SETTINGS)).agg(first)
 
 
 def scenario_table(runs: DataFrame) -> DataFrame:

@@ -156,6 +156,13 @@ def test_control_lines(spark):
     assert (second.run_name, second.model, second.kind, second.tolerance_pct) == ("r2", "CAMX", None, 5.0)
 
 
+def test_a_run_without_settings_is_a_run(spark):
+    rows = spark.createDataFrame([("r1", "# AQM,CMAQ"), ("r1", "other,1"), ("r1", ""), ("r2", "AQM,CMAQ")], "run_name string, value string")
+    runs = control.parse_control(rows)
+    assert [(s.run_name, s.model) for s in control.scenarios_from(runs)] == [("r1", None), ("r2", "CMAQ")]
+    assert values(quality.missing_settings(control.scenario_table(runs)).where("setting = 'AQM'"), "scenario_id") == [("r1",)]
+
+
 def test_control_and_user_files(spark, tmp_path):
     toxics = _write(tmp_path / "tox.csv", "CMAQ,1,A\nCMAQ,2,B\n")
     weights = _write(tmp_path / "wts.csv", "G,1,50\nG,2,50\n")
