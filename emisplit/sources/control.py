@@ -36,8 +36,10 @@ def parse_control(lines: DataFrame) -> DataFrame:
         F.when(~F.col("line").startswith("#") & keyword.isin(*SETTINGS), keyword).alias("keyword"),
         F.regexp_replace(F.coalesce(F.get("f", F.lit(1)), F.lit("")), ends, "").alias("dataval"),
     )
-    first = F.min(F.struct("position", "dataval"))["dataval"]
-    return settings.groupBy("run_name").pivot("keyword", list(SETTINGS)).agg(first)
+    # The first of several values is found by sorting. Lines are dealt out by run before that, so that no task sorts all
+    # lines of a large input file, and the settings of a run then need neither another shuffle nor another sort.
+    first = settings.repartition("run_name").groupBy("run_name", "keyword").agg(F.min(F.struct("position", "dataval"))["dataval"].alias("dataval"))
+    return first.groupBy("run_name").agg(*[F.max(F.when(F.col("keyword") == name, F.col("dataval"))).alias(name) for name in SETTINGS])
 
 
 def scenario_table(runs: DataFrame) -> DataFrame:

@@ -163,6 +163,17 @@ def test_a_run_without_settings_is_a_run(spark):
     assert values(quality.missing_settings(control.scenario_table(runs)).where("setting = 'AQM'"), "scenario_id") == [("r1",)]
 
 
+def test_control_lines_are_sorted_after_they_are_dealt_out_by_run(spark):
+    lines = [(f"r{i % 7}", i, f"AQM,{i}") for i in range(50)] + [("r0", 60, "TOLERANCE,2"), (None, 61, "AQM,none"), ("r8", 62, "# AQM,x")]
+    runs = control.parse_control(spark.createDataFrame(lines, "run_name string, position int, value string"))
+    got = {r["run_name"]: (r["AQM"], r["TOLERANCE"]) for r in runs.collect()}
+    assert got == {f"r{i}": (str(i), "2" if i == 0 else None) for i in range(7)} | {None: ("none", None), "r8": (None, None)}
+    plan = runs._jdf.queryExecution().sparkPlan().toString()
+    # Below the only shuffle nothing sorts or aggregates.
+    above, below = plan.split("Exchange hashpartitioning(run_name", 1)
+    assert "Aggregate" in above and "Aggregate" not in below and "Exchange" not in below
+
+
 def test_control_and_user_files(spark, tmp_path):
     toxics = _write(tmp_path / "tox.csv", "CMAQ,1,A\nCMAQ,2,B\n")
     weights = _write(tmp_path / "wts.csv", "G,1,50\nG,2,50\n")
