@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,6 +145,37 @@ def test_network_keeps_the_recall_it_is_held_to():
     assert not any(f and not t for f, t in zip(found, truth, strict=True))
 
 
+def test_every_candidate_trains_or_calibrates(spark, monkeypatch):
+    rng = random.Random(4)
+    cands = []
+    for i in range(5000):
+        key = "".join(rng.choices("0123456789abcdef", k=16)) if i % 2 else f"page-{rng.randrange(10**8)}"
+        cands.append((0, 16, secret_scan.window(f"key {key} and", 4, 4 + len(key)), bool(i % 2)))
+    rows = [(i, cands[i : i + 50]) for i in range(0, 5000, 50)] + [(1, cands[:9])]
+    scanned = spark.createDataFrame(rows, "doc_id long, " + secret_scan._CAND).repartition(3)
+    trained, calibrated = [], []
+    one_round, outputs = secret_scan._round, secret_scan._outputs
+    monkeypatch.setattr(secret_scan, "SHARD", 1500)
+    monkeypatch.setattr(secret_scan, "_round", lambda x, *rest: trained.append(x.count()) or one_round(x, *rest))
+    monkeypatch.setattr(secret_scan, "_outputs", lambda x, net: calibrated.append(x.count()) or outputs(x, net))
+    net = secret_scan.train(scanned, epochs=2)
+    distinct = len({c[2:] for c in cands})
+    assert len(trained) == 2 and {t + calibrated[0] for t in trained} == {distinct}
+    again = secret_scan.train(scanned.repartition(5), epochs=2)
+    assert np.array_equal(net.kernel, again.kernel) and (net.scale, net.threshold) == (again.scale, again.threshold)
+    score = net.scores(secret_scan.codes([c[2] for c in cands]))
+    found = [s >= net.threshold for s in score]
+    assert sum(found[1::2]) >= 0.95 * 2500 and sum(found[::2]) <= 0.05 * 2500
+
+
+def test_ranked_value_equals_sorting(spark):
+    rng = random.Random(6)
+    for values in ([rng.gauss(0, 1) ** 5 for _ in range(500)], [1.0] * 20 + [2.0] * 30 + [1e9], [3.5]):
+        rows = spark.createDataFrame([(v,) for v in values], "z double")
+        for rank in (0, len(values) // 2, len(values) - 1):
+            assert secret_scan._ranked(rows, rank, most=4) == sorted(values)[rank]
+
+
 def test_scan_of_odd_and_no_rows(spark):
     docs = odd_documents(spark)
     rows = secret_scan.find(docs).collect()
