@@ -37,6 +37,8 @@ TABLES = 20
 LIGHT = 32
 CHUNK_ITEMS = 1 << 17
 CHUNK_NODES = 1 << 11
+#: Items that a comparison of two chunks takes at once.
+_COLUMNS = 512
 
 _SEEDS = seeds(2 * TABLES * ROWS, 4242)
 _FACTORS = seeds(2 * TABLES * ROWS, 2424)
@@ -125,32 +127,52 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shared_items(left: pa.ListArray, right: pa.ListArray) -> np.ndarray:
-    """Sizes of the intersections of all sets on the left with all on the right."""
+    """Sizes of the intersections of all sets on the left with all on the right.
+
+    Shared items are taken ``_COLUMNS`` at a time, so beside the result only narrow strips are held.
+    """
     counts = [np.diff(x.offsets.to_numpy()) for x in (left, right)]
     items = np.concatenate([left.flatten().to_numpy(), right.flatten().to_numpy()])
     _, place, many = np.unique(items, return_inverse=True, return_counts=True)
     column = np.where(many > 1, np.cumsum(many > 1) - 1, -1)[place]
     row = np.repeat(np.arange(len(left) + len(right)), np.concatenate(counts))
-    total = np.zeros((len(left), len(right)), np.float64)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    # Sizes of sets in a chunk are far below 2 ** 24 or the chunk is one set: whole numbers that float32 has.
+    total = np.zeros((len(left), len(right)), np.float32 if len(items) < 1 << 24 else np.float64)
     shared = int(column.max(initial=-1)) + 1
-    for low in range(0, shared, 4096):
-        inside = (column >= low) & (column < low + 4096)
-        grid = np.zeros((len(left) + len(right), min(4096, shared - low)), np.float32)
-        grid[row[inside], column[inside] - low] = 1
+    for low in range(0, shared, _COLUMNS):
+        first, last = np.searchsorted(column, (low, low + _COLUMNS))
+        grid = np.zeros((len(left) + len(right), min(_COLUMNS, shared - low)), np.float32)
+        grid[row[first:last], column[first:last] - low] = 1
         total += grid[: len(left)] @ grid[len(left) :].T
     return total
 
 
+def _similar(left: pa.StructArray, right: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of sets in different components that reach the threshold, worked out strip by strip."""
+    sizes = [np.diff(x.field("items").offsets.to_numpy()) for x in (left, right)]
+    roots = [x.field("root").to_numpy() for x in (left, right)]
+    both = _shared_items(left.field("items"), right.field("items"))
+    found = []
+    for low in range(0, len(left), 128):
+        strip = slice(low, low + 128)
+        ok = _enough(both[strip].astype(np.float64), sizes[0][strip, None], sizes[1][None, :])
+        x, y = np.nonzero(ok & (roots[0][strip, None] != roots[1][None, :]))
+        # One pair for each two components is enough.
+        pairs = np.stack([np.minimum(roots[0][x + low], roots[1][y]), np.maximum(roots[0][x + low], roots[1][y])])
+        one = np.unique(pairs, axis=1, return_index=True)[1]
+        found.append((x[one] + low, y[one]))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
 def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links between two chunks of sets, one for each two components that they join."""
     for batch in batches:
         for i in range(batch.num_rows):
             left, right = batch.column("left")[i].values, batch.column("right")[i].values
-            sizes = [np.diff(x.field("items").offsets.to_numpy()) for x in (left, right)]
-            both = _shared_items(left.field("items"), right.field("items"))
             roots = [x.field("root").to_numpy() for x in (left, right)]
-            ok = _enough(both, sizes[0][:, None], sizes[1][None, :]) & (roots[0][:, None] != roots[1][None, :])
-            x, y = np.nonzero(ok)
+            x, y = _similar(left, right)
             pairs = np.stack([np.minimum(roots[0][x], roots[1][y]), np.maximum(roots[0][x], roots[1][y])])
             x, y = (v[np.unique(pairs, axis=1, return_index=True)[1]] for v in (x, y))
             nodes = [c.field("node").to_numpy()[v] for c, v in ((left, x), (right, y))]
