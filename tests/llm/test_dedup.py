@@ -188,3 +188,37 @@ def test_contracted_edges_are_stars_of_the_same_components():
             group[max(x, y)] = min(x, y)
         got = dict(zip(*(c.tolist() for c in contracted(*np.array(edges).T))))
         assert got == {x: find(x) for x in list(group) if find(x) != x}
+
+
+def test_chunks_are_compared_strip_by_strip(spark, monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    base = [rng.randrange(1 << 40) for _ in range(40)]
+
+    def chunk(first, count):
+        kept = lambda: sorted({x if rng.random() < 0.93 else rng.randrange(1 << 40) for x in base})
+        return [{"node": first + i, "root": first + i // 2, "items": kept()} for i in range(count)]
+
+    left, right = chunk(0, 300), chunk(10_000, 50)
+    kind = pa.list_(pa.struct([("node", pa.int64()), ("root", pa.int64()), ("items", pa.list_(pa.int64()))]))
+    batch = pa.RecordBatch.from_arrays([pa.array([left], kind), pa.array([right], kind)], names=["left", "right"])
+    monkeypatch.setattr(minhash, "_COLUMNS", 7)
+    links = {tuple(r.values()) for b in minhash._block_links([batch]) for r in b.to_pylist()}
+    same = lambda a, b: 100 * len({*a["items"]} & {*b["items"]}) >= 75 * len({*a["items"]} | {*b["items"]})
+    want = {(a["root"], b["root"]) for a in left for b in right if same(a, b)}
+    roots = {r["node"]: r["root"] for r in left + right}
+    nodes = {r["node"]: r for r in left + right}
+    assert want and {(roots[a], roots[b]) for a, b in links} == want and all(same(nodes[a], nodes[b]) for a, b in links)
+    # Two chunks of many small sets: nothing as large as the whole grid beside the sums.
+    many = pa.array([[{"node": i, "root": i, "items": [i % 7, *range(100 + i, 104 + i)]} for i in range(2000)]], kind)
+    batch = pa.RecordBatch.from_arrays([many, many], names=["left", "right"])
+    monkeypatch.undo()
+    tracemalloc.start()
+    for _ in minhash._block_links([batch]):
+        pass
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60e6
