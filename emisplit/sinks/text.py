@@ -17,7 +17,7 @@ from emisplit.errors import SpeciationError
 from emisplit.functions import double, inline_table
 from emisplit.plans.scenario import Scenario
 from emisplit.plans.speciation import Results
-from emisplit.staging import hadoop, moved, observed, subfolders
+from emisplit.staging import forget, hadoop, moved, observed, subfolders, written
 
 #: Split factors below this are written in scientific notation (fixed value).
 SCIENTIFIC_BELOW = 0.0099
@@ -211,8 +211,13 @@ class LineFiles:
 
 
 def write_lines(lines: DataFrame, path: str, targets: dict[str, str] | None = None) -> None:
-    """One ordered directory per scenario: the one ``targets`` names for it, else one below ``path``."""
-    LineFiles(lines, path, targets).commit()
+    """One ordered directory per scenario: the one ``targets`` names for it, else one below ``path``.
+
+    Lines are written as they come first: the sort reads them up to three times, to sample, to sample uneven parts again, and to sort.
+    """
+    made, _ = written(lines, "lines")
+    LineFiles(made, path, targets).commit()
+    forget(made)
 
 
 def _targets(results: Results, setting: str) -> dict[str, str]:

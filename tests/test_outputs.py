@@ -2,6 +2,7 @@ import os
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import values
 from emisplit import Scenario, SpeciationError, Tables, bridge, staging
@@ -147,6 +148,25 @@ def test_targets_change_together_or_not_at_all(spark, table, tmp_path):
     assert seen() == after
 
 
+def test_lines_are_made_once_for_their_sort(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(line):
+        made.add(1)
+        return line
+
+    spell = F.udf(counted, "string")
+    # Few rows in many parts and most in one: the sort looks at that part once more.
+    few = spark.range(0, 20, 1, 10).select((F.col("id") + 10_000).alias("id"))
+    rows = few.union(spark.range(0, 3000, 1, 1)).select(F.lpad(F.col("id").cast("string"), 6, "0").alias("key"))
+    lines = rows.select(F.lit("a").alias("scenario_id"), F.lit(2).alias("section"), F.col("key").alias("key1"), *[F.lit("").alias(k) for k in ("key2", "key3")], spell("key").alias("line"))
+    text.write_lines(lines, str(tmp_path / "out"))
+    assert made.value == 3020
+    parts = sorted(f for f in os.listdir(tmp_path / "out" / "scenario_id=a") if f.startswith("part-"))
+    got = [line for part in parts for line in open(tmp_path / "out" / "scenario_id=a" / part).read().splitlines()]
+    assert len(got) == 3020 and got == sorted(got)
+
+
 def test_a_run_without_conversions_leaves_no_file(spark, tmp_path):
     tables = bridge.gas_tables(spark, SF)
     tables = tables.with_(profile_weights=tables.profile_weights.where("false"), metadata=bridge.metadata(spark))
