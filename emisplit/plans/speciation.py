@@ -140,19 +140,20 @@ class GasPlan:
 
     # weights
 
-    def input_weights(self) -> DataFrame:
-        """Selected weights of the run, before any species is looked at."""
+    def selected(self, given: DataFrame) -> DataFrame:
+        """Weights of the run among those ``given``, before any species is looked at."""
         t = self.batch.tables
-        if t.user_profile_wts is not None:
-            return gas.select_user_weights(t.profiles, t.user_profile_wts)
-        return gas.select_gas(t.profiles, t.profile_weights)
+        select = gas.select_gas if t.user_profile_wts is None else gas.select_user_weights
+        return select(t.profiles, given)
 
     def staged(self) -> Staged:
         """Judged weights of the run's selection and tolerance, written by the first run that needs them."""
         t, tolerance = self.batch.tables, self.batch.first.tolerance_pct
 
         def write() -> Staged:
-            rows = gas.raw_weights(self.input_weights(), t.species)
+            def rows(given: DataFrame) -> DataFrame:
+                return gas.raw_weights(self.selected(given), t.species)
+
             given = t.profile_weights if t.user_profile_wts is None else t.user_profile_wts
             counts = {name: F.count_if(F.col("fate") == name) for name in (gas.NO_MASS, gas.OUTSIDE)}
             return staged(given, rows, lambda part: gas.judged(part, tolerance), "gas_weights", counts)
@@ -312,11 +313,11 @@ class PmPlan:
     def mechanism_rows(self) -> DataFrame:
         return pm.pm_mechanism_rows(self.batch.tables.pm_mechanism, self.batch.runs)
 
-    def raw(self) -> DataFrame:
+    def selected(self, given: DataFrame) -> DataFrame:
+        """Weights of the run among those ``given``."""
         t = self.batch.tables
-        if t.user_profile_wts is not None:
-            return pm.pm_user_weights(t.profiles, t.user_profile_wts)
-        return pm.pm_raw_weights(t.profiles, t.profile_weights)
+        select = pm.pm_raw_weights if t.user_profile_wts is None else pm.pm_user_weights
+        return select(t.profiles, given)
 
     def staged(self) -> Staged:
         """Gap-filled weights of the run's selection, written by the first run that needs them."""
@@ -325,7 +326,7 @@ class PmPlan:
         def write() -> Staged:
             given = t.profile_weights if t.user_profile_wts is None else t.user_profile_wts
             counts = {"negative": F.count_if(F.col("percent") < 0)}
-            return staged(given, self.raw(), lambda part: pm.fill_gaps(part, t.o2m_ratios), "pm_weights", counts)
+            return staged(given, self.selected, lambda part: pm.fill_gaps(part, t.o2m_ratios), "pm_weights", counts)
 
         given = [t.profiles, t.o2m_ratios, t.user_profile_wts, None if t.user_profile_wts is not None else t.profile_weights]
         return self.batch.stages.get(("pm",), given, write)

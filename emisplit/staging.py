@@ -144,29 +144,46 @@ class Staged:
         return self.each(lambda part: part)
 
 
-def _large(weights: DataFrame) -> DataFrame | None:
-    """Profiles of ``weights`` with more rows than a window should take, or None; counted before the shuffle."""
-    sizes = weights.groupBy("profile_id").agg(F.count("*").alias("rows"))
-    if (sizes.agg(F.max("rows")).first()[0] or 0) <= grouping.WHOLE:
+def _large(weights: DataFrame, rows: int) -> DataFrame | None:
+    """Profiles with more of the ``rows`` weights than a window should take, or None; counted before the shuffle.
+
+    Profiles are counted together by hash first: where no bin has too many rows, no profile has. Only
+    the bins that do are counted profile by profile.
+    """
+    if rows <= grouping.WHOLE:
         return None
-    return written(sizes.where(F.col("rows") > grouping.WHOLE).select("profile_id"), "large")[0]
+    bins = max(1, rows // max(1, grouping.WHOLE // 16))
+    binned = weights.select("profile_id", F.pmod(F.xxhash64("profile_id"), F.lit(bins)).alias("bin"))
+    full, found = written(binned.groupBy("bin").agg(F.count("*").alias("rows")).where(F.col("rows") > grouping.WHOLE), "bins", full_bins=F.count("*"))
+    if not found["full_bins"]:
+        return None
+    sizes = binned.join(full, "bin", "left_semi").groupBy("profile_id").agg(F.count("*").alias("rows"))
+    large, found = written(sizes.where(F.col("rows") > grouping.WHOLE).select("profile_id"), "large", profiles=F.count("*"))
+    return large if found["profiles"] else None
 
 
-def staged(weights: DataFrame, rows: DataFrame, chain: Callable[[DataFrame], DataFrame], name: str, metrics: dict[str, Column]) -> Staged:
-    """Write what ``chain`` makes of ``rows``, profile by profile.
+def staged(
+    weights: DataFrame, select: Callable[[DataFrame], DataFrame], chain: Callable[[DataFrame], DataFrame], name: str, metrics: dict[str, Column]
+) -> Staged:
+    """Write what ``chain`` makes of the rows that ``select`` takes from ``weights``, profile by profile.
 
-    ``weights`` tells the number of rows per profile; ``rows`` are not more than those. ``metrics`` are
-    counts over the result.
+    The weights may be derived at any cost, so they are worked out once: written as they come, counted and
+    selected from there. ``select`` gives not more rows than there are weights. ``metrics`` are counts over the result.
     """
-    large = _large(weights)
+    given, seen = written(weights, f"{name}-given", given_rows=F.count("*"))
+    rows = select(given)
+    large = _large(given, seen["given_rows"])
     if large is None:
         whole, counts = bucketed(chain(rows), name, ["profile_id"], **metrics)
-        return Staged(whole, None, {name: counts.get(name, 0) for name in metrics})
-    listed = splittable(large, "profile_id")
-    whole, counts = bucketed(chain(rows.join(listed, "profile_id", "left_anti")), name, ["profile_id"], **metrics)
-    shares = chain(salted(rows.join(listed, "profile_id", "left_semi"), "specie_id"))
-    shares, more = written(shares, f"{name}-shares", **metrics)
-    return Staged(whole, shares, {name: counts.get(name, 0) + more.get(name, 0) for name in metrics})
+        done = Staged(whole, None, {name: counts.get(name, 0) for name in metrics})
+    else:
+        listed = splittable(large, "profile_id")
+        whole, counts = bucketed(chain(rows.join(listed, "profile_id", "left_anti")), name, ["profile_id"], **metrics)
+        shares = chain(salted(rows.join(listed, "profile_id", "left_semi"), "specie_id"))
+        shares, more = written(shares, f"{name}-shares", **metrics)
+        done = Staged(whole, shares, {name: counts.get(name, 0) + more.get(name, 0) for name in metrics})
+    forget(given)
+    return done
 
 
 @dataclass

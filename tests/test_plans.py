@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from emisplit import bridge, staging
 from emisplit.functions import grouping, salted, splittable, totals
 
 SF = "/root/testdata/sf0.001"
@@ -134,3 +135,40 @@ def test_skewed_join_with_an_aggregate_is_split(spark, small_partitions):
     result = rows.join(listed, "k", "left").where("flag").groupBy("k").count()
     assert {r["k"]: r["count"] for r in result.collect()}["hot"] == 133_334
     assert "skew=true" in _plan(result)
+
+
+@pytest.mark.parametrize("whole", [100, 4])
+def test_weights_are_derived_once(spark, whole, monkeypatch):
+    """Counting profiles, and writing large ones apart, start from what was written."""
+    monkeypatch.setattr(grouping, "WHOLE", whole)
+    derived = spark.sparkContext.accumulator(0)
+
+    def counted(name):
+        derived.add(1)
+        return name
+
+    name = F.udf(counted, "string")("specie_id")
+    rows = [("a", str(i), i) for i in range(9)] + [(None, "x", 1), ("b", "y", 2)]
+    weights = spark.createDataFrame(rows, "profile_id string, specie_id string, percent int").withColumn("specie_id", name)
+    done = staging.staged(weights, lambda given: given.where("percent > 0"), lambda part: part, "w", {"ones": F.count_if(F.col("percent") == 1)})
+    assert derived.value == len(rows) and done.counts == {"ones": 2}
+    assert sorted(map(str, done.rows().collect())) == sorted(map(str, weights.where("percent > 0").collect()))
+    assert (done.shares is not None) == (whole == 4)
+    if done.shares is not None:
+        assert {r["profile_id"] for r in done.shares.collect()} == {"a"}
+
+
+def test_profiles_of_a_full_bin_are_counted_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr(grouping, "WHOLE", 5)
+    rows = spark.range(60).select(F.when(F.col("id") < 4, F.lit("p")).otherwise((F.col("id") % 14).cast("string")).alias("profile_id"))
+    # One bin, as if there were no more rows than it takes: none of its profiles is large.
+    assert staging._large(rows, 6) is None
+    more = rows.union(spark.range(6).select(F.lit("p")))
+    assert [r[0] for r in staging._large(more, 6).collect()] == ["p"]
+
+
+def test_shares_of_orders_read_lines_once(spark):
+    """Lines without an order give no weight; those without a part or quantity count as before."""
+    for weights in (bridge.gas_weights(spark, SF), bridge.pm_weights(spark, SF)):
+        plan = weights._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"Relation \[l_", plan)) == 1
