@@ -109,12 +109,12 @@ def gas_split_factors(spark, sf_dir):
 
 def gas_user_weights_splits(spark, sf_dir):
     """User weights over suppliers, most of them unknown as profiles."""
-    weights = (
-        bridge.read(spark, sf_dir, "lineitem")
-        .groupBy(
-            F.col("l_suppkey").cast("string").alias("profile_id"), F.col("l_partkey").cast("string").alias("specie_id")
-        )
-        .agg(F.round(F.sum("l_quantity") / 10, 6).cast("decimal(10,6)").alias("percent"))
+    # Dealt out before they are added up: a map task need not hold the pairs of all lines it reads.
+    lines = bridge.read(tune(spark), sf_dir, "lineitem").repartition("l_suppkey", "l_partkey")
+    weights = lines.groupBy("l_suppkey", "l_partkey").agg(F.sum("l_quantity").alias("quantity")).select(
+        F.col("l_suppkey").cast("string").alias("profile_id"),
+        F.col("l_partkey").cast("string").alias("specie_id"),
+        F.round(F.col("quantity") / 10, 6).cast("decimal(10,6)").alias("percent"),
     )
     tables = bridge.gas_tables(spark, sf_dir).with_(user_profile_wts=weights)
     scenario = _scenario("user", mech="M_B", tolerance="10", pro_file="user.csv")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from emisplit import bridge, staging
 from emisplit.functions import grouping, salted, splittable, totals
+from emisplit.session import tune
 
 SF = "/root/testdata/sf0.001"
 
@@ -167,6 +168,26 @@ def test_profiles_of_a_full_bin_are_counted_one_by_one(spark, monkeypatch):
     assert [r[0] for r in staging._large(more, 6).collect()] == ["p"]
 
 
+@pytest.mark.parametrize("given, used", [("64MB", 16 << 20), ("8m", 8 << 20), ("16m", 16 << 20)])
+def test_a_task_takes_a_bounded_partition(spark, given, used):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(name, given)
+    tune(spark)
+    size = spark.conf.get(name)
+    spark.conf.unset(name)
+    tune(spark)
+    assert size in (f"{used}b", f"{used >> 20}m")
+
+
+def test_lines_are_dealt_out_before_user_weights_are_added_up(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(contract, "_run", lambda spark, scenario, tables: taken.append(tables.user_profile_wts) or contract.GasPlan)
+    with pytest.raises(AttributeError):
+        contract.gas_user_weights_splits(spark, SF)
+    above, below = taken[0]._jdf.queryExecution().sparkPlan().toString().split("Exchange hashpartitioning(l_suppkey", 1)
+    assert "Aggregate" in above and "Aggregate" not in below and "Exchange" not in below
+
+
 def test_shares_of_orders_read_lines_once(spark):
     """Lines without an order give no weight; those without a part or quantity count as before."""
     for weights in (bridge.gas_weights(spark, SF), bridge.pm_weights(spark, SF)):
