@@ -102,6 +102,59 @@ def test_marked_pages_with_one_surrounding_count_each(spark, partitions):
     assert all(got[i] == re.findall("<article>(.*)</article>", h)[0] for i, _, h in rows if "article" in h)
 
 
+@pytest.mark.parametrize("partitions", ["2", "7"])
+def test_hosts_whose_pages_all_mark_their_text_are_searched(spark, partitions):
+    rng = random.Random(4)
+    words = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    shared, foot = words(10), [words(8) for _ in range(4)]
+    page = lambda i, own: f"<nav>{words(2)}</nav><article><p>{own}</p><p>{shared}</p></article><footer>{foot[i % 4]} {i % 7}</footer>"
+    # What articles share stays, though a footer has it too.
+    rows = [(i, f"http://h{i % 3}.example/", page(i, words(5))) for i in range(40)]
+    rows += [(50 + i, "http://h0.example/", f"<main>{words(4)}</main><div>{shared}</div>") for i in range(4)]
+    # One page often, another on two pages; a page with too few words outside, one with none, one with chrome alone, null.
+    rows += [(60, "http://g.example/", page(1, "copy"))] * 5 + [(70 + i, "http://f.example/", page(2, words(3))) for i in range(2)]
+    rows += [(80, "http://h0.example/", "<nav>a b</nav><article>c</article>"), (81, None, "<article>c</article>"), (82, None, f"<nav>{shared}</nav>"), (None, None, None)]
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+        got = sorted((r.page_id or -1, r.text, r.n_chars, r.n_searched, r.n_repeated) for r in main_text(pages).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    seen: dict = {}
+    cut = []
+    for page_id, url, html in rows:
+        found = blocks(html or "")
+        where = html_extract.landmark(found)
+        outside = " ".join(t for p, t in found if where and p != where).split()
+        windows = [(url, *outside[i : i + REPEAT]) for i in range(len(outside) - REPEAT + 1)]
+        cut.append((page_id or -1, "\n".join(t for p, t in found if p == where), outside, windows))
+        for window in windows:
+            seen.setdefault(window, set()).add(html)
+    want = []
+    for page_id, text, outside, windows in cut:
+        covered = {i + k for i, window in enumerate(windows) if len(seen[window]) >= PAGES for k in range(REPEAT)}
+        want.append((page_id, text, len(text), len(outside), len(covered)))
+    assert got == sorted(want)
+    assert sum(w[4] for w in want if w[0] < 50) > 100 and not any(w[4] for w in want if w[0] >= 60)
+
+
+def test_repeats_tell_whether_an_article_below_a_name_is_the_text(spark):
+    rng = random.Random(6)
+    words = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    teaser, foot, own = words(12), words(9), [words(15) for _ in range(30)]
+    related = f"<div class='related'><article>{teaser}</article></div>"
+    rows = [(i, "http://h.example/", f"{related}<p>{own[i]}</p><div>{foot}</div>") for i in range(10)]
+    # The article below such a name is the text where it is on no other page, on too few, or where nothing else is left.
+    rows += [(10 + i, "http://g.example/", f"<form><article>{own[10 + i]}</article></form><div>{foot} {i}</div>") for i in range(10)]
+    rows += [(20 + i, "http://f.example/", f"{related}<p>{own[20 + i]}</p>") for i in range(PAGES - 1)]
+    rows += [(25 + i, "http://e.example/", f"{related}<nav>{own[25 + i]}</nav><div>{foot}</div>") for i in range(5)]
+    # Or where only a few words are left, as on copies of a page that differ in a number.
+    rows += [(30 + i, "http://d.example/", f"<form><article>{teaser}</article></form><div>{i} views</div>") for i in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in main_text(pages).collect()}
+    assert got == {i: teaser if i >= 20 else own[i] for i, _, _ in rows}
+
+
 def test_no_pages(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert main_text(pages).collect() == []
